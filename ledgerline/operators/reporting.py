@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import (
-    by_company, money_label, percent_label, ratio,
-)
+from ledgerline.functions.columns import money_label, percent_label, ratio
 from ledgerline.params import SCENARIOS
 
 # Report lines in print order as (label, column, kind). A section or
@@ -89,10 +89,14 @@ SCENARIO_METRICS = (
 
 
 def display_value(column: str | None, kind: str) -> Column:
-    """Money to whole units, percentages to 4 places, null kept."""
+    """Money to whole units, percentages to 4 places, null kept.
+
+    Rounding to 6 places first drops binary noise, so that an exact half always
+    rounds the same way.
+    """
     if column is None:
         return F.lit(None).cast("double")
-    return F.round(column, 4 if kind == "pct" else 0)
+    return F.round(F.round(column, 6), 4 if kind == "pct" else 0)
 
 
 def statement_report(statements: DataFrame, years: list[int]) -> DataFrame:
@@ -290,20 +294,23 @@ def scenario_lines(historical: DataFrame, scenario_rows: DataFrame) -> DataFrame
 
 
 def asset_composition(balance: DataFrame) -> DataFrame:
-    """Assets of each year by class, with the share of the total."""
+    """Assets of each year by class, with the share of the total (null if a class is unknown)."""
+    classes = (
+        ("Cash", "cash"), ("AR", "accounts_receivable"),
+        ("Inventory", "inventory"), ("Net PP&E", "net_ppe"),
+    )
+    total = reduce(lambda x, y: x + y, [F.col(c) for _, c in classes])
     parts = F.array(
         *[
-            F.struct(F.lit(label).alias("asset_class"), F.col(c).alias("amount"))
-            for label, c in (
-                ("Cash", "cash"), ("AR", "accounts_receivable"),
-                ("Inventory", "inventory"), ("Net PP&E", "net_ppe"),
+            F.struct(
+                F.lit(label).alias("asset_class"),
+                F.col(c).alias("amount"),
+                ratio(F.col(c), total).alias("share"),
             )
+            for label, c in classes
         ]
     )
-    total = F.sum("amount").over(by_company("year"))
-    return balance.select("company", "year", F.inline(parts)).withColumn(
-        "share", ratio(F.col("amount"), total)
-    )
+    return balance.select("company", "year", F.inline(parts))
 
 
 def customers_arpu(annual: DataFrame) -> DataFrame:

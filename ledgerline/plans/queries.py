@@ -1,7 +1,9 @@
 """One query per operator, each with its output columns and its SQL counterpart.
 
 ``columns`` lists the output; ``name:4`` rounds a double to 4 places on both
-sides, since sums of doubles may differ in the last bits between engines.
+sides, since sums of doubles may differ in the last bits between engines. Exact
+halves are common here (half a cent), so both sides first move a value away from
+zero by a thousandth of the last place: last-bit noise then cannot split them.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ class Query:
         def shown(name: str, places: int | None):
             if places is None:
                 return F.col(name)
-            x = F.round(name, places)
+            x = F.round(F.col(name) + F.signum(name) * 10.0 ** -(places + 3), places)
             return F.when(x == 0, F.lit(0.0)).otherwise(x).alias(name)
 
         return self.build(spark, root).select(*[shown(*f) for f in self._fields()])
@@ -59,7 +61,8 @@ class Query:
         def shown(name: str, places: int | None) -> str:
             if places is None:
                 return name
-            x = f"ROUND({name}, {places})"
+            nudge = f"CAST(1e-{places + 3} AS DOUBLE)"
+            x = f"ROUND(CAST({name} AS DOUBLE) + SIGN({name}) * {nudge}, {places})"
             return f"CASE WHEN {x} = 0 THEN CAST(0 AS DOUBLE) ELSE {x} END AS {name}"
 
         fields = ", ".join(shown(*f) for f in self._fields())
@@ -493,7 +496,7 @@ def _(spark, root):
 
 @_register(
     "ramp_column", "company date usd_zar:8 fx_static",
-    """SELECT company, date, 17.5 AS fx_static, 13.5 + COALESCE(CAST(19.2 - 13.5 AS DOUBLE) *
+    """SELECT company, date, CAST(17.5 AS DOUBLE) AS fx_static, 13.5 + COALESCE(CAST(19.2 - 13.5 AS DOUBLE) *
         (ROW_NUMBER() OVER (PARTITION BY company ORDER BY date) - 1)
         / NULLIF(COUNT(*) OVER (PARTITION BY company) - 1, 0), 0) AS usd_zar FROM fin""",
     "fin",
@@ -997,11 +1000,14 @@ def _(spark, root):
 @_register(
     "regressor_extend", "company date step inflation_rate:8 interest_rate:8",
     """SELECT s.company, s.date, s.step,
-        CASE WHEN s.step = 0 THEN m.inflation_rate ELSE l.inflation_rate END AS inflation_rate,
-        CASE WHEN s.step = 0 THEN m.interest_rate ELSE l.interest_rate END AS interest_rate
-      FROM slots s JOIN fit f ON s.company = f.company LEFT JOIN macro m ON s.date = m.date
-        LEFT JOIN macro l ON l.date = f.last_date""",
-    "slots fit macro",
+        CASE WHEN s.step = 0 THEN COALESCE(m.inflation_rate, a.i) ELSE l.inflation_rate END AS inflation_rate,
+        CASE WHEN s.step = 0 THEN COALESCE(m.interest_rate, a.r) ELSE l.interest_rate END AS interest_rate
+      FROM slots s JOIN fit f ON s.company = f.company
+        JOIN (SELECT company, AVG(inflation_rate) AS i, AVG(interest_rate) AS r
+          FROM past p JOIN macro m ON p.date = m.date GROUP BY company) a ON s.company = a.company
+        LEFT JOIN past p ON s.company = p.company AND s.date = p.date
+        LEFT JOIN macro m ON p.date = m.date LEFT JOIN macro l ON l.date = f.last_date""",
+    "slots fit macro past",
 )
 def _(spark, root):
     silver = kpis.join_macro(_past(spark, root), monthly_macro(spark, root, WINDOW))
@@ -1324,7 +1330,7 @@ def _report_sql() -> str:
     for name, layout in reporting.STATEMENTS:
         for no, (label, column, kind) in enumerate(layout, 1):
             places = 4 if kind == "pct" else 0
-            value = "CAST(NULL AS DOUBLE)" if column is None else f"ROUND({column}, {places})"
+            value = "CAST(NULL AS DOUBLE)" if column is None else f"ROUND(CAST({column} AS DECIMAL(24,6)), {places})"
             text = label.replace("'", "''")
             cells = ", ".join(
                 f"MAX(CASE WHEN year = {y} THEN {value} END) AS y{y}" for y in WINDOW.all_years()
@@ -1349,7 +1355,7 @@ def _matrix_sql() -> str:
     selects = []
     for no, (label, column, kind) in enumerate(reporting.SCENARIO_METRICS, 1):
         cells = ", ".join(
-            f"MAX(CASE WHEN scenario = '{s}' AND year = {y} THEN ROUND({column}, {4 if kind == 'pct' else 0}) "
+            f"MAX(CASE WHEN scenario = '{s}' AND year = {y} THEN ROUND(CAST({column} AS DECIMAL(24,6)), {4 if kind == 'pct' else 0}) "
             f"END) AS {s}_{y}"
             for s in ("Base", "Bull", "Bear")
             for y in WINDOW.forecast_year_list()

@@ -3,8 +3,13 @@
 Order lines are reduced to one row per order before any join: the partial
 aggregate runs on the map side, so neither a hot order nor a hot customer or
 company ever moves more than one partial row per task and key. The same holds
-for the later steps (customer-month, then company-month). Amounts stay DECIMAL
-until the last projection, so results do not depend on the order of addition.
+for the later steps (customer-month, then company-month).
+
+Amounts are exact. A product of cents and percentages is an integer, summed as
+two BIGINT limbs: each limb has room for 10^12 rows of the largest amount, and
+BIGINT sums stay in place in the aggregation buffer where wide DECIMAL sums
+allocate per row. The limbs become DECIMAL only in the last projection, so
+results do not depend on the order of addition.
 """
 
 from __future__ import annotations
@@ -19,9 +24,10 @@ from ledgerline.operators.timeseries import complete_months
 from ledgerline.params import IngestionWindow
 from ledgerline.sources.tables import star_table
 
-# Wide enough for 10^20 currency units; an overflow raises in ANSI mode.
-MONEY = "decimal(24,4)"
-FINE_MONEY = "decimal(26,6)"
+LIMB = 1_000_000
+# Sums of net line amounts in 1/10^4 currency units, and weighted ones in 1/10^6.
+NET_SUMS = ("rev", "rev_kept", "rev_open", "rev_pending")
+WEIGHTED_SUMS = ("rev_tax", "rev_disc")
 
 # What counts as a company: the columns its name is built from.
 COMPANY_GRAINS = {
@@ -35,32 +41,59 @@ def _dec(text: str) -> Column:
     return F.lit(Decimal(text))
 
 
-def _sum(c: Column | str, dtype: str) -> Column:
-    return F.sum(c).cast(dtype)
+def _limbs(name: str, amount: Column) -> list[Column]:
+    """An integer amount as a high and a low part that add up separately."""
+    return [
+        F.call_function("div", amount, F.lit(LIMB)).alias(f"{name}_hi"),
+        (amount % LIMB).alias(f"{name}_lo"),
+    ]
+
+
+def _limb_names(*names: str) -> list[str]:
+    return [f"{n}_{part}" for n in names for part in ("hi", "lo")]
+
+
+def _joined(name: str, places: int) -> Column:
+    """Both limbs as one DECIMAL with the given number of places."""
+    whole = F.col(f"{name}_hi").cast("decimal(20,0)") * LIMB + F.col(f"{name}_lo")
+    unit = F.lit(Decimal(1).scaleb(-places))
+    return (whole * unit).cast(f"decimal({20 + places},{places})")
+
+
+def _sums(names) -> list[Column]:
+    return [F.sum(n).alias(n) for n in names]
 
 
 def order_totals(spark: SparkSession, root: str) -> DataFrame:
     """One row per order: the line sums every monthly measure is a combination of."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
-    lines = star_table(spark, root, "lineitem").select(
-        "l_orderkey",
-        "l_returnflag",
-        "l_linestatus",
-        (price * (_dec("1") - discount)).alias("rev"),
-        discount.alias("disc"),
-        tax.alias("tax"),
-    )
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    discount = F.round(F.col("l_discount") * 100).cast("bigint")
+    tax = F.round(F.col("l_tax") * 100).cast("bigint")
     rev = F.col("rev")
+    lines = (
+        star_table(spark, root, "lineitem")
+        .select(
+            "l_orderkey",
+            "l_returnflag",
+            "l_linestatus",
+            (cents * (100 - discount)).alias("rev"),
+            discount.alias("disc"),
+            tax.alias("tax"),
+        )
+        .select(
+            "l_orderkey",
+            *_limbs("rev", rev),
+            *_limbs("rev_tax", rev * F.col("tax")),
+            *_limbs("rev_disc", rev * F.col("disc")),
+            *_limbs("rev_kept", F.when(F.col("l_returnflag") == "N", rev)),
+            *_limbs("rev_open", F.when(F.col("l_linestatus") == "O", rev)),
+            F.lit(1).alias("n_lines"),
+            F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("n_returned"),
+        )
+    )
     return lines.groupBy("l_orderkey").agg(
-        _sum(rev, MONEY).alias("rev"),
-        _sum(rev * F.col("tax"), FINE_MONEY).alias("rev_tax"),
-        _sum(rev * F.col("disc"), FINE_MONEY).alias("rev_disc"),
-        _sum(F.when(F.col("l_returnflag") == "N", rev), MONEY).alias("rev_kept"),
-        _sum(F.when(F.col("l_linestatus") == "O", rev), MONEY).alias("rev_open"),
-        F.count("*").alias("n_lines"),
-        F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
+        *_sums(_limb_names("rev", "rev_tax", "rev_disc", "rev_kept", "rev_open")),
+        *_sums(["n_lines", "n_returned"]),
     )
 
 
@@ -75,28 +108,19 @@ def monthly_financials(
     ``company`` picks the grain (see ``COMPANY_GRAINS``). Without ``window`` the
     whole order history is used.
     """
-    orders = star_table(spark, root, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
-    )
-    if window is not None:
-        orders = orders.filter(
-            F.col("o_orderdate").cast("date").between(F.lit(window.start), F.lit(window.end))
-        )
+    measures = _limb_names(*NET_SUMS, *WEIGHTED_SUMS) + ["n_lines", "n_returned", "n_orders"]
+    pending = F.col("o_orderstatus") == "P"
     per_customer = (
         order_totals(spark, root)
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumn("date", F.trunc("o_orderdate", "month"))
-        .groupBy("o_custkey", "date")
-        .agg(
-            *[
-                _sum(c, FINE_MONEY if c in ("rev_tax", "rev_disc") else MONEY).alias(c)
-                for c in ("rev", "rev_tax", "rev_disc", "rev_kept", "rev_open")
-            ],
-            _sum(F.when(F.col("o_orderstatus") == "P", F.col("rev")), MONEY).alias("rev_pending"),
-            F.sum("n_lines").alias("n_lines"),
-            F.sum("n_returned").alias("n_returned"),
-            F.count("*").alias("n_orders"),
+        .join(_orders(spark, root, window), F.col("l_orderkey") == F.col("o_orderkey"))
+        .select(
+            "*",
+            F.when(pending, F.col("rev_hi")).alias("rev_pending_hi"),
+            F.when(pending, F.col("rev_lo")).alias("rev_pending_lo"),
+            F.lit(1).alias("n_orders"),
         )
+        .groupBy("o_custkey", "date")
+        .agg(*_sums(measures))
     )
     geography = star_table(spark, root, "nation").join(
         star_table(spark, root, "region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -108,34 +132,41 @@ def monthly_financials(
         per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(geography, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy(F.concat_ws(" / ", *COMPANY_GRAINS[company]).alias("company"), "date")
-        .agg(
-            *[
-                _sum(c, FINE_MONEY if c in ("rev_tax", "rev_disc") else MONEY).alias(c)
-                for c in ("rev", "rev_tax", "rev_disc", "rev_kept", "rev_open", "rev_pending")
-            ],
-            F.sum("n_lines").alias("n_lines"),
-            F.sum("n_returned").alias("n_returned"),
-            F.sum("n_orders").alias("n_orders"),
-            # one input row per customer and month, so this is the distinct count
-            F.count("*").alias("customers"),
-        )
+        # one input row per customer and month, so the row count is the distinct count
+        .agg(*_sums(measures), F.count("*").alias("customers"))
     )
     return _company_lines(per_company)
 
 
+def _orders(spark: SparkSession, root: str, window: IngestionWindow | None) -> DataFrame:
+    orders = star_table(spark, root, "orders")
+    if window is not None:
+        # on the stored column, so that the scan can skip row groups
+        orders = orders.filter(
+            (F.col("o_orderdate") >= F.lit(window.start).cast("timestamp_ntz"))
+            & (F.col("o_orderdate") < F.date_add(F.lit(window.end), 1).cast("timestamp_ntz"))
+        )
+    return orders.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.trunc("o_orderdate", "month").alias("date")
+    )
+
+
 def _company_lines(sums: DataFrame) -> DataFrame:
     """The statement lines from the company-month sums, rounded as DECIMAL, then DOUBLE."""
     rev, rev_tax, rev_disc = F.col("rev"), F.col("rev_tax"), F.col("rev_disc")
+    counts = ["date", "company", "customers", "n_lines", "n_returned"]
 
     def money(x: Column) -> Column:
         return F.round(x, 2).cast("decimal(22,2)")
 
-    lines = sums.select(
-        "date",
-        "company",
-        "customers",
-        "n_lines",
-        "n_returned",
+    exact = sums.select(
+        *counts,
+        "n_orders",
+        *[_joined(n, 4).alias(n) for n in NET_SUMS],
+        *[_joined(n, 6).alias(n) for n in WEIGHTED_SUMS],
+    )
+    lines = exact.select(
+        *counts,
         money(rev).alias("revenue"),
         money(rev * _dec("0.38") + rev_tax).alias("cogs"),
         money(rev * _dec("0.18") + rev_disc).alias("opex"),
@@ -192,39 +223,26 @@ def monthly_macro(
         star_table(spark, root, "lineitem")
         .select(
             "l_orderkey",
-            (F.col("l_discount").cast("decimal(4,2)") * 100).cast("bigint").alias("disc"),
-            (F.col("l_tax").cast("decimal(4,2)") * 100).cast("bigint").alias("tax"),
+            F.round(F.col("l_discount") * 100).cast("bigint").alias("disc"),
+            F.round(F.col("l_tax") * 100).cast("bigint").alias("tax"),
             F.col("l_quantity").cast("bigint").alias("qty"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+            *_limbs("cents", F.round(F.col("l_extendedprice") * 100).cast("bigint")),
+            F.lit(1).alias("n"),
         )
         .groupBy("l_orderkey")
-        .agg(
-            F.sum("disc").alias("disc"),
-            F.sum("tax").alias("tax"),
-            F.sum("qty").alias("qty"),
-            F.sum("price").cast("decimal(22,2)").alias("price"),
-            F.count("*").alias("n"),
-        )
+        .agg(*_sums(["disc", "tax", "qty", "n", "cents_hi", "cents_lo"]))
     )
-    orders = star_table(spark, root, "orders").select("o_orderkey", "o_orderdate")
-    if window is not None:
-        orders = orders.filter(
-            F.col("o_orderdate").cast("date").between(F.lit(window.start), F.lit(window.end))
-        )
     months = (
-        per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(F.trunc("o_orderdate", "month").alias("date"))
-        .agg(
-            *[F.sum(c).alias(c) for c in ("disc", "tax", "qty", "n")],
-            F.sum("price").cast("decimal(22,2)").alias("price"),
-        )
+        per_order.join(_orders(spark, root, window), F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("date")
+        .agg(*_sums(["disc", "tax", "qty", "n", "cents_hi", "cents_lo"]))
     )
     n = F.col("n")
 
     def two_places(num: Column) -> Column:
         return half_up_div(num, n).cast("double") / 100
 
-    fx = F.col("price").cast("double") / n / 3000.0
+    fx = _joined("cents", 2).cast("double") / n / 3000.0
     return months.select(
         "date",
         two_places(F.col("disc") * 100).alias("inflation_rate"),

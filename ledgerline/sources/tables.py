@@ -13,10 +13,33 @@ from ledgerline.schemas import nullable_copy
 
 NUMERIC_TEXT_TYPE = "double"
 
+# Column types of the transactional source tables.
+STAR_DDL = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
 
 def star_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One table of the transactional star schema."""
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    """One table of the transactional star schema; the declared types save the inference job."""
+    return spark.read.schema(STAR_DDL[name]).parquet(f"{root}/{name}.parquet")
 
 
 def scan_layer(
