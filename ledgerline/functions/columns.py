@@ -24,11 +24,6 @@ def clip(x: Column, low: Column, high: Column) -> Column:
     return F.when(x < low, low).when(x > high, high).otherwise(x)
 
 
-def half_up_div(num: Column, den: Column) -> Column:
-    """Integer division of two non-negative integers, rounded half up."""
-    return F.call_function("div", num * 2 + den, den * 2)
-
-
 def growth(x: Column | str, base: Column) -> Column:
     return ratio(col(x) - base, base)
 
@@ -45,6 +40,11 @@ def by_year(*extra: str) -> WindowSpec:
     return by_company(*extra).orderBy("year")
 
 
+def by_period(*extra: str) -> WindowSpec:
+    """Year order in which the actual part of a year comes before its forecast part."""
+    return by_company(*extra).orderBy("year", "is_forecast")
+
+
 def running(spec: WindowSpec) -> WindowSpec:
     return spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -64,6 +64,27 @@ def negate(x: Column | str) -> Column:
     return F.lit(0.0) - col(x)
 
 
+def literal(value) -> str:
+    """A Python value as SQL text, for long literal lists that are parsed in one go."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, float):
+        return f"{value!r}D"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def inline_rows(rows: list[dict[str, str]]) -> Column:
+    """Generator of one output row per dict of SQL expressions."""
+    structs = (
+        "named_struct(" + ", ".join(f"'{k}', {x}" for k, x in row.items()) + ")" for row in rows
+    )
+    return F.expr(f"inline(array({', '.join(structs)}))")
+
+
 def money_label(x: Column | str, decimals: int = 0) -> Column:
     """``R 12M`` from one million up, ``R 12,345`` below, a dash for null."""
     v = col(x)

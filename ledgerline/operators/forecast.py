@@ -71,15 +71,19 @@ def _add_revenue_fit(df: DataFrame, observed: Column, model: ModelAssumptions) -
 
 
 def forecast_revenue(
-    history: DataFrame, periods: int = 36, model: ModelAssumptions = MODEL
+    history: DataFrame,
+    periods: int = 36,
+    model: ModelAssumptions = MODEL,
+    until: dt.date | None = None,
 ) -> DataFrame:
     """In-sample fit and ``periods`` future months, per company.
 
     ``history`` has one row per (company, month); missing months are filled in
     so that the trend counts calendar months. Other columns are kept on history
-    rows. ``step`` is 0 for history and 1.. for the future.
+    rows. ``step`` is 0 for history and 1.. for the future. The future starts
+    after each company's own last month, or after ``until`` for all of them.
     """
-    frame = extend_months(complete_months(history).drop("is_gap"), periods)
+    frame = extend_months(complete_months(history, until=until).drop("is_gap"), periods)
     return _add_revenue_fit(frame, F.col("revenue"), model)
 
 
@@ -90,29 +94,24 @@ def horizon(fitted: DataFrame) -> DataFrame:
 
 def extend_regressors(
     silver: DataFrame, columns: tuple[str, ...] = ("inflation_rate", "interest_rate"),
-    periods: int = 36,
+    periods: int = 36, until: dt.date | None = None,
 ) -> DataFrame:
-    """Regressors over history and future: nulls take the mean, the future the last value."""
-    frame = extend_months(
-        complete_months(silver.select("company", "date", *columns)).drop("is_gap"), periods
-    )
-    past = F.col("step") == 0
-    return frame.select(
-        "company",
-        "date",
-        "step",
-        *[
-            F.when(past, F.coalesce(F.col(c), F.avg(c).over(by_company())))
-            .otherwise(
-                F.coalesce(
-                    F.max_by(c, F.when(past, F.col("date"))).over(by_company()),
-                    F.avg(c).over(by_company()),
-                )
-            )
-            .alias(c)
-            for c in columns
-        ],
-    )
+    """Regressors over history and future: nulls take the mean, the future the last known value."""
+    history = complete_months(silver.select("company", "date", *columns), until=until)
+    frame = extend_months(history.drop("is_gap"), periods)
+    return fill_regressors(frame, columns).select("company", "date", "step", *columns)
+
+
+def fill_regressors(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Regressor values for every row of a frame that has ``step``."""
+    wc = by_company()
+
+    def filled(c: str) -> Column:
+        last_known = F.max_by(c, F.when(F.col(c).isNotNull(), F.col("date"))).over(wc)
+        past = F.coalesce(F.col(c), F.avg(c).over(wc))
+        return F.when(F.col("step") == 0, past).otherwise(last_known)
+
+    return frame.withColumns({c: filled(c) for c in columns})
 
 
 def _ratio_forecast(name: str, model: ModelAssumptions) -> dict[str, Column]:
@@ -235,11 +234,14 @@ def project_cash_flow(frame: DataFrame) -> DataFrame:
 
 
 def forecast_frame(
-    history: DataFrame, periods: int = 36, model: ModelAssumptions = MODEL
+    history: DataFrame,
+    periods: int = 36,
+    model: ModelAssumptions = MODEL,
+    until: dt.date | None = None,
 ) -> DataFrame:
     """History and future rows with every fitted parameter attached."""
     return (
-        forecast_revenue(history, periods, model)
+        forecast_revenue(history, periods, model, until)
         .transform(ratio_trend, model)
         .transform(history_ratios, model)
         .transform(efficiency_ramp, periods, model)
@@ -251,11 +253,12 @@ def gold_monthly(
     periods: int = 36,
     forecast_date: dt.date | None = None,
     model: ModelAssumptions = MODEL,
+    until: dt.date | None = None,
 ) -> DataFrame:
     """The monthly forecast table."""
     made_on = F.current_date() if forecast_date is None else F.lit(forecast_date)
     return (
-        forecast_frame(history, periods, model)
+        forecast_frame(history, periods, model, until)
         .transform(horizon)
         .transform(project_pnl, model)
         .transform(project_working_capital, model)
@@ -355,10 +358,13 @@ def to_gold_schema(
 
 
 def forecast_mape(
-    history: DataFrame, holdout: int = 12, model: ModelAssumptions = MODEL
+    history: DataFrame,
+    holdout: int = 12,
+    model: ModelAssumptions = MODEL,
+    until: dt.date | None = None,
 ) -> DataFrame:
     """Mean absolute percentage error of the last ``holdout`` months, fitted without them."""
-    frame = complete_months(history.select("company", "date", "revenue")).drop("is_gap")
+    frame = complete_months(history.select("company", "date", "revenue"), until=until).drop("is_gap")
     split = F.add_months(F.max("date").over(by_company()), -holdout)
     error = F.abs(ratio(F.col("revenue") - F.col("revenue_forecast"), "revenue"))
     return (

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.columns import by_date, growth, ratio
+from ledgerline.functions.columns import by_date, growth, inline_rows, literal, ratio
 from ledgerline.params import QualityLimits
 from ledgerline.schemas import business_columns
 
@@ -229,19 +229,19 @@ def evaluate(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
         *[r.checked.alias(f"c{i}") for i, r in enumerate(rules) if r.checked is not None],
     )
     rows = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(r.name).alias("check_name"),
-            F.lit(r.kind).alias("check_type"),
-            F.lit(r.column).alias("column_name"),
-            F.col("n" if r.checked is None else f"c{i}").alias("rows_checked"),
-            F.col(f"f{i}").alias("rows_failed"),
-            F.lit(float(r.threshold)).alias("threshold"),
-            F.lit(r.details).alias("details"),
-        )
+        {
+            "table_name": literal(table),
+            "check_name": literal(r.name),
+            "check_type": literal(r.kind),
+            "column_name": literal(r.column),
+            "rows_checked": "n" if r.checked is None else f"c{i}",
+            "rows_failed": f"f{i}",
+            "threshold": literal(float(r.threshold)),
+            "details": literal(r.details),
+        }
         for i, r in enumerate(rules)
     ]
-    return _verdicts(counts.select(F.inline(F.array(*rows))))
+    return _verdicts(counts.select(inline_rows(rows)))
 
 
 def _single(df: DataFrame, table, name, kind, column, threshold, details="") -> DataFrame:

@@ -7,12 +7,13 @@ group is a few hundred rows at most.
 
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ledgerline.operators.forecast import extend_regressors
+from ledgerline.operators.forecast import fill_regressors
 from ledgerline.operators.timeseries import complete_months, extend_months
 
 RESULT_SCHEMA = (
@@ -83,14 +84,14 @@ def fit_company(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def forecast_revenue_with_regressors(silver: DataFrame, periods: int = 36) -> DataFrame:
+def forecast_revenue_with_regressors(
+    silver: DataFrame, periods: int = 36, until: dt.date | None = None
+) -> DataFrame:
     """Same columns as the built-in forecast, fitted with macro regressors.
 
     ``silver`` has one row per (company, month) with revenue and both regressors.
     """
-    past = complete_months(silver.select("company", "date", "revenue", *REGRESSORS)).drop("is_gap")
-    frame = extend_months(past, periods).select("company", "date", "step", "revenue")
-    inputs = frame.join(
-        extend_regressors(past, REGRESSORS, periods).drop("step"), ["company", "date"]
-    ).withColumn("step", F.col("step").cast("int"))
+    wanted = silver.select("company", "date", "revenue", *REGRESSORS)
+    past = complete_months(wanted, until=until).drop("is_gap")
+    inputs = fill_regressors(extend_months(past, periods), REGRESSORS)
     return inputs.groupBy("company").applyInPandas(fit_company, RESULT_SCHEMA)

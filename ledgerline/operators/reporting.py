@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import money_label, percent_label, ratio
+from ledgerline.functions.columns import (
+    inline_rows, literal, money_label, percent_label, ratio,
+)
 from ledgerline.params import SCENARIOS
 
 # Report lines in print order as (label, column, kind). A section or
@@ -88,15 +90,15 @@ SCENARIO_METRICS = (
 )
 
 
-def display_value(column: str | None, kind: str) -> Column:
-    """Money to whole units, percentages to 4 places, null kept.
+def display_value(column: str | None, kind: str) -> str:
+    """SQL for a printed cell: money to whole units, percentages to 4 places, null kept.
 
     Rounding to 6 places first drops binary noise, so that an exact half always
     rounds the same way.
     """
     if column is None:
-        return F.lit(None).cast("double")
-    return F.round(F.round(column, 6), 4 if kind == "pct" else 0)
+        return "CAST(NULL AS DOUBLE)"
+    return f"ROUND(ROUND({column}, 6), {4 if kind == 'pct' else 0})"
 
 
 def statement_report(statements: DataFrame, years: list[int]) -> DataFrame:
@@ -105,29 +107,29 @@ def statement_report(statements: DataFrame, years: list[int]) -> DataFrame:
     Lines are exploded from each year's row and pivoted over a given year list,
     so no extra job has to find the years.
     """
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("statement"),
-                F.lit(no).alias("line_no"),
-                F.lit(label).alias("label"),
-                F.lit(kind).alias("kind"),
-                display_value(column, kind).alias("value"),
-            )
+    lines = inline_rows(
+        [
+            {
+                "statement": literal(name),
+                "line_no": literal(no),
+                "label": literal(label),
+                "kind": literal(kind),
+                "value": display_value(column, kind),
+            }
             for name, layout in STATEMENTS
             for no, (label, column, kind) in enumerate(layout, 1)
         ]
     )
     group = ["company"] + (["scenario"] if "scenario" in statements.columns else [])
     pivoted = (
-        statements.select(*group, "year", F.inline(lines))
+        statements.select(*group, "year", "is_forecast", lines)
         .groupBy(*group, "statement", "line_no", "label", "kind")
         .pivot("year", years)
-        .agg(F.first("value"))
+        # a year with an actual and a forecast row shows the later one
+        .agg(F.max_by("value", "is_forecast"))
     )
-    return pivoted.select(
-        *group, "statement", "line_no", "label", "kind",
-        *[F.col(str(y)).alias(f"y{y}") for y in years],
+    return pivoted.selectExpr(
+        *group, "statement", "line_no", "label", "kind", *[f"`{y}` AS y{y}" for y in years]
     )
 
 
@@ -137,21 +139,15 @@ def scenario_matrix(
     )
 ) -> DataFrame:
     """Metrics by (scenario, year) columns."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(no).alias("line_no"),
-                F.lit(label).alias("metric"),
-                display_value(column, kind).alias("value"),
-            )
+    cells = inline_rows(
+        [
+            {"line_no": literal(no), "metric": literal(label), "value": display_value(column, kind)}
             for no, (label, column, kind) in enumerate(SCENARIO_METRICS, 1)
         ]
     )
     heads = [f"{s}_{y}" for s in names for y in years]
     return (
-        scenario_rows.select(
-            "company", F.concat_ws("_", "scenario", "year").alias("_head"), F.inline(cells)
-        )
+        scenario_rows.select("company", F.concat_ws("_", "scenario", "year").alias("_head"), cells)
         .groupBy("company", "line_no", "metric")
         .pivot("_head", heads)
         .agg(F.first("value"))
@@ -265,9 +261,10 @@ def _bridge(rows: DataFrame, group: list[str], parts: list[tuple[str, str]], tot
 def cash_waterfall(cash: DataFrame) -> DataFrame:
     """CFO, CFI, CFF and net change of each company's latest year."""
     group = ["company"] + (["scenario"] if "scenario" in cash.columns else [])
+    period = F.struct("year", "is_forecast")
     latest = cash.groupBy(*group).agg(
         F.max("year").alias("year"),
-        *[F.max_by(c, "year").alias(c) for c in ("cfo", "cfi", "cff")],
+        *[F.max_by(c, period).alias(c) for c in ("cfo", "cfi", "cff")],
     )
     return _bridge(
         latest, [*group, "year"], [("CFO", "cfo"), ("CFI", "cfi"), ("CFF", "cff")], "Net Change"

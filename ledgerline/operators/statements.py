@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import (
-    by_company, by_year, fall, floor_at_zero, growth, negate, ratio, rise, running,
+    by_company, by_period, fall, floor_at_zero, growth, negate, ratio, rise, running,
 )
 from ledgerline.operators.kpis import PNL_COLUMNS
 from ledgerline.params import SCENARIOS, ModelAssumptions, ServingAssumptions
@@ -50,7 +50,7 @@ def combine_scenario_years(
 def with_income_ratios(years: DataFrame, scenario: str = "Base") -> DataFrame:
     """Period label, margins, effective tax rate and growth over the joined series."""
     label = F.col("scenario") if "scenario" in years.columns else F.lit(scenario)
-    spec = by_year(*_keys(years))
+    spec = by_period(*_keys(years))
     return years.withColumns(
         {
             "period_type": F.when(
@@ -85,7 +85,7 @@ def _accumulate_floored(opening: Column, flow: Column, keys: tuple[str, ...]) ->
     With S the running sum of opening and flows, ``x_i = S_i - min(0, S_1..S_i)``:
     the running minimum is what the floor has absorbed so far.
     """
-    spec = running(by_year(*keys))
+    spec = running(by_period(*keys))
     first = F.col("_i") == 0
     sums = {"_s": F.sum(F.when(first, opening).otherwise(flow)).over(spec)}
     lows = {"_low": F.min(F.when(~first, F.col("_s"))).over(spec)}
@@ -105,7 +105,7 @@ def net_ppe(
     return (
         years.withColumns(
             {
-                "_i": F.row_number().over(by_year(*keys)) - 1,
+                "_i": F.row_number().over(by_period(*keys)) - 1,
                 "_capex0": _first_history("capex", keys),
             }
         )
@@ -129,14 +129,14 @@ def debt_schedule(
         / model.implied_interest_rate
         * model.periods_per_year
     )
-    age = F.row_number().over(by_year(*keys)) - 1
+    age = F.row_number().over(by_period(*keys)) - 1
     return years.withColumn("long_term_debt", opening * F.pow(F.lit(model.debt_decay), age))
 
 
 def retained_earnings(years: DataFrame, model: ModelAssumptions = MODEL) -> DataFrame:
     kept = F.col("net_income") * model.retention_ratio
     return years.withColumn(
-        "retained_earnings", F.sum(kept).over(running(by_year(*_keys(years))))
+        "retained_earnings", F.sum(kept).over(running(by_period(*_keys(years))))
     )
 
 
@@ -178,7 +178,7 @@ def balance_sheet(years: DataFrame, model: ModelAssumptions = MODEL) -> DataFram
 
 def cash_flow(combined: DataFrame, model: ModelAssumptions = MODEL) -> DataFrame:
     """Indirect cash flow over rows that hold both income and balance columns."""
-    spec = by_year(*_keys(combined))
+    spec = by_period(*_keys(combined))
     return (
         combined.withColumns(
             {
@@ -218,7 +218,7 @@ def cash_flow_statement(
     income: DataFrame, balance: DataFrame, model: ModelAssumptions = MODEL
 ) -> DataFrame:
     """Cash flow from two stored statements: income left-joined with balance columns."""
-    keys = ["company", *_keys(income), "year"]
+    keys = ["company", *_keys(income), "year", "is_forecast"]
     joined = income.join(balance.select(*keys, *CASH_FLOW_BALANCES), keys, "left")
     return cash_flow(joined, model)
 
@@ -243,7 +243,7 @@ def balance_sheet_serving(
     """
     keys = _keys(years)
     first_revenue = F.first("revenue").over(
-        by_year(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        by_period(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     rev = F.col("revenue")
 
@@ -276,7 +276,7 @@ def cash_flow_serving(
     years: DataFrame, model: ModelAssumptions = MODEL, serving: ServingAssumptions = SERVING
 ) -> DataFrame:
     """Cash flow of the serving layer: investing is capital spending, cash accumulates from zero."""
-    spec = by_year(*_keys(years))
+    spec = by_period(*_keys(years))
     return (
         balance_sheet_serving(years, model, serving)
         .withColumns(
@@ -312,7 +312,7 @@ def _check_rows(agg: DataFrame, group: list[str], checks: list[tuple[str, Column
 def three_statement_checks(statements: DataFrame) -> DataFrame:
     """The four linkage checks per company (and scenario), with the worst deviation."""
     group = ["company", *_keys(statements)]
-    spec = by_year(*_keys(statements))
+    spec = by_period(*_keys(statements))
     moved = F.col("retained_earnings") - F.lag("retained_earnings").over(spec)
     operating = F.col("gross_profit") - F.col("opex") - F.col("rd_expense") - F.col("sga_expense")
     agg = (
@@ -349,7 +349,7 @@ def three_statement_checks(statements: DataFrame) -> DataFrame:
 def statement_identities(statements: DataFrame, tolerance: float = 10.0) -> DataFrame:
     """Further identities every consistent set of statements holds, per company."""
     group = ["company", *_keys(statements)]
-    spec = by_year(*_keys(statements))
+    spec = by_period(*_keys(statements))
     c = F.col
     gaps = {
         "assets_are_current_plus_fixed": F.abs(
@@ -393,7 +393,7 @@ def statement_identities(statements: DataFrame, tolerance: float = 10.0) -> Data
 def cash_reconciliation(statements: DataFrame) -> DataFrame:
     """Mean and largest reconciliation error; the opening year is reported apart."""
     group = ["company", *_keys(statements)]
-    opening = F.row_number().over(by_year(*_keys(statements))) == 1
+    opening = F.row_number().over(by_period(*_keys(statements))) == 1
     gap = F.col("cf_reconciliation")
     return (
         statements.withColumn("_opening", opening)

@@ -14,17 +14,22 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import ratio
 
 
-def complete_months(df: DataFrame, keys: tuple[str, ...] = ("company",)) -> DataFrame:
+def complete_months(
+    df: DataFrame, keys: tuple[str, ...] = ("company",), until: dt.date | None = None
+) -> DataFrame:
     """Insert the missing months between the first and last row of each series.
 
     Each row explodes to itself plus the gap up to the next row, so filling the
     calendar needs one sort by key and no join. Inserted rows have null measures
-    and ``is_gap`` true.
+    and ``is_gap`` true. With ``until`` every series is continued to that month,
+    which gives series that stop early the same end as the others.
     """
     upcoming = F.lead("date").over(Window.partitionBy(*keys).orderBy("date"))
+    slot_end = F.add_months(upcoming, -1)
+    if until is not None:
+        slot_end = F.coalesce(slot_end, F.trunc(F.lit(until), "month"))
     # greatest ignores the null after the last row and keeps one slot for a repeated month
-    until = F.greatest(F.add_months(upcoming, -1), F.col("date"))
-    slots = df.withColumn("_until", until).withColumn(
+    slots = df.withColumn("_until", F.greatest(slot_end, F.col("date"))).withColumn(
         "_slot", F.explode(F.sequence("date", "_until", F.expr("interval 1 month")))
     )
     own = F.col("_slot") == F.col("date")

@@ -107,7 +107,9 @@ class BatchRun:
     def forecasting(self) -> int:
         history = self._read("silver_monthly")
         first_month = self.config.window.end + dt.timedelta(days=1)
-        monthly = fc.gold_monthly(history, self.config.window.horizon_months, first_month)
+        monthly = fc.gold_monthly(
+            history, self.config.window.horizon_months, first_month, until=self.config.window.end
+        )
         rows = layers.overwrite(monthly, self._path("gold_monthly_forecast"))
         layers.overwrite(
             fc.gold_annual(self._read("gold_monthly_forecast")), self._path("gold_annual_forecast")

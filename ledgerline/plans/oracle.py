@@ -96,13 +96,13 @@ FROM {name}_profit""",
     _full(f"{name}_full", name)
 
 
-def _full(name: str, source: str) -> None:
-    """Calendar-complete rows of a (company, date) table."""
+def _full(name: str, source: str, last: str = "MAX(date)") -> None:
+    """Calendar-complete rows of a (company, date) table, up to each or a common last month."""
     _cte(
         f"{name}_grid",
         f"""
 SELECT company, CAST(UNNEST(generate_series(first_date, last_date, INTERVAL 1 MONTH)) AS DATE) AS date
-FROM (SELECT company, MIN(date) AS first_date, MAX(date) AS last_date
+FROM (SELECT company, MIN(date) AS first_date, {last} AS last_date
   FROM {source} GROUP BY company) span""",
         source,
     )
@@ -204,7 +204,7 @@ _cte("hist", "SELECT * FROM annual WHERE year BETWEEN 1995 AND 2000", "annual")
 
 # ---------------------------------------------------------------- forecasts
 _cte("past", f"SELECT * FROM fin WHERE {HISTORY}", "fin")
-_full("past_full", "past")
+_full("past_full", "past", "DATE '2000-12-01'")
 _cte(
     "series",
     """

@@ -104,7 +104,7 @@ def _past(spark, root):
 
 
 def _gold_monthly(spark, root):
-    return fc.gold_monthly(_past(spark, root), WINDOW.horizon_months, FORECAST_DATE)
+    return fc.gold_monthly(_past(spark, root), WINDOW.horizon_months, FORECAST_DATE, until=WINDOW.end)
 
 
 def _annual(spark, root):
@@ -119,7 +119,7 @@ def _layers(spark, root):
         kpis.working_capital).withColumns(
         {c: F.lit(None).cast("double") for c in kpis.MACRO_COLUMNS}
     ))
-    gold = fc.gold_annual(fc.gold_monthly(past, WINDOW.horizon_months, FORECAST_DATE))
+    gold = fc.gold_annual(fc.gold_monthly(past, WINDOW.horizon_months, FORECAST_DATE, until=WINDOW.end))
     return hist, gold, fc.scenarios(gold)
 
 
@@ -988,13 +988,13 @@ _FIT = ("revenue_forecast:4 revenue_lower:4 revenue_upper:4 revenue_trend:4 reve
 
 @_register("forecast_revenue", f"company date step {_FIT}", "SELECT * FROM fitted", "fitted")
 def _(spark, root):
-    return fc.forecast_revenue(_past(spark, root), WINDOW.horizon_months)
+    return fc.forecast_revenue(_past(spark, root), WINDOW.horizon_months, until=WINDOW.end)
 
 
 @_register("forecast_revenue_reg", f"company date step {_FIT}")
 def _(spark, root):
     silver = kpis.join_macro(_past(spark, root), monthly_macro(spark, root, WINDOW))
-    return forecast_revenue_with_regressors(silver, WINDOW.horizon_months)
+    return forecast_revenue_with_regressors(silver, WINDOW.horizon_months, WINDOW.end)
 
 
 @_register(
@@ -1003,20 +1003,20 @@ def _(spark, root):
         CASE WHEN s.step = 0 THEN COALESCE(m.inflation_rate, a.i) ELSE l.inflation_rate END AS inflation_rate,
         CASE WHEN s.step = 0 THEN COALESCE(m.interest_rate, a.r) ELSE l.interest_rate END AS interest_rate
       FROM slots s JOIN fit f ON s.company = f.company
-        JOIN (SELECT company, AVG(inflation_rate) AS i, AVG(interest_rate) AS r
+        JOIN (SELECT company, AVG(inflation_rate) AS i, AVG(interest_rate) AS r, MAX(p.date) AS known
           FROM past p JOIN macro m ON p.date = m.date GROUP BY company) a ON s.company = a.company
         LEFT JOIN past p ON s.company = p.company AND s.date = p.date
-        LEFT JOIN macro m ON p.date = m.date LEFT JOIN macro l ON l.date = f.last_date""",
+        LEFT JOIN macro m ON p.date = m.date LEFT JOIN macro l ON l.date = a.known""",
     "slots fit macro past",
 )
 def _(spark, root):
     silver = kpis.join_macro(_past(spark, root), monthly_macro(spark, root, WINDOW))
-    return fc.extend_regressors(silver, periods=WINDOW.horizon_months)
+    return fc.extend_regressors(silver, periods=WINDOW.horizon_months, until=WINDOW.end)
 
 
 @_register("forecast_horizon", f"company date {_FIT}", "SELECT * FROM fitted WHERE step > 0", "fitted")
 def _(spark, root):
-    return fc.horizon(fc.forecast_revenue(_past(spark, root), WINDOW.horizon_months))
+    return fc.horizon(fc.forecast_revenue(_past(spark, root), WINDOW.horizon_months, until=WINDOW.end))
 
 
 _HATS = "cogs_ratio_hat:8 opex_ratio_hat:8 rd_ratio_hat:8 sga_ratio_hat:8"
@@ -1029,7 +1029,7 @@ _HATS = "cogs_ratio_hat:8 opex_ratio_hat:8 rd_ratio_hat:8 sga_ratio_hat:8"
     "ratios",
 )
 def _(spark, root):
-    fitted = fc.forecast_revenue(_past(spark, root), WINDOW.horizon_months)
+    fitted = fc.forecast_revenue(_past(spark, root), WINDOW.horizon_months, until=WINDOW.end)
     return fc.horizon(fc.ratio_trend(fitted))
 
 
@@ -1038,7 +1038,7 @@ def _(spark, root):
     "SELECT *, rd_ratio_raw AS rd_ratio_hat, sga_ratio_raw AS sga_ratio_hat FROM ramped", "ramped",
 )
 def _(spark, root):
-    return fc.horizon(fc.forecast_frame(_past(spark, root), WINDOW.horizon_months))
+    return fc.horizon(fc.forecast_frame(_past(spark, root), WINDOW.horizon_months, until=WINDOW.end))
 
 
 _MARGINS = "gross_margin:4 ebitda_margin:4 net_margin:4"
@@ -1046,7 +1046,7 @@ _MARGINS = "gross_margin:4 ebitda_margin:4 net_margin:4"
 
 @_register("forecast_pnl", f"company date {_cols(PNL, 2)} {_MARGINS}", "SELECT * FROM pnl", "pnl")
 def _(spark, root):
-    frame = fc.horizon(fc.forecast_frame(_past(spark, root), WINDOW.horizon_months))
+    frame = fc.horizon(fc.forecast_frame(_past(spark, root), WINDOW.horizon_months, until=WINDOW.end))
     return fc.project_pnl(frame)
 
 
@@ -1057,7 +1057,7 @@ def _(spark, root):
     "wc",
 )
 def _(spark, root):
-    frame = fc.horizon(fc.forecast_frame(_past(spark, root), WINDOW.horizon_months))
+    frame = fc.horizon(fc.forecast_frame(_past(spark, root), WINDOW.horizon_months, until=WINDOW.end))
     return fc.project_working_capital(fc.project_pnl(frame))
 
 
@@ -1137,7 +1137,7 @@ def _(spark, root):
     "forecast_mape", "company mape:8 n_months", "SELECT * FROM mape", "mape",
 )
 def _(spark, root):
-    return fc.forecast_mape(_past(spark, root))
+    return fc.forecast_mape(_past(spark, root), until=WINDOW.end)
 
 
 @_register(
@@ -1151,7 +1151,7 @@ def _(spark, root):
 def _(spark, root):
     actual = layers.materialize(_fin(spark, root))
     past = timeseries.date_range(actual, WINDOW.start, WINDOW.end)
-    forecast = fc.gold_monthly(past, WINDOW.horizon_months, FORECAST_DATE)
+    forecast = fc.gold_monthly(past, WINDOW.horizon_months, FORECAST_DATE, until=WINDOW.end)
     return fc.forecast_vs_actual(forecast, actual)
 
 
@@ -1617,7 +1617,7 @@ def _(spark, root):
     actual = layers.materialize(_fin(spark, root))
     past = timeseries.date_range(actual, WINDOW.start, WINDOW.end)
     yearly = actual.groupBy("company", F.year("date").alias("year")).agg(F.sum("revenue").alias("revenue"))
-    gold = fc.gold_annual(fc.gold_monthly(past, WINDOW.horizon_months, FORECAST_DATE))
+    gold = fc.gold_annual(fc.gold_monthly(past, WINDOW.horizon_months, FORECAST_DATE, until=WINDOW.end))
     return reporting.bi_model_join(yearly, gold, fc.scenarios(gold))
 
 
@@ -1810,12 +1810,12 @@ def _(spark, root):
         *[F.sum(c).alias(c) for c in (*kpis.PNL_COLUMNS, "capex")],
         *[F.max_by(c, "date").alias(c) for c in fc.CLOSING_COLUMNS],
     )
-    gold = fc.gold_annual(fc.gold_monthly(past, WINDOW.horizon_months, FORECAST_DATE))
+    gold = fc.gold_annual(fc.gold_monthly(past, WINDOW.horizon_months, FORECAST_DATE, until=WINDOW.end))
     return monitoring.tracked_metrics(
         past,
         quality.gate(past),
         logs.dq_log_from_events(spark, root),
         logs.run_log_from_events(spark, root),
-        fc.forecast_mape(past),
+        fc.forecast_mape(past, until=WINDOW.end),
         statements.three_statements(statements.combine_years(hist, gold)),
     )

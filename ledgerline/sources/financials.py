@@ -19,7 +19,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import half_up_div, ratio
 from ledgerline.operators.timeseries import complete_months
 from ledgerline.params import IngestionWindow
 from ledgerline.sources.tables import star_table
@@ -37,27 +36,24 @@ COMPANY_GRAINS = {
 }
 
 
-def _dec(text: str) -> Column:
-    return F.lit(Decimal(text))
+def _hundredths(column: str) -> str:
+    """A stored two-place double as an exact integer (``round`` would go through BigDecimal)."""
+    return f"FLOOR({column} * 100 + 0.5D)"
 
 
-def _limbs(name: str, amount: Column) -> list[Column]:
+def _limbs(name: str, amount: str) -> list[str]:
     """An integer amount as a high and a low part that add up separately."""
-    return [
-        F.call_function("div", amount, F.lit(LIMB)).alias(f"{name}_hi"),
-        (amount % LIMB).alias(f"{name}_lo"),
-    ]
+    return [f"({amount}) DIV {LIMB} AS {name}_hi", f"({amount}) % {LIMB} AS {name}_lo"]
 
 
 def _limb_names(*names: str) -> list[str]:
     return [f"{n}_{part}" for n in names for part in ("hi", "lo")]
 
 
-def _joined(name: str, places: int) -> Column:
+def _joined(name: str, places: int) -> str:
     """Both limbs as one DECIMAL with the given number of places."""
-    whole = F.col(f"{name}_hi").cast("decimal(20,0)") * LIMB + F.col(f"{name}_lo")
-    unit = F.lit(Decimal(1).scaleb(-places))
-    return (whole * unit).cast(f"decimal({20 + places},{places})")
+    whole = f"CAST({name}_hi AS DECIMAL(20,0)) * {LIMB} + {name}_lo"
+    return f"CAST(({whole}) * {Decimal(1).scaleb(-places):f} AS DECIMAL({20 + places},{places}))"
 
 
 def _sums(names) -> list[Column]:
@@ -66,29 +62,27 @@ def _sums(names) -> list[Column]:
 
 def order_totals(spark: SparkSession, root: str) -> DataFrame:
     """One row per order: the line sums every monthly measure is a combination of."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    discount = F.round(F.col("l_discount") * 100).cast("bigint")
-    tax = F.round(F.col("l_tax") * 100).cast("bigint")
-    rev = F.col("rev")
+    net = f"{_hundredths('l_extendedprice')} * (100 - {_hundredths('l_discount')})"
     lines = (
         star_table(spark, root, "lineitem")
-        .select(
+        .selectExpr(
             "l_orderkey",
-            "l_returnflag",
-            "l_linestatus",
-            (cents * (100 - discount)).alias("rev"),
-            discount.alias("disc"),
-            tax.alias("tax"),
+            "l_returnflag = 'N' AS kept",
+            "l_linestatus = 'O' AS open",
+            "l_returnflag = 'R' AS returned",
+            f"{net} AS rev",
+            f"{_hundredths('l_discount')} AS disc",
+            f"{_hundredths('l_tax')} AS tax",
         )
-        .select(
+        .selectExpr(
             "l_orderkey",
-            *_limbs("rev", rev),
-            *_limbs("rev_tax", rev * F.col("tax")),
-            *_limbs("rev_disc", rev * F.col("disc")),
-            *_limbs("rev_kept", F.when(F.col("l_returnflag") == "N", rev)),
-            *_limbs("rev_open", F.when(F.col("l_linestatus") == "O", rev)),
-            F.lit(1).alias("n_lines"),
-            F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("n_returned"),
+            *_limbs("rev", "rev"),
+            *_limbs("rev_tax", "rev * tax"),
+            *_limbs("rev_disc", "rev * disc"),
+            *_limbs("rev_kept", "IF(kept, rev, NULL)"),
+            *_limbs("rev_open", "IF(open, rev, NULL)"),
+            "1 AS n_lines",
+            "IF(returned, 1, 0) AS n_returned",
         )
     )
     return lines.groupBy("l_orderkey").agg(
@@ -109,15 +103,15 @@ def monthly_financials(
     whole order history is used.
     """
     measures = _limb_names(*NET_SUMS, *WEIGHTED_SUMS) + ["n_lines", "n_returned", "n_orders"]
-    pending = F.col("o_orderstatus") == "P"
+    pending = "o_orderstatus = 'P'"
     per_customer = (
         order_totals(spark, root)
         .join(_orders(spark, root, window), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
+        .selectExpr(
             "*",
-            F.when(pending, F.col("rev_hi")).alias("rev_pending_hi"),
-            F.when(pending, F.col("rev_lo")).alias("rev_pending_lo"),
-            F.lit(1).alias("n_orders"),
+            f"IF({pending}, rev_hi, NULL) AS rev_pending_hi",
+            f"IF({pending}, rev_lo, NULL) AS rev_pending_lo",
+            "1 AS n_orders",
         )
         .groupBy("o_custkey", "date")
         .agg(*_sums(measures))
@@ -151,83 +145,78 @@ def _orders(spark: SparkSession, root: str, window: IngestionWindow | None) -> D
     )
 
 
+# Statement lines as DECIMAL combinations of the exact sums (fixed values).
+_LINES = {
+    "revenue": "rev",
+    "cogs": "rev * 0.38 + rev_tax",
+    "opex": "rev * 0.18 + rev_disc",
+    "rd_expense": "rev * 0.06 + rev_tax",
+    "sga_expense": "rev * 0.10 + rev_tax * 0.5",
+    "depreciation": "rev * 0.03 + rev_disc * 0.2",
+    "accounts_receivable": "rev_pending * 0.4",
+    "inventory": "rev_kept * 0.19",
+    "accounts_payable": "rev_open * 0.084",
+    "capex": "rev * 0.04 + rev_disc * 0.3",
+}
+# Profit lines in dependency order.
+_CASCADE = {
+    "gross_profit": "revenue - cogs",
+    "ebitda": "gross_profit - opex - rd_expense - sga_expense",
+    "ebit": "ebitda - depreciation",
+    "ebt": "ebit - interest_expense",
+    "tax_expense": "ROUND(GREATEST(ebt * 0.28, 0), 2)",
+    "net_income": "ebt - tax_expense",
+}
+_AMOUNTS = (
+    "revenue", "cogs", "gross_profit", "opex", "rd_expense", "sga_expense", "ebitda",
+    "depreciation", "ebit", "interest_expense", "ebt", "tax_expense", "net_income",
+    "accounts_receivable", "inventory", "accounts_payable", "capex",
+)
+
+
 def _company_lines(sums: DataFrame) -> DataFrame:
     """The statement lines from the company-month sums, rounded as DECIMAL, then DOUBLE."""
-    rev, rev_tax, rev_disc = F.col("rev"), F.col("rev_tax"), F.col("rev_disc")
     counts = ["date", "company", "customers", "n_lines", "n_returned"]
-
-    def money(x: Column) -> Column:
-        return F.round(x, 2).cast("decimal(22,2)")
-
-    exact = sums.select(
+    exact = sums.selectExpr(
         *counts,
         "n_orders",
-        *[_joined(n, 4).alias(n) for n in NET_SUMS],
-        *[_joined(n, 6).alias(n) for n in WEIGHTED_SUMS],
+        *[f"{_joined(n, 4)} AS {n}" for n in NET_SUMS],
+        *[f"{_joined(n, 6)} AS {n}" for n in WEIGHTED_SUMS],
     )
-    lines = exact.select(
+    # a later expression of the same list may use an earlier name
+    return exact.selectExpr(
         *counts,
-        money(rev).alias("revenue"),
-        money(rev * _dec("0.38") + rev_tax).alias("cogs"),
-        money(rev * _dec("0.18") + rev_disc).alias("opex"),
-        money(rev * _dec("0.06") + rev_tax).alias("rd_expense"),
-        money(rev * _dec("0.10") + rev_tax * _dec("0.5")).alias("sga_expense"),
-        money(rev * _dec("0.03") + rev_disc * _dec("0.2")).alias("depreciation"),
-        (F.col("n_orders").cast("decimal(18,0)") * _dec("100")).alias("interest_expense"),
-        money(F.col("rev_pending") * _dec("0.4")).alias("accounts_receivable"),
-        money(F.col("rev_kept") * _dec("0.19")).alias("inventory"),
-        money(F.col("rev_open") * _dec("0.084")).alias("accounts_payable"),
-        money(rev * _dec("0.04") + rev_disc * _dec("0.3")).alias("capex"),
-    )
-    gross = F.col("revenue") - F.col("cogs")
-    ebitda = gross - F.col("opex") - F.col("rd_expense") - F.col("sga_expense")
-    ebit = ebitda - F.col("depreciation")
-    ebt = ebit - F.col("interest_expense")
-    tax = F.round(F.greatest(ebt * _dec("0.28"), _dec("0")), 2)
-    derived = {
-        "gross_profit": gross,
-        "ebitda": ebitda,
-        "ebit": ebit,
-        "ebt": ebt,
-        "tax_expense": tax,
-        "net_income": ebt - tax,
-    }
-    churn = half_up_div(F.col("n_returned") * 1200, F.col("n_lines")).cast("double") / 10000
-
-    def line(name: str) -> Column:
-        return derived.get(name, F.col(name)).cast("double").alias(name)
-
-    return lines.select(
+        *[f"CAST(ROUND({x}, 2) AS DECIMAL(22,2)) AS {name}" for name, x in _LINES.items()],
+        "CAST(n_orders AS DECIMAL(18,0)) * 100 AS interest_expense",
+        *[f"{x} AS {name}" for name, x in _CASCADE.items()],
+    ).selectExpr(
         "date",
         "company",
-        *[
-            line(c)
-            for c in (
-                "revenue", "cogs", "gross_profit", "opex", "rd_expense", "sga_expense",
-                "ebitda", "depreciation", "ebit", "interest_expense", "ebt",
-                "tax_expense", "net_income", "accounts_receivable", "inventory",
-                "accounts_payable", "capex",
-            )
-        ],
+        *[f"CAST({a} AS DOUBLE) AS {a}" for a in _AMOUNTS],
         "customers",
-        ratio(F.col("revenue").cast("double"), F.col("customers")).alias("avg_revenue_per_user"),
-        churn.alias("churn_rate"),
+        "CAST(revenue AS DOUBLE) / customers AS avg_revenue_per_user",
+        f"{_half_up('n_returned * 1200', 'n_lines')} / 10000D AS churn_rate",
     )
 
 
+def _half_up(num: str, den: str) -> str:
+    """Integer division of non-negative integers, rounded half up."""
+    return f"((2 * ({num}) + {den}) DIV (2 * {den}))"
+
+
 def monthly_macro(
     spark: SparkSession, root: str, window: IngestionWindow | None = None
 ) -> DataFrame:
     """Bronze macro indicators, one row per month of the order date."""
     per_order = (
         star_table(spark, root, "lineitem")
-        .select(
+        .selectExpr(
             "l_orderkey",
-            F.round(F.col("l_discount") * 100).cast("bigint").alias("disc"),
-            F.round(F.col("l_tax") * 100).cast("bigint").alias("tax"),
-            F.col("l_quantity").cast("bigint").alias("qty"),
-            *_limbs("cents", F.round(F.col("l_extendedprice") * 100).cast("bigint")),
-            F.lit(1).alias("n"),
+            f"{_hundredths('l_discount')} AS disc",
+            f"{_hundredths('l_tax')} AS tax",
+            "CAST(l_quantity AS BIGINT) AS qty",
+            *_limbs("cents", _hundredths("l_extendedprice")),
+            "1 AS n",
         )
         .groupBy("l_orderkey")
         .agg(*_sums(["disc", "tax", "qty", "n", "cents_hi", "cents_lo"]))
@@ -237,19 +226,14 @@ def monthly_macro(
         .groupBy("date")
         .agg(*_sums(["disc", "tax", "qty", "n", "cents_hi", "cents_lo"]))
     )
-    n = F.col("n")
-
-    def two_places(num: Column) -> Column:
-        return half_up_div(num, n).cast("double") / 100
-
-    fx = _joined("cents", 2).cast("double") / n / 3000.0
-    return months.select(
+    fx = f"CAST({_joined('cents', 2)} AS DOUBLE) / n / 3000.0D"
+    return months.selectExpr(
         "date",
-        two_places(F.col("disc") * 100).alias("inflation_rate"),
-        two_places(F.col("tax") * 175).alias("interest_rate"),
-        two_places(F.col("tax") * 45).alias("gdp_growth"),
-        (F.floor(fx * 100 + 0.5).cast("double") / 100).alias("usd_zar"),
-        two_places(F.col("qty") * 125).alias("unemployment"),
+        f"{_half_up('disc * 100', 'n')} / 100D AS inflation_rate",
+        f"{_half_up('tax * 175', 'n')} / 100D AS interest_rate",
+        f"{_half_up('tax * 45', 'n')} / 100D AS gdp_growth",
+        f"FLOOR({fx} * 100 + 0.5D) / 100D AS usd_zar",
+        f"{_half_up('qty * 125', 'n')} / 100D AS unemployment",
     )
 
 
@@ -262,12 +246,9 @@ def reported_financials(
     identity by more than the tolerance, and months without any order come in
     as rows without amounts.
     """
-    booked = F.col("gross_profit").cast("decimal(22,2)") / _dec(unit)
+    booked = f"CAST(ROUND(CAST(gross_profit AS DECIMAL(22,2)) / {unit}, 0) AS DECIMAL(22,0)) * {unit}"
     return (
         complete_months(monthly_financials(spark, root, company))
-        .withColumn(
-            "gross_profit",
-            (F.round(booked, 0).cast("decimal(22,0)") * _dec(unit)).cast("double"),
-        )
+        .withColumn("gross_profit", F.expr(f"CAST({booked} AS DOUBLE)"))
         .drop("is_gap")
     )
