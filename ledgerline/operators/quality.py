@@ -403,7 +403,10 @@ def stamp_log(results: DataFrame, run_id: str, checked_at=None) -> DataFrame:
 
 
 def summarize(results: DataFrame) -> DataFrame:
-    """Passed over total per check type and overall, with the failed check names."""
+    """Passed over total per check type and overall, with the failed check names.
+
+    ``results`` are the checks of one run: a few dozen rows, fixed by the rules.
+    """
     scopes = results.select(
         "*", F.explode(F.array("check_type", F.lit("overall"))).alias("scope")
     )

@@ -85,6 +85,19 @@ def resample_totals(df: DataFrame, keys: tuple[str, ...], value: str) -> DataFra
     return complete_months(df.groupBy(*keys, "date").agg(mean.alias(value)), keys).drop("is_gap")
 
 
+def _nearest(value: Column, keys: tuple[str, ...], ahead: bool = False) -> Column:
+    """The closest non-null value at or before a row, or at or after it.
+
+    Looking ahead runs over descending dates: a growing frame is linear, while a
+    frame up to the end of the series would be scanned again for every row.
+    """
+    date = F.col("date").desc() if ahead else F.col("date")
+    frame = Window.partitionBy(*keys).orderBy(date).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return F.last(value, ignorenulls=True).over(frame)
+
+
 def interpolate_linear(
     df: DataFrame, value: str, keys: tuple[str, ...] = ("company",), out: str | None = None
 ) -> DataFrame:
@@ -93,8 +106,6 @@ def interpolate_linear(
     Rows before the first known value stay null; rows after the last carry it.
     """
     order = Window.partitionBy(*keys).orderBy("date")
-    back = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(value).alias("v")))
     x0, x1 = F.col("_left"), F.col("_right")
     share = ratio((F.col("_pos") - x0["p"]).cast("double"), (x1["p"] - x0["p"]).cast("double"))
@@ -105,8 +116,8 @@ def interpolate_linear(
         df.withColumn("_pos", F.row_number().over(order))
         .withColumns(
             {
-                "_left": F.last(known, ignorenulls=True).over(back),
-                "_right": F.first(known, ignorenulls=True).over(ahead),
+                "_left": _nearest(known, keys),
+                "_right": _nearest(known, keys, ahead=True),
             }
         )
         .withColumn(out or value, F.when(x0.isNotNull(), filled))
@@ -126,13 +137,7 @@ def ffill_bfill(
     df: DataFrame, value: str, keys: tuple[str, ...] = ("company",), out: str | None = None
 ) -> DataFrame:
     """Carry the last known value forward, then the first known value backward."""
-    order = Window.partitionBy(*keys).orderBy("date")
-    forward = F.last(value, ignorenulls=True).over(
-        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    backward = F.first(value, ignorenulls=True).over(
-        order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    )
+    forward, backward = _nearest(F.col(value), keys), _nearest(F.col(value), keys, ahead=True)
     return df.withColumn(out or value, F.coalesce(forward, backward))
 
 

@@ -1,8 +1,8 @@
 """Discounted cash flow, sensitivity grids and shocks.
 
-Parameters are rows exploded from literal arrays; cash flows of one company and
-scenario are a bounded array (one element per forecast year), so a grid of any
-size multiplies rows after the only shuffle and never joins.
+Parameters are rows exploded from literal arrays, never joined. The only shuffle
+is by company and scenario: it numbers the forecast years, and the sums per grid
+cell are computed within the same partitions.
 """
 
 from __future__ import annotations
@@ -25,45 +25,44 @@ def free_cash_flow(model: ModelAssumptions = MODEL) -> Column:
     return F.coalesce(F.col("fcf"), F.col("net_income") * model.fcf_conversion)
 
 
-def cash_flow_vectors(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Yearly free cash flows per key as one array in year order."""
-    flows = F.array_sort(F.collect_list(F.struct("year", free_cash_flow().alias("fcf"))))
-    return df.groupBy(*(keys or _keys(df))).agg(
-        F.transform(flows, lambda x: x["fcf"]).alias("fcfs")
+def yearly_flows(df: DataFrame) -> DataFrame:
+    """Free cash flow per key and year, with the year's position ``t`` from 1."""
+    keys = _keys(df)
+    return df.select(*keys, "year", free_cash_flow().alias("fcf")).withColumn(
+        "t", F.row_number().over(by_year(*keys[1:]))
     )
 
 
-def _present_value(fcfs: Column, rate: Column) -> Column:
-    """Sum of ``fcf_t / (1 + rate)^t`` with t from 1."""
-    discounted = F.transform(fcfs, lambda x, t: x / F.pow(1.0 + rate, t + 1))
-    return F.aggregate(discounted, F.lit(0.0), lambda acc, x: acc + x)
-
+def value_flows(flows: DataFrame, wacc: Column, growth: Column, net_debt: float) -> DataFrame:
+    """Enterprise and equity value per key; null where growth reaches the discount rate.
 
-def value_cash_flows(
-    vectors: DataFrame, wacc: Column, growth: Column, net_debt: Column
-) -> DataFrame:
-    """Enterprise and equity value; null where growth reaches the discount rate."""
-    n = F.size("fcfs")
-    defined = wacc > growth
-    last = F.element_at("fcfs", -1)
-    terminal = F.when(defined, last * (1.0 + growth) / (wacc - growth))
+    ``wacc`` and ``growth`` may be constants or columns of ``flows``: every column
+    besides year, t and fcf is part of the key.
+    """
+    keys = [c for c in flows.columns if c not in ("year", "t", "fcf")]
+    w, g = F.col("_wacc"), F.col("_growth")
     return (
-        vectors.withColumns(
-            {
-                "pv_fcf": F.when(defined, _present_value(F.col("fcfs"), wacc)),
-                "terminal_value": terminal,
-            }
+        flows.withColumns({"_wacc": wacc, "_growth": growth})
+        .groupBy(*keys, "_wacc", "_growth")
+        .agg(
+            F.sum(F.col("fcf") / F.pow(1.0 + w, "t")).alias("pv_fcf"),
+            F.max_by("fcf", "year").alias("_last"),
+            F.count("*").alias("_n"),
         )
-        .withColumn("pv_terminal", F.col("terminal_value") / F.pow(1.0 + wacc, n))
+        .withColumn("pv_fcf", F.when(w > g, F.col("pv_fcf")))
+        .withColumn(
+            "terminal_value", F.when(w > g, F.col("_last") * (1.0 + g) / (w - g))
+        )
+        .withColumn("pv_terminal", F.col("terminal_value") / F.pow(1.0 + w, "_n"))
         .withColumn("enterprise_value", F.col("pv_fcf") + F.col("pv_terminal"))
         .withColumns(
             {
-                "equity_value": F.col("enterprise_value") - net_debt,
+                "equity_value": F.col("enterprise_value") - F.lit(net_debt),
                 "pv_fcf_pct": ratio("pv_fcf", "enterprise_value"),
                 "pv_tv_pct": ratio("pv_terminal", "enterprise_value"),
             }
         )
-        .drop("fcfs")
+        .drop("_wacc", "_growth", "_last", "_n")
     )
 
 
@@ -75,17 +74,14 @@ def dcf(
     shares: float = 1_000_000.0,
 ) -> DataFrame:
     """Valuation per company (and scenario, shock), with value per share."""
-    valued = value_cash_flows(cash_flow_vectors(df), F.lit(wacc), F.lit(growth), F.lit(net_debt))
+    valued = value_flows(yearly_flows(df), F.lit(wacc), F.lit(growth), net_debt)
     return valued.withColumn("value_per_share", ratio("equity_value", F.lit(shares)))
 
 
 def dcf_schedule(df: DataFrame, wacc: float = MODEL.default_wacc) -> DataFrame:
     """Discount factor and present value of each forecast year."""
-    keys = _keys(df)
-    t = F.row_number().over(by_year(*keys[1:]))
     return (
-        df.select(*keys, "year", free_cash_flow().alias("fcf"))
-        .withColumn("t", t)
+        yearly_flows(df)
         .withColumn("discount_factor", 1.0 / F.pow(F.lit(1.0 + wacc), F.col("t")))
         .withColumn("pv_fcf", F.col("fcf") * F.col("discount_factor"))
     )
@@ -103,12 +99,12 @@ def dcf_sensitivity(
     point exact.
     """
     grid = (
-        cash_flow_vectors(df)
+        yearly_flows(df)
         .select("*", F.explode(F.sequence(*map(F.lit, wacc_pct))).alias("wacc_pct"))
         .select("*", F.explode(F.sequence(*map(F.lit, growth_pct))).alias("growth_pct"))
     )
     w, g = F.col("wacc_pct") / 100.0, F.col("growth_pct") / 100.0
-    return value_cash_flows(grid, w, g, F.lit(net_debt)).select(
+    return value_flows(grid, w, g, net_debt).select(
         *_keys(df), "wacc_pct", "growth_pct",
         (F.col("equity_value") / 1e6).alias("equity_value_m"),
     )

@@ -30,6 +30,13 @@ def test_statements_share_one_shuffle(spark):
     assert exchanges(plan(st.three_statements(years_frame(spark)))) == ["hashpartitioning"]
 
 
+def test_a_valuation_grid_adds_no_shuffle(spark):
+    from ledgerline.operators import valuation as va
+
+    flows = spark.createDataFrame([("a", 2021, 1.0, 1.0)], "company string, year int, fcf double, net_income double")
+    assert exchanges(plan(va.dcf_sensitivity(flows))) == ["hashpartitioning"]
+
+
 def test_lines_are_reduced_before_the_join(spark, sf_dir):
     text = plan(order_totals(spark, sf_dir))
     assert "partial_sum" in text
