@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import (
     by_company, by_date, by_year, clip, growth, negate, ratio, running,
 )
-from ledgerline.operators.kpis import PNL_COLUMNS, cost_ratios, pnl_cascade
+from ledgerline.operators.kpis import PNL_COLUMNS, cost_ratios, margins, pnl_cascade
 from ledgerline.operators.timeseries import complete_months, extend_months
 from ledgerline.params import (
     SCENARIO_EBITDA_PASS_THROUGH, SCENARIO_NET_PASS_THROUGH, SCENARIOS, SCHEMA_VERSIONS,
@@ -209,15 +209,19 @@ def project_working_capital(frame: DataFrame, model: ModelAssumptions = MODEL) -
 
 
 def project_cash_flow(frame: DataFrame) -> DataFrame:
-    """Operating and free cash flow; capital spending and working-capital build are negative."""
+    """Operating and free cash flow; capital spending and working-capital build are negative.
+
+    Deltas and the running total start anew with the first future month.
+    """
+    spec = by_date("_future")
     wc = F.col("accounts_receivable") + F.col("inventory") - F.col("accounts_payable")
-    build = F.col("_wc") - F.lag("_wc").over(by_date())
+    build = F.col("_wc") - F.lag("_wc").over(spec)
     return (
-        frame.withColumn("_wc", wc)
+        frame.withColumns({"_wc": wc, "_future": F.col("step") > 0})
         .withColumn("_build", F.coalesce(build, F.lit(0.0)))
         .withColumn("cfo", F.col("net_income") + F.col("depreciation") - F.col("_build"))
         .withColumn("fcf", F.col("cfo") - F.col("capex"))
-        .withColumn("cumulative_cash", F.sum("fcf").over(running(by_date())))
+        .withColumn("cumulative_cash", F.sum("fcf").over(running(spec)))
         .withColumns(
             {
                 "depreciation_addback": F.col("depreciation"),
@@ -229,7 +233,7 @@ def project_cash_flow(frame: DataFrame) -> DataFrame:
                 },
             }
         )
-        .drop("_wc", "_build")
+        .drop("_wc", "_build", "_future")
     )
 
 
@@ -282,6 +286,45 @@ def gold_annual(monthly: DataFrame) -> DataFrame:
     )
 
 
+MODEL_AMOUNTS = (*PNL_COLUMNS, "capex", *CLOSING_COLUMNS, *MARGIN_COLUMNS)
+
+
+def model_years(
+    history: DataFrame,
+    periods: int = 36,
+    model: ModelAssumptions = MODEL,
+    until: dt.date | None = None,
+) -> DataFrame:
+    """Historical and forecast years in one frame, from one pass over the months.
+
+    The same rows as the annual roll-up next to the annual forecast, for the
+    columns the statements need. History and future stay in the partitions of the
+    single shuffle by company, which the yearly sums and the statement windows
+    reuse; nothing is computed twice or joined.
+    """
+    past = margins(history)
+    actual = F.struct(*[F.col(c) for c in MODEL_AMOUNTS])
+    projected = (
+        forecast_frame(past.withColumn("_actual", actual), periods, model, until)
+        .transform(project_pnl, model)
+        .transform(project_working_capital, model)
+        .transform(project_cash_flow)
+    )
+    future = F.col("step") > 0
+    months = projected.filter(future | F.col("_actual.revenue").isNotNull()).select(
+        "company",
+        "date",
+        future.alias("is_forecast"),
+        *[F.when(future, F.col(c)).otherwise(F.col(f"_actual.{c}")).alias(c) for c in MODEL_AMOUNTS],
+        *[F.when(future, F.col(c)).alias(c) for c in ("cfo", "fcf")],
+    )
+    return months.groupBy(F.year("date").alias("year"), "company", "is_forecast").agg(
+        *[F.sum(c).alias(c) for c in (*PNL_COLUMNS, "cfo", "capex", "fcf")],
+        *[F.avg(c).alias(c) for c in MARGIN_COLUMNS],
+        *[F.max_by(c, "date").alias(c) for c in CLOSING_COLUMNS],
+    )
+
+
 def explode_scenarios(df: DataFrame, scenarios: tuple[Scenario, ...] = SCENARIOS) -> DataFrame:
     """Each row once per scenario, with the scenario's two adjustments."""
     table = F.array(
@@ -303,29 +346,31 @@ def scenarios(
     adjust_margins: bool = False,
     model: ModelAssumptions = MODEL,
 ) -> DataFrame:
-    """Annual forecast per scenario.
+    """Annual forecast per scenario; historical rows are repeated unchanged.
 
     Revenue and profit move; cost lines and margins stay at the base case. With
     ``adjust_margins`` the EBITDA and net margin columns move too and gross
     profit stays, which is the serving variant.
     """
     m = F.col("_margin_adj")
+    revenue = F.col("revenue") * F.col("_revenue_adj")
     em = F.col("ebitda_margin") + m * SCENARIO_EBITDA_PASS_THROUGH
     nm = F.col("net_margin") + m * SCENARIO_NET_PASS_THROUGH
-    out = explode_scenarios(annual, cases).withColumn(
-        "revenue", F.col("revenue") * F.col("_revenue_adj")
-    )
     moved = {
-        "ebitda": F.col("revenue") * em,
-        "net_income": F.col("revenue") * nm,
+        "revenue": revenue,
+        "ebitda": revenue * em,
+        "net_income": revenue * nm,
+        "fcf": revenue * nm * model.fcf_conversion,
     }
     if adjust_margins:
         moved |= {"ebitda_margin": em, "net_margin": nm}
     else:
-        moved["gross_profit"] = F.col("revenue") * (F.col("gross_margin") + m)
+        moved["gross_profit"] = revenue * (F.col("gross_margin") + m)
     return (
-        out.withColumns(moved)
-        .withColumn("fcf", F.col("net_income") * model.fcf_conversion)
+        explode_scenarios(annual, cases)
+        .withColumns(
+            {c: F.when(F.col("is_forecast"), x).otherwise(F.col(c)) for c, x in moved.items()}
+        )
         .drop("_revenue_adj", "_margin_adj")
     )
 

@@ -128,13 +128,16 @@ def _years(spark, root):
     return statements.combine_years(hist, gold)
 
 
+def _model_years(spark, root):
+    return fc.model_years(_past(spark, root), WINDOW.horizon_months, until=WINDOW.end)
+
+
 def _statements(spark, root):
-    return statements.three_statements(_years(spark, root))
+    return statements.three_statements(_model_years(spark, root))
 
 
 def _scenario_statements(spark, root):
-    hist, _, cases = _layers(spark, root)
-    return statements.three_statements(statements.combine_scenario_years(hist, cases))
+    return statements.three_statements(fc.scenarios(_model_years(spark, root)))
 
 
 def _gold_annual(spark, root):
@@ -1165,17 +1168,17 @@ _INCOME_RATIOS = "gross_margin:8 ebitda_margin:8 ebit_margin:8 net_margin:8"
     "SELECT * FROM stm_income", "stm_income",
 )
 def _(spark, root):
-    return statements.income_statement(_years(spark, root))
+    return statements.income_statement(_model_years(spark, root))
 
 
 @_register("effective_tax_rate", "company year tax_rate:8", "SELECT * FROM stm_income", "stm_income")
 def _(spark, root):
-    return statements.income_statement(_years(spark, root))
+    return statements.income_statement(_model_years(spark, root))
 
 
 @_register("revenue_growth", "company year revenue_growth:8", "SELECT * FROM stm_income", "stm_income")
 def _(spark, root):
-    return statements.income_statement(_years(spark, root))
+    return statements.income_statement(_model_years(spark, root))
 
 
 @_register(
@@ -1184,23 +1187,22 @@ def _(spark, root):
     "SELECT * FROM sstm_income", "sstm_income",
 )
 def _(spark, root):
-    hist, _, cases = _layers(spark, root)
-    return statements.income_statement(statements.combine_scenario_years(hist, cases))
+    return statements.income_statement(fc.scenarios(_model_years(spark, root)))
 
 
 @_register("net_ppe", "company year net_ppe:3", "SELECT * FROM stm", "stm")
 def _(spark, root):
-    return statements.net_ppe(_years(spark, root))
+    return statements.net_ppe(_model_years(spark, root))
 
 
 @_register("debt_schedule", "company year long_term_debt:3", "SELECT * FROM stm", "stm")
 def _(spark, root):
-    return statements.debt_schedule(_years(spark, root))
+    return statements.debt_schedule(_model_years(spark, root))
 
 
 @_register("retained_earnings", "company year retained_earnings:4", "SELECT * FROM stm", "stm")
 def _(spark, root):
-    return statements.retained_earnings(_years(spark, root))
+    return statements.retained_earnings(_model_years(spark, root))
 
 
 @_register(
@@ -1208,7 +1210,7 @@ def _(spark, root):
     "SELECT * FROM stm", "stm",
 )
 def _(spark, root):
-    return statements.balance_sheet(_years(spark, root))
+    return statements.balance_sheet(_model_years(spark, root))
 
 
 _BALANCE = (
@@ -1220,12 +1222,12 @@ _BALANCE = (
 
 @_register("balance_sheet", f"company year {_BALANCE}", "SELECT * FROM stm", "stm")
 def _(spark, root):
-    return statements.balance_sheet(_years(spark, root))
+    return statements.balance_sheet(_model_years(spark, root))
 
 
 @_register("balance_check", "company year bs_balance_check:3", "SELECT * FROM stm", "stm")
 def _(spark, root):
-    return statements.balance_sheet(_years(spark, root))
+    return statements.balance_sheet(_model_years(spark, root))
 
 
 _CASH_FLOW = (
@@ -1477,7 +1479,7 @@ def _(spark, root):
     "SELECT * FROM serving", "serving",
 )
 def _(spark, root):
-    return statements.balance_sheet_serving(_years(spark, root))
+    return statements.balance_sheet_serving(_model_years(spark, root))
 
 
 @_register(
@@ -1486,7 +1488,7 @@ def _(spark, root):
     "SELECT * FROM serving_cash", "serving_cash",
 )
 def _(spark, root):
-    return statements.cash_flow_serving(_years(spark, root))
+    return statements.cash_flow_serving(_model_years(spark, root))
 
 
 @_register(
@@ -1563,7 +1565,7 @@ def _(spark, root):
     "stm",
 )
 def _(spark, root):
-    return reporting.asset_composition(statements.balance_sheet(_years(spark, root)))
+    return reporting.asset_composition(statements.balance_sheet(_model_years(spark, root)))
 
 
 @_register("customers_arpu", "company year customers_eoy arpu:4", "SELECT * FROM annual", "annual")
@@ -1806,16 +1808,12 @@ def _(spark, root):
 )
 def _(spark, root):
     past = layers.materialize(_past(spark, root))
-    hist = past.groupBy("company", F.year("date").alias("year")).agg(
-        *[F.sum(c).alias(c) for c in (*kpis.PNL_COLUMNS, "capex")],
-        *[F.max_by(c, "date").alias(c) for c in fc.CLOSING_COLUMNS],
-    )
-    gold = fc.gold_annual(fc.gold_monthly(past, WINDOW.horizon_months, FORECAST_DATE, until=WINDOW.end))
+    years = fc.model_years(past, WINDOW.horizon_months, until=WINDOW.end)
     return monitoring.tracked_metrics(
         past,
         quality.gate(past),
         logs.dq_log_from_events(spark, root),
         logs.run_log_from_events(spark, root),
         fc.forecast_mape(past, until=WINDOW.end),
-        statements.three_statements(statements.combine_years(hist, gold)),
+        statements.three_statements(years),
     )

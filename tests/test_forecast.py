@@ -80,6 +80,21 @@ def test_scenarios_scale_revenue_and_profit_only(spark):
     assert moved["Bull"].gross_profit == base.gross_profit
 
 
+def test_one_pass_years_equal_the_two_tables(spark):
+    from ledgerline.operators import kpis
+
+    history = full_history(spark, 36, ("a", "b"))
+    gold = fc.gold_annual(fc.gold_monthly(history, 12, MADE_ON))
+    years = fc.model_years(history, 12).orderBy("company", "year")
+    future = years.filter("is_forecast").select(*gold.columns).collect()
+    assert future == gold.orderBy("company", "year").collect()
+    past = years.filter("not is_forecast").select("company", "year", *kpis.PNL_COLUMNS, "inventory").collect()
+    silver = kpis.monthly_kpis(history).withColumns({c: F.lit(1.0) for c in kpis.MACRO_COLUMNS})
+    rolled = kpis.annual_rollup(silver).orderBy("company", "year")
+    for a, b in zip(past, rolled.select("company", "year", *kpis.PNL_COLUMNS, "inventory").collect()):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:])
+
+
 def test_mape_is_zero_on_a_perfect_line(spark):
     row = fc.forecast_mape(months(spark, {"a": [50.0 + i for i in range(36)]})).first()
     assert row.mape < 0.02 and row.n_months == 12

@@ -30,6 +30,13 @@ def test_statements_share_one_shuffle(spark):
     assert exchanges(plan(st.three_statements(years_frame(spark)))) == ["hashpartitioning"]
 
 
+def test_history_to_scenario_statements_in_one_shuffle(spark, sf_dir):
+    bronze = monthly_financials(spark, sf_dir, "nation")
+    before = len(exchanges(plan(bronze)))
+    wide = st.three_statements(fc.scenarios(fc.model_years(bronze, 36)))
+    assert len(exchanges(plan(wide))) - before == 1
+
+
 def test_a_valuation_grid_adds_no_shuffle(spark):
     from ledgerline.operators import valuation as va
 
