@@ -106,8 +106,8 @@ def percent_label(x: Column | str) -> Column:
 
 
 def line_item_amount(x: Column | str) -> Column:
-    """Statement cell text: ``R`` and a 14-wide grouped amount, ``-`` for null."""
+    """Statement cell text: ``R`` and an at least 14-wide grouped amount, ``-`` for null."""
     v = col(x)
-    return F.when(v.isNull(), F.lit("-")).otherwise(
-        F.concat(F.lit("R "), F.lpad(F.format_number(v, 0), 14, " "))
-    )
+    text = F.format_number(v, 0)
+    wide = F.when(F.length(text) < 14, F.lpad(text, 14, " ")).otherwise(text)
+    return F.when(v.isNull(), F.lit("-")).otherwise(F.concat(F.lit("R "), wide))

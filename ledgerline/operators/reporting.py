@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import (
-    inline_rows, literal, money_label, percent_label, ratio,
+    inline_rows, line_item_amount, literal, money_label, percent_label, ratio,
 )
 from ledgerline.params import SCENARIOS
 
@@ -314,12 +314,15 @@ def customers_arpu(annual: DataFrame) -> DataFrame:
     return annual.select("company", "year", "customers_eoy", "arpu")
 
 
-def with_labels(df: DataFrame, money: list[str], percent: list[str]) -> DataFrame:
-    """Display text next to the numeric columns."""
+def with_labels(
+    df: DataFrame, money: list[str], percent: list[str], cells: list[str] | None = None
+) -> DataFrame:
+    """Display text next to the numeric columns; ``cells`` get the wide statement form."""
     return df.withColumns(
         {
             **{f"{c}_label": money_label(c) for c in money},
             **{f"{c}_label": percent_label(c) for c in percent},
+            **{f"{c}_cell": line_item_amount(c) for c in cells or []},
         }
     )
 

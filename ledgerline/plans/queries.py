@@ -91,10 +91,6 @@ def _fin(spark, root):
     return monthly_financials(spark, root, "nation")
 
 
-def _kpi(spark, root):
-    return kpis.monthly_kpis(_fin(spark, root))
-
-
 def _silver(spark, root):
     return kpis.silver_monthly(_fin(spark, root), monthly_macro(spark, root))
 
@@ -107,11 +103,6 @@ def _gold_monthly(spark, root):
     return fc.gold_monthly(_past(spark, root), WINDOW.horizon_months, FORECAST_DATE, until=WINDOW.end)
 
 
-def _annual(spark, root):
-    past, macro = _past(spark, root), monthly_macro(spark, root, WINDOW)
-    return kpis.annual_rollup(kpis.silver_monthly(past, macro))
-
-
 def _layers(spark, root):
     """History, yearly forecast and scenarios; history is stored once because all three read it."""
     past = layers.materialize(_past(spark, root))
@@ -1577,20 +1568,22 @@ def _(spark, root):
 
 
 @_register(
-    "format_labels", "company date revenue revenue_label accounts_receivable_label gross_margin_label",
+    "format_labels",
+    "company date revenue revenue_label accounts_receivable_label gross_margin_label revenue_cell",
     """SELECT company, date, revenue,
       CASE WHEN revenue IS NULL THEN '—' WHEN ABS(revenue) >= 1000000 THEN 'R ' || format('{:.0f}', revenue / 1e6) || 'M'
         ELSE 'R ' || format('{:,.0f}', revenue) END AS revenue_label,
       CASE WHEN accounts_receivable IS NULL THEN '—'
         WHEN ABS(accounts_receivable) >= 1000000 THEN 'R ' || format('{:.0f}', accounts_receivable / 1e6) || 'M'
         ELSE 'R ' || format('{:,.0f}', accounts_receivable) END AS accounts_receivable_label,
-      CASE WHEN revenue IS NULL THEN '—' ELSE format('{:.1f}', gross_profit / revenue * 100) || '%' END AS gross_margin_label
+      CASE WHEN revenue IS NULL THEN '—' ELSE format('{:.1f}', gross_profit / revenue * 100) || '%' END AS gross_margin_label,
+      CASE WHEN revenue IS NULL THEN '-' ELSE 'R ' || LPAD(format('{:,.0f}', revenue), 14, ' ') END AS revenue_cell
       FROM seg_full""",
     "seg_full",
 )
 def _(spark, root):
     rows = kpis.margins(timeseries.complete_months(_segments(spark, root)))
-    return reporting.with_labels(rows, ["revenue", "accounts_receivable"], ["gross_margin"])
+    return reporting.with_labels(rows, ["revenue", "accounts_receivable"], ["gross_margin"], ["revenue"])
 
 
 @_register(
