@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerline.llm import chunks, packing
+from ledgerline.llm import chunks, embeddings, licenses, packing, simhash
 
 QUERIES: dict[str, Callable] = {
+    "op2_simhash_near_dedup": simhash.query,
     "op3_best_fit_packing": packing.query,
+    "op4_license_scan": licenses.query,
+    "op5_embedding_near_dedup": embeddings.query,
     "op9_document_fingerprints": chunks.query,
 }
 
