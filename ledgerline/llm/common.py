@@ -56,3 +56,35 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+#: Multiplier of the rolling word hash, its inverse modulo 2 ** 64, and a random number per byte.
+_M = np.uint64(0x9E3779B97F4A7C15)
+_M_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the folded words of all texts, and the text each belongs to.
+
+    All words are hashed at once: the hash of a span is a difference of prefix sums of
+    byte * M ** place, divided by M ** start.
+    """
+    raw = [x.encode("utf-8", "surrogatepass") for x in texts]
+    data = np.frombuffer((b" ".join(raw) + b" ").translate(FOLD), np.uint8)
+    if not raw:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    inside = np.r_[False, data != 32]
+    edges = np.diff(inside.astype(np.int8))
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _powers(_M, len(data)), out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * _powers(_M_INVERSE, len(data))[starts]
+    text_starts = np.cumsum([0, *[len(x) + 1 for x in raw[:-1]]])
+    return mix64(hashes + (ends - starts).astype(np.uint64)), np.searchsorted(text_starts, starts, "right") - 1

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerline.llm import chunks, embeddings, licenses, packing, simhash
+from ledgerline.llm import chunks, embeddings, licenses, ngrams, packing, simhash
 
 QUERIES: dict[str, Callable] = {
+    "op1_lm_scoring": ngrams.query,
     "op2_simhash_near_dedup": simhash.query,
     "op3_best_fit_packing": packing.query,
     "op4_license_scan": licenses.query,
