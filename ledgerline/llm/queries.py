@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerline.llm import chunks, embeddings, licenses, ngrams, packing, simhash
+from ledgerline.llm import chunks, embeddings, language, licenses, mixing, ngrams, packing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable] = {
     "op1_lm_scoring": ngrams.query,
@@ -12,8 +12,12 @@ QUERIES: dict[str, Callable] = {
     "op3_best_fit_packing": packing.query,
     "op4_license_scan": licenses.query,
     "op5_embedding_near_dedup": embeddings.query,
+    "op6_toxicity": toxicity.query,
+    "op7_language_id": language.query,
+    "op8_quality_classifier": quality.query,
     "op9_document_fingerprints": chunks.query,
+    "op10_mixing": mixing.query,
 }
 
 #: SQL counterparts; the other operators are tested against brute force in ``tests/llm``.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.oracle()}

@@ -201,6 +201,25 @@ def near_components(prints: DataFrame, limit: int = LIMIT) -> DataFrame:
     return components(edges)
 
 
+def deduplicated(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Documents (doc_id, text, ...) without near-duplicates; columns as before.
+
+    Of each component the rows with its smallest id stay, and of repeated rows one. Rows
+    without id are looked at by fingerprint only: one stays if no row with an id has it.
+    """
+    own = docs.columns
+    rows = docs.withColumn("_fp", fingerprint(F.col("text").cast("string")))
+    prints = save(rows.select(F.col("doc_id").cast("long").alias("id"), F.col("_fp").alias("fp")), "fingerprints")
+    distinct = save(prints.groupBy("fp").agg(F.min("id").alias("id")), "distinct_fingerprints")
+    found = near_components(distinct.where("id IS NOT NULL"), limit)
+    # One id per component: ids that are no other component's member.
+    dropped = found.where("id <> component_id").select(F.col("id").alias("_id"))
+    stay = distinct.where("id IS NOT NULL").join(dropped, F.col("id") == F.col("_id"), "left_anti").select(F.col("id").alias("_id"))
+    named = docs.where("doc_id IS NOT NULL").join(stay, F.col("doc_id").cast("long") == F.col("_id"), "left_semi")
+    alone = rows.where("doc_id IS NULL").join(distinct.where("id IS NULL").select(F.col("fp").alias("_fp")), "_fp", "left_semi")
+    return named.dropDuplicates(["doc_id"]).select(*own).unionByName(alone.dropDuplicates(["_fp"]).select(*own))
+
+
 def near_duplicates(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """(doc_id, text) -> doc_id, fingerprint (hex), component_id: the smallest id reachable.
 
