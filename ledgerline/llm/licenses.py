@@ -204,7 +204,8 @@ def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
     the score is that of the surest finding, ``freedom`` that of the strictest.
     """
     kept = [c for c in docs.columns if c not in FOUND.names]
-    return docs.select(*kept, scan(F.col(text).cast("string")).alias("_found")).select(*kept, "_found.*")
+    found = "_".join(["_found", *kept])  # a name that no column has
+    return docs.select(*kept, scan(F.col(text).cast("string")).alias(found)).select(*kept, f"`{found}`.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
