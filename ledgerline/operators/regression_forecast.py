@@ -8,13 +8,19 @@ group is a few hundred rows at most.
 from __future__ import annotations
 
 import datetime as dt
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from ledgerline.operators.forecast import fill_regressors
 from ledgerline.operators.timeseries import complete_months, extend_months
+from ledgerline.params import ModelAssumptions
+
+# Executors get the fit with the task and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RESULT_SCHEMA = (
     "company string, date date, step int, revenue double, revenue_forecast double, "
@@ -26,7 +32,7 @@ CHANGEPOINT_RANGE = 0.8
 CHANGEPOINT_SCALE = 0.15
 FOURIER_ORDER = 4
 SEASONAL_PENALTY = 0.01
-INTERVAL_Z = 1.2816
+INTERVAL_Z = ModelAssumptions().interval_z
 REGRESSORS = ("inflation_rate", "interest_rate")
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import (
     inline_rows, line_item_amount, literal, money_label, percent_label, ratio,
 )
-from ledgerline.params import SCENARIOS
+from ledgerline.params import SCENARIOS, ModelAssumptions
+
+MODEL = ModelAssumptions()
 
 # Report lines in print order as (label, column, kind). A section or
 # blank line has no column; "total" marks subtotal rows, "pct" percentage rows.
@@ -50,7 +52,7 @@ BALANCE_LINES = (
     ("Paid-in Capital", "paid_in_capital", "money"),
     ("Retained Earnings", "retained_earnings", "money"),
     ("Total Equity", "total_equity", "total"),
-    ("Total L + E", "total_assets", "total"),
+    ("Total L + E", "total_liabilities + total_equity", "total"),
 )
 CASH_FLOW_LINES = (
     ("OPERATING ACTIVITIES", None, "section"),
@@ -101,12 +103,14 @@ def display_value(column: str | None, kind: str) -> str:
     return f"ROUND(ROUND({column}, 6), {4 if kind == 'pct' else 0})"
 
 
-def statement_report(statements: DataFrame, years: list[int]) -> DataFrame:
+def statement_report(statements: DataFrame, years: list[int] | None = None) -> DataFrame:
     """Printed layout: one row per company, statement and line, one column per year.
 
-    Lines are exploded from each year's row and pivoted over a given year list,
-    so no extra job has to find the years.
+    Lines are exploded from each year's row and pivoted over the years of the data, found
+    by one distinct (as many rows as years), or over a given list, which may not leave a
+    year out.
     """
+    years = _covering(statements, years)
     lines = inline_rows(
         [
             {
@@ -133,12 +137,22 @@ def statement_report(statements: DataFrame, years: list[int]) -> DataFrame:
     )
 
 
+def _covering(rows: DataFrame, years: list[int] | None) -> list[int]:
+    found = {r["year"] for r in rows.select("year").distinct().collect()} - {None}
+    if years is None:
+        return sorted(found)
+    if missed := sorted(found - set(years)):
+        raise ValueError(f"years without a column: {missed}")
+    return years
+
+
 def scenario_matrix(
-    scenario_rows: DataFrame, years: list[int], names: tuple[str, ...] = tuple(
+    scenario_rows: DataFrame, years: list[int] | None = None, names: tuple[str, ...] = tuple(
         s.name for s in SCENARIOS
     )
 ) -> DataFrame:
-    """Metrics by (scenario, year) columns."""
+    """Metrics by (scenario, year) columns; years are those of the data unless given."""
+    years = _covering(scenario_rows, years)
     cells = inline_rows(
         [
             {"line_no": literal(no), "metric": literal(label), "value": display_value(column, kind)}
@@ -167,7 +181,7 @@ def headline_kpis(historical: DataFrame, forecast: DataFrame) -> DataFrame:
         F.max_by("gross_margin", "year").alias("forecast_gross_margin"),
         F.max_by("ebitda_margin", "year").alias("forecast_ebitda_margin"),
         F.max_by(
-            F.coalesce(F.col("fcf"), F.col("net_income") * 0.85), "year"
+            F.coalesce(F.col("fcf"), F.col("net_income") * MODEL.fcf_conversion), "year"
         ).alias("forecast_fcf"),
     )
     return last_fcast.join(last_hist, "company").select(
@@ -188,7 +202,7 @@ def headline_kpis(historical: DataFrame, forecast: DataFrame) -> DataFrame:
 
 def scenario_totals(scenario_rows: DataFrame) -> DataFrame:
     margin = F.coalesce(F.col("ebitda_margin"), ratio("ebitda", "revenue"))
-    fcf = F.coalesce(F.col("fcf"), F.col("net_income") * 0.85)
+    fcf = F.coalesce(F.col("fcf"), F.col("net_income") * MODEL.fcf_conversion)
     return scenario_rows.groupBy("company", "scenario").agg(
         F.sum("revenue").alias("total_revenue"),
         F.sum("net_income").alias("total_net_income"),

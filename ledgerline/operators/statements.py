@@ -14,7 +14,7 @@ from ledgerline.functions.columns import (
     by_company, by_period, fall, floor_at_zero, growth, negate, ratio, rise, running,
 )
 from ledgerline.operators.kpis import PNL_COLUMNS
-from ledgerline.params import SCENARIOS, ModelAssumptions, ServingAssumptions
+from ledgerline.params import SCENARIOS, ModelAssumptions, QualityLimits, ServingAssumptions
 
 MODEL = ModelAssumptions()
 SERVING = ServingAssumptions()
@@ -309,8 +309,19 @@ def _check_rows(agg: DataFrame, group: list[str], checks: list[tuple[str, Column
     return agg.select(*group, F.inline(F.array(*rows)))
 
 
-def three_statement_checks(statements: DataFrame) -> DataFrame:
-    """The four linkage checks per company (and scenario), with the worst deviation."""
+def _holds(test: Column) -> Column:
+    """Whether a test holds in every row; an unknown outcome does not."""
+    return F.bool_and(F.coalesce(test, F.lit(False)))
+
+
+def three_statement_checks(
+    statements: DataFrame, model: ModelAssumptions = MODEL, limits: QualityLimits = QualityLimits()
+) -> DataFrame:
+    """The four linkage checks per company (and scenario), with the worst deviation.
+
+    A year in which a check is unknown fails it; only the first year, which has no
+    predecessor, takes no part in the check of retained earnings.
+    """
     group = ["company", *_keys(statements)]
     spec = by_period(*_keys(statements))
     moved = F.col("retained_earnings") - F.lag("retained_earnings").over(spec)
@@ -318,8 +329,9 @@ def three_statement_checks(statements: DataFrame) -> DataFrame:
     agg = (
         statements.withColumns(
             {
-                "_re_gap": F.abs(moved - F.col("net_income") * 0.7),
+                "_re_gap": F.abs(moved - F.col("net_income") * model.retention_ratio),
                 "_ebitda_gap": F.abs(F.col("ebitda") - operating),
+                "_first": F.row_number().over(spec) == 1,
             }
         )
         .groupBy(*group)
@@ -328,26 +340,31 @@ def three_statement_checks(statements: DataFrame) -> DataFrame:
             F.max("_re_gap").alias("re"),
             F.min("revenue").alias("rev"),
             F.max("_ebitda_gap").alias("eb"),
+            _holds(F.col("bs_balance_check") < limits.bs_tolerance).alias("bs_ok"),
+            _holds(F.col("_first") | (F.col("_re_gap") < limits.linkage_tolerance)).alias("re_ok"),
+            _holds(F.col("revenue") > 0).alias("rev_ok"),
+            _holds(F.col("_ebitda_gap") < limits.linkage_tolerance).alias("eb_ok"),
         )
     )
-
-    def below(c: str, limit: float) -> Column:
-        return F.coalesce(F.col(c) < limit, F.lit(True))
-
     return _check_rows(
         agg,
         group,
         [
-            ("balance_sheet_balances", below("bs", 10.0), F.col("bs")),
-            ("net_income_to_retained_earnings", below("re", 100.0), F.col("re")),
-            ("all_revenues_positive", F.coalesce(F.col("rev") > 0, F.lit(False)), F.col("rev")),
-            ("ebitda_consistency", below("eb", 100.0), F.col("eb")),
+            ("balance_sheet_balances", F.col("bs_ok"), F.col("bs")),
+            ("net_income_to_retained_earnings", F.col("re_ok"), F.col("re")),
+            ("all_revenues_positive", F.col("rev_ok"), F.col("rev")),
+            ("ebitda_consistency", F.col("eb_ok"), F.col("eb")),
         ],
     )
 
 
-def statement_identities(statements: DataFrame, tolerance: float = 10.0) -> DataFrame:
-    """Further identities every consistent set of statements holds, per company."""
+def statement_identities(
+    statements: DataFrame, tolerance: float = QualityLimits().bs_tolerance
+) -> DataFrame:
+    """Further identities every consistent set of statements holds, per company.
+
+    As above, an unknown year fails; the first year takes no part in the growth of equity.
+    """
     group = ["company", *_keys(statements)]
     spec = by_period(*_keys(statements))
     c = F.col
@@ -365,28 +382,33 @@ def statement_identities(statements: DataFrame, tolerance: float = 10.0) -> Data
         "depreciation_agrees": F.abs(c("depreciation") - c("cfo_dna")),
     }
     signs = {
-        "cash_not_negative": (F.min("cash"), lambda x: x >= 0),
-        "equity_grows": (F.min("_equity_step"), lambda x: x > 0),
-        "debt_below_assets": (F.max(c("long_term_debt") - c("total_assets")), lambda x: x < 0),
-        "operating_cash_positive": (F.min("cfo"), lambda x: x > 0),
-        "investing_cash_negative": (F.max("cfi"), lambda x: x < 0),
+        "cash_not_negative": (F.min("cash"), c("cash") >= 0),
+        "equity_grows": (F.min("_equity_step"), c("_first") | (c("_equity_step") > 0)),
+        "debt_below_assets": (
+            F.max(c("long_term_debt") - c("total_assets")), c("long_term_debt") < c("total_assets")
+        ),
+        "operating_cash_positive": (F.min("cfo"), c("cfo") > 0),
+        "investing_cash_negative": (F.max("cfi"), c("cfi") < 0),
     }
     agg = (
-        statements.withColumn(
-            "_equity_step", c("total_equity") - F.lag("total_equity").over(spec)
+        statements.withColumns(
+            {
+                "_equity_step": c("total_equity") - F.lag("total_equity").over(spec),
+                "_first": F.row_number().over(spec) == 1,
+            }
         )
         .groupBy(*group)
         .agg(
             *[F.max(g).alias(name) for name, g in gaps.items()],
             *[value.alias(name) for name, (value, _) in signs.items()],
+            *[_holds(g < tolerance).alias(f"{name}_ok") for name, g in gaps.items()],
+            *[_holds(test).alias(f"{name}_ok") for name, (_, test) in signs.items()],
         )
     )
-    true = F.lit(True)
     return _check_rows(
         agg,
         group,
-        [(n, F.coalesce(c(n) < tolerance, true), c(n)) for n in gaps]
-        + [(n, F.coalesce(test(c(n)), true), c(n)) for n, (_, test) in signs.items()],
+        [(n, c(f"{n}_ok"), c(n)) for n in (*gaps, *signs)],
     )
 
 

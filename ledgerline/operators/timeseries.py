@@ -68,21 +68,18 @@ def extend_months(df: DataFrame, periods: int, keys: tuple[str, ...] = ("company
     )
 
 
-def resample_month(df: DataFrame, keys: tuple[str, ...], ts: str, value: str) -> DataFrame:
-    """Mean per month start on a gap-free monthly grid; months without data are null."""
-    points = df.select(
-        *keys,
-        F.trunc(ts, "month").alias("date"),
-        F.col(value).cast("decimal(15,2)").alias("total"),
-        F.when(F.col(value).isNotNull(), 1).otherwise(0).alias("n"),
-    )
-    return resample_totals(points, keys, value)
-
+def resample_month(
+    df: DataFrame, keys: tuple[str, ...], ts: str, value: str, scale: int | None = None
+) -> DataFrame:
+    """Mean per month start on a gap-free monthly grid; months without data are null.
 
-def resample_totals(df: DataFrame, keys: tuple[str, ...], value: str) -> DataFrame:
-    """As ``resample_month``, from partial DECIMAL sums ``total`` and counts ``n`` per month."""
-    mean = ratio(F.sum("total").cast("double"), F.sum("n"))
-    return complete_months(df.groupBy(*keys, "date").agg(mean.alias(value)), keys).drop("is_gap")
+    Values are averaged as they are. With ``scale`` they are amounts of that many places,
+    summed exactly, so that the mean does not depend on the order of addition.
+    """
+    amount = F.col(value) if scale is None else F.col(value).cast(f"decimal(18,{scale})")
+    mean = F.avg(amount) if scale is None else ratio(F.sum(amount).cast("double"), F.count(amount))
+    months = df.groupBy(*keys, F.trunc(ts, "month").alias("date")).agg(mean.alias(value))
+    return complete_months(months, keys).drop("is_gap")
 
 
 def _nearest(value: Column, keys: tuple[str, ...], ahead: bool = False) -> Column:

@@ -13,25 +13,10 @@ import json
 
 @dataclasses.dataclass(frozen=True)
 class IngestionWindow:
-    """Inclusive date range of the history a model is fitted on (whole fiscal years)."""
+    """Inclusive date range, for a model that is to be fitted on a part of the history."""
 
-    start: dt.date = dt.date(1995, 1, 1)
-    end: dt.date = dt.date(2000, 12, 31)
-    forecast_years: int = 3
-
-    @property
-    def horizon_months(self) -> int:
-        return 12 * self.forecast_years
-
-    @property
-    def first_forecast_year(self) -> int:
-        return self.end.year + 1
-
-    def all_years(self) -> list[int]:
-        return list(range(self.start.year, self.end.year + self.forecast_years + 1))
-
-    def forecast_year_list(self) -> list[int]:
-        return self.all_years()[-self.forecast_years:]
+    start: dt.date
+    end: dt.date
 
 
 @dataclasses.dataclass(frozen=True)
@@ -50,6 +35,7 @@ class QualityLimits:
     min_revenue_growth_yoy: float = -0.80
     identity_tolerance: float = 1.0
     bs_tolerance: float = 10.0
+    linkage_tolerance: float = 100.0
     dq_fail_threshold: float = 0.10
 
 
@@ -125,9 +111,6 @@ SCHEMA_VERSIONS = {
     "gold_forecast": "v1.0",
 }
 
-# Partition columns of each layer.
-PARTITIONING = {"bronze": ["year", "month"], "silver": ["year"], "gold": ["year"]}
-
 # Logical table names, layer first.
 TABLES = {
     "bronze_financials": "bronze/company_financials",

@@ -10,6 +10,7 @@ import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators import forecast as fc
 from ledgerline.operators import kpis, quality, statements, valuation
@@ -31,7 +32,8 @@ class RunConfig:
     run_id: str
     as_of: dt.date
     company: str = "nation"
-    window: IngestionWindow = IngestionWindow()
+    window: IngestionWindow | None = None  # a part of the history; all of it by default
+    horizon_months: int = 36
 
 
 def new_run_id() -> str:
@@ -43,6 +45,7 @@ class BatchRun:
 
     def __init__(self, spark: SparkSession, source_root: str, root: str, config: RunConfig):
         self.spark, self.source_root, self.root, self.config = spark, source_root, root, config
+        self.rows_failed: dict[str, int] = {}
         self.log = RunLogger(
             spark, config.run_id, self._path("gold_audit_log"), self._path("bronze_run_log")
         )
@@ -86,12 +89,14 @@ class BatchRun:
             t: nullable_copy(get_schema(t)) for t in (quality.FINANCIALS, quality.MACRO)
         }
         results = quality.run_checks(fin, macro, self.config.as_of, schemas)
-        layers.append(
-            quality.stamp_log(results, self.config.run_id), self._path("silver_dq_log")
+        # by run, so that a retried run replaces what it wrote before
+        layers.write_partitioned(
+            quality.stamp_log(results, self.config.run_id), self._path("silver_dq_log"), ("run_id",)
         )
-        parked = layers.append(
-            quality.quarantine(fin, self.config.run_id), self._path("quarantine_financials")
+        parked = layers.write_partitioned(
+            quality.quarantine(fin, self.config.run_id), self._path("quarantine_financials"), ("_run_id",)
         )
+        self.rows_failed["dq_validation"] = parked
         if parked:
             self.log.event("dq_validation", "rows quarantined", "WARN",
                            event_type="quarantine", rows_affected=parked)
@@ -99,23 +104,34 @@ class BatchRun:
 
     def silver_transforms(self) -> int:
         clean = quality.clean_rows(self._fin()).transform(quality.silver_validate)
-        silver = kpis.silver_monthly(clean, self._macro())
-        rows = layers.write_partitioned(silver, self._path("silver_monthly"), ("year",))
+        silver = kpis.silver_monthly(clean, self._macro()).withColumns(
+            {
+                "_processed_at": F.current_timestamp(),
+                "_run_id": F.lit(self.config.run_id),
+                "_schema_version": F.lit(SCHEMA_VERSIONS["silver_monthly"]),
+            }
+        )
+        rows = layers.overwrite_partitioned(silver, self._path("silver_monthly"), ("year",))
         layers.overwrite(kpis.annual_rollup(self._read("silver_monthly")), self._path("silver_annual"))
         return rows
 
     def forecasting(self) -> int:
         history = self._read("silver_monthly")
-        first_month = self.config.window.end + dt.timedelta(days=1)
-        monthly = fc.gold_monthly(
-            history, self.config.window.horizon_months, first_month, until=self.config.window.end
-        )
+        end = self.config.window.end if self.config.window else history.agg(F.max("date")).first()[0]
+        first_month = (end.replace(day=1) + dt.timedelta(days=31)).replace(day=1)
+        monthly = fc.gold_monthly(history, self.config.horizon_months, first_month, until=end)
         rows = layers.overwrite(monthly, self._path("gold_monthly_forecast"))
         layers.overwrite(
             fc.gold_annual(self._read("gold_monthly_forecast")), self._path("gold_annual_forecast")
         )
         cases = fc.scenarios(self._read("gold_annual_forecast"))
-        layers.overwrite(cases, self._path("gold_scenarios"))
+        balances = ["company", "scenario", "year", *fc.CLOSING_COLUMNS]
+        registered = fc.to_gold_schema(
+            cases, self._read("silver_annual"), self.config.run_id, first_month
+        )
+        layers.overwrite(
+            registered.join(cases.select(*balances), balances[:3]), self._path("gold_scenarios")
+        )
         return rows
 
     def financial_statements(self) -> int:
@@ -160,12 +176,12 @@ class BatchRun:
         try:
             rows[name] = stage()
         except Exception as error:
-            self.log.stage(name, "failed", started, error=str(error)[:500])
+            self.log.stage(name, "failed", started, error=str(error))
             self.log.event(name, f"Pipeline FAILED in {name}", "ERROR", event_type="pipeline_complete")
             if name != "export":
                 raise
             return
-        self.log.stage(name, "success", started, rows[name])
+        self.log.stage(name, "success", started, rows[name], self.rows_failed.get(name, 0))
 
 
 def run(spark: SparkSession, source_root: str, root: str, config: RunConfig) -> dict[str, int]:

@@ -33,7 +33,9 @@ def with_ctes(sql: str, *reads: str) -> str:
     return f"WITH {head}\n{sql}"
 
 
-HISTORY = "date >= DATE '1995-01-01' AND date <= DATE '2000-12-31'"
+# The month of the last order, and the one after it: where history ends and forecasts begin.
+END = "SELECT CAST(date_trunc('month', MAX(o_orderdate)) AS DATE) FROM orders"
+MADE_ON = "SELECT CAST(date_trunc('month', MAX(o_orderdate)) + INTERVAL 1 MONTH AS DATE) FROM orders"
 PNL = (
     "revenue", "cogs", "gross_profit", "opex", "rd_expense", "sga_expense", "ebitda",
     "depreciation", "ebit", "interest_expense", "ebt", "tax_expense", "net_income",
@@ -62,9 +64,9 @@ SELECT company, date, ROUND(SUM(rev), 2) AS revenue,
   ROUND(SUM(rev * (0.10 + 0.5 * t)), 2) AS sga_expense,
   ROUND(SUM(rev * (0.03 + 0.2 * d)), 2) AS depreciation,
   CAST(100 * COUNT(DISTINCT o_orderkey) AS DECIMAL(18,2)) AS interest_expense,
-  ROUND(SUM(CASE WHEN o_orderstatus = 'P' THEN rev * 0.4 END), 2) AS accounts_receivable,
-  ROUND(SUM(CASE WHEN l_returnflag = 'N' THEN rev * 0.19 END), 2) AS inventory,
-  ROUND(SUM(CASE WHEN l_linestatus = 'O' THEN rev * 0.084 END), 2) AS accounts_payable,
+  ROUND(SUM(CASE WHEN o_orderstatus = 'P' THEN rev * 0.4 ELSE 0 END), 2) AS accounts_receivable,
+  ROUND(SUM(CASE WHEN l_returnflag = 'N' THEN rev * 0.19 ELSE 0 END), 2) AS inventory,
+  ROUND(SUM(CASE WHEN l_linestatus = 'O' THEN rev * 0.084 ELSE 0 END), 2) AS accounts_payable,
   ROUND(SUM(rev * (0.04 + 0.3 * d)), 2) AS capex,
   COUNT(DISTINCT o_custkey) AS customers, COUNT(*) AS n_lines,
   COUNT(CASE WHEN l_returnflag = 'R' THEN 1 END) AS n_returned
@@ -200,11 +202,11 @@ _cte(
     + " FROM silver GROUP BY company, year",
     "silver",
 )
-_cte("hist", "SELECT * FROM annual WHERE year BETWEEN 1995 AND 2000", "annual")
+_cte("hist", "SELECT * FROM annual", "annual")
 
 # ---------------------------------------------------------------- forecasts
-_cte("past", f"SELECT * FROM fin WHERE {HISTORY}", "fin")
-_full("past_full", "past", "DATE '2000-12-01'")
+_cte("past", "SELECT * FROM fin", "fin")
+_full("past_full", "past", f"GREATEST(({END}), MAX(date))")
 _cte(
     "series",
     """
@@ -362,8 +364,8 @@ SELECT company, date, revenue, cogs, gross_profit, opex, rd_expense, sga_expense
   ROUND(cfo_raw, 2) AS cfo, ROUND(-cx, 2) AS capex, ROUND(fcf_raw, 2) AS fcf,
   ROUND(SUM(fcf_raw) OVER (PARTITION BY company ORDER BY date), 2) AS cumulative_cash,
   ROUND(ar, 2) AS accounts_receivable, ROUND(inv, 2) AS inventory, ROUND(ap, 2) AS accounts_payable,
-  revenue_lower, revenue_upper, revenue_trend, TRUE AS is_forecast, DATE '2001-01-01' AS forecast_date
-FROM cash""",
+  revenue_lower, revenue_upper, revenue_trend, TRUE AS is_forecast, forecast_date
+FROM cash CROSS JOIN (""" + MADE_ON + """) f(forecast_date)""",
     "cash",
 )
 _cte(
@@ -422,7 +424,7 @@ UNION ALL SELECT company, scenario, year, TRUE, {_KEEP} FROM scen""",
 
 
 def _statements(name: str, source: str) -> None:
-    w = "(PARTITION BY company, scenario ORDER BY year)"
+    w = "(PARTITION BY company, scenario ORDER BY year, is_forecast)"
     _cte(
         f"{name}_income",
         f"""
@@ -447,14 +449,14 @@ FROM {source} WHERE NOT is_forecast GROUP BY company, scenario""",
     _cte(
         f"{name}_ppe",
         f"""
-SELECT s.company, s.scenario, s.year,
+SELECT s.company, s.scenario, s.i,
   list_reduce(
     list_prepend(4 * o.capex0,
-      list(COALESCE(ABS(p.capex) - p.depreciation, 0) ORDER BY p.year) FILTER (p.i BETWEEN 1 AND s.i)),
+      list(COALESCE(ABS(p.capex) - p.depreciation, 0) ORDER BY p.i) FILTER (p.i BETWEEN 1 AND s.i)),
     lambda x, y: GREATEST(x + y, 0)) AS net_ppe
 FROM {name}_income s JOIN {name}_opening o ON s.company = o.company AND s.scenario = o.scenario
   JOIN {name}_income p ON s.company = p.company AND s.scenario = p.scenario
-GROUP BY s.company, s.scenario, s.year, s.i, o.capex0""",
+GROUP BY s.company, s.scenario, s.i, o.capex0""",
         f"{name}_income",
         f"{name}_opening",
     )
@@ -466,13 +468,13 @@ FROM (SELECT *, cash + accounts_receivable + inventory AS current_assets,
     cash + accounts_receivable + inventory + net_ppe AS total_assets
   FROM (SELECT *, CASE WHEN total_liabilities + total_equity - (accounts_receivable + inventory + net_ppe) < 0
       THEN 0 ELSE total_liabilities + total_equity - (accounts_receivable + inventory + net_ppe) END AS cash
-    FROM (SELECT s.*, net_ppe, interest0 / 0.07 * 12 * POW(0.95, i) AS long_term_debt,
-        accounts_payable + interest0 / 0.07 * 12 * POW(0.95, i) AS total_liabilities,
-        SUM(0.7 * net_income) OVER (PARTITION BY s.company, s.scenario ORDER BY s.year) AS retained_earnings,
+    FROM (SELECT s.*, net_ppe, interest0 / 0.07 * 12 * POW(0.95, s.i) AS long_term_debt,
+        accounts_payable + interest0 / 0.07 * 12 * POW(0.95, s.i) AS total_liabilities,
+        SUM(0.7 * net_income) OVER (PARTITION BY s.company, s.scenario ORDER BY s.year, s.is_forecast) AS retained_earnings,
         0.3 * rev0 AS paid_in_capital,
-        SUM(0.7 * net_income) OVER (PARTITION BY s.company, s.scenario ORDER BY s.year) + 0.3 * rev0 AS total_equity
+        SUM(0.7 * net_income) OVER (PARTITION BY s.company, s.scenario ORDER BY s.year, s.is_forecast) + 0.3 * rev0 AS total_equity
       FROM {name}_income s JOIN {name}_opening o ON s.company = o.company AND s.scenario = o.scenario
-        JOIN {name}_ppe p ON s.company = p.company AND s.scenario = p.scenario AND s.year = p.year) a) b) c""",
+        JOIN {name}_ppe p ON s.company = p.company AND s.scenario = p.scenario AND s.i = p.i) a) b) c""",
         f"{name}_income",
         f"{name}_opening",
         f"{name}_ppe",
@@ -499,6 +501,21 @@ FROM (SELECT *, cfo + cfi + cff AS net_cash_change
 
 _statements("stm", "years")
 _statements("sstm", "scen_years")
+_cte(
+    "final_year",
+    """
+SELECT * FROM stm QUALIFY ROW_NUMBER() OVER (PARTITION BY company ORDER BY year DESC, is_forecast DESC) = 1""",
+    "stm",
+)
+_cte(
+    "checked",
+    """
+SELECT *, total_equity - LAG(total_equity) OVER w AS eq_step,
+  ABS(retained_earnings - LAG(retained_earnings) OVER w - 0.7 * net_income) AS re_gap,
+  ABS(ebitda - (gross_profit - opex - rd_expense - sga_expense)) AS eb_gap
+FROM sstm WINDOW w AS (PARTITION BY company, scenario ORDER BY year, is_forecast)""",
+    "sstm",
+)
 
 # serving variants of the balance sheet and cash flow
 _cte(
@@ -507,7 +524,7 @@ _cte(
 SELECT *, COALESCE(accounts_receivable, 0.12 * revenue) AS ar, COALESCE(inventory, 0.08 * revenue) AS inv,
   COALESCE(accounts_payable, 0.06 * revenue) AS ap, ABS(COALESCE(capex, 0.05 * revenue)) AS cx,
   ABS(COALESCE(depreciation, 0.04 * revenue)) AS dep,
-  ROW_NUMBER() OVER (PARTITION BY company ORDER BY year) - 1 AS i FROM years""",
+  ROW_NUMBER() OVER (PARTITION BY company ORDER BY year, is_forecast) - 1 AS i FROM years""",
     "years",
 )
 _cte(
@@ -520,11 +537,11 @@ FROM years GROUP BY company""",
 _cte(
     "serving_ppe",
     """
-SELECT s.company, s.year, list_reduce(
-    list_prepend(0.4 * o.rev0, list(p.cx - p.dep ORDER BY p.year) FILTER (p.i BETWEEN 1 AND s.i)),
+SELECT s.company, s.i, list_reduce(
+    list_prepend(0.4 * o.rev0, list(p.cx - p.dep ORDER BY p.i) FILTER (p.i BETWEEN 1 AND s.i)),
     lambda x, y: GREATEST(x + y, 0)) AS net_ppe
 FROM serving_rows s JOIN serving_opening o ON s.company = o.company
-  JOIN serving_rows p ON s.company = p.company GROUP BY s.company, s.year, s.i, o.rev0""",
+  JOIN serving_rows p ON s.company = p.company GROUP BY s.company, s.i, o.rev0""",
     "serving_rows",
     "serving_opening",
 )
@@ -536,10 +553,10 @@ SELECT *, cash + ar + inv AS current_assets, cash + ar + inv + net_ppe AS total_
 FROM (SELECT *, CASE WHEN total_equity + total_liabilities - (ar + inv + net_ppe) < 0 THEN 0
     ELSE total_equity + total_liabilities - (ar + inv + net_ppe) END AS cash
   FROM (SELECT *, retained_earnings + paid_in_capital AS total_equity, ap + long_term_debt AS total_liabilities
-    FROM (SELECT s.*, net_ppe, interest0 / 0.07 * 12 * POW(0.95, i) AS long_term_debt, 0.25 * rev0 AS paid_in_capital,
-        SUM(0.7 * net_income) OVER (PARTITION BY s.company ORDER BY s.year) AS retained_earnings
+    FROM (SELECT s.*, net_ppe, interest0 / 0.07 * 12 * POW(0.95, s.i) AS long_term_debt, 0.25 * rev0 AS paid_in_capital,
+        SUM(0.7 * net_income) OVER (PARTITION BY s.company ORDER BY s.year, s.is_forecast) AS retained_earnings
       FROM serving_rows s JOIN serving_opening o ON s.company = o.company
-        JOIN serving_ppe p ON s.company = p.company AND s.year = p.year) a) b) c""",
+        JOIN serving_ppe p ON s.company = p.company AND s.i = p.i) a) b) c""",
     "serving_rows",
     "serving_opening",
     "serving_ppe",
@@ -547,14 +564,14 @@ FROM (SELECT *, CASE WHEN total_equity + total_liabilities - (ar + inv + net_ppe
 _cte(
     "serving_cash",
     """
-SELECT *, SUM(net_cash_change) OVER (PARTITION BY company ORDER BY year) AS cumulative_cash
+SELECT *, SUM(net_cash_change) OVER (PARTITION BY company ORDER BY year, is_forecast) AS cumulative_cash
 FROM (SELECT *, cfo + cfi + cff AS net_cash_change
   FROM (SELECT *, debt_change + dividends AS cff
     FROM (SELECT *, net_income + dep + COALESCE(LAG(ar) OVER w - ar, 0) + COALESCE(LAG(inv) OVER w - inv, 0)
           + COALESCE(ap - LAG(ap) OVER w, 0) AS cfo,
         -cx AS cfi, -0.3 * net_income AS dividends,
         COALESCE(long_term_debt - LAG(long_term_debt) OVER w, 0) AS debt_change
-      FROM serving WINDOW w AS (PARTITION BY company ORDER BY year)) a) b) c""",
+      FROM serving WINDOW w AS (PARTITION BY company ORDER BY year, is_forecast)) a) b) c""",
     "serving",
 )
 

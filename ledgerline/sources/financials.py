@@ -79,8 +79,8 @@ def order_totals(spark: SparkSession, root: str) -> DataFrame:
             *_limbs("rev", "rev"),
             *_limbs("rev_tax", "rev * tax"),
             *_limbs("rev_disc", "rev * disc"),
-            *_limbs("rev_kept", "IF(kept, rev, NULL)"),
-            *_limbs("rev_open", "IF(open, rev, NULL)"),
+            *_limbs("rev_kept", "IF(kept, rev, 0)"),
+            *_limbs("rev_open", "IF(open, rev, 0)"),
             "1 AS n_lines",
             "IF(returned, 1, 0) AS n_returned",
         )
@@ -109,8 +109,8 @@ def monthly_financials(
         .join(_orders(spark, root, window), F.col("l_orderkey") == F.col("o_orderkey"))
         .selectExpr(
             "*",
-            f"IF({pending}, rev_hi, NULL) AS rev_pending_hi",
-            f"IF({pending}, rev_lo, NULL) AS rev_pending_lo",
+            f"IF({pending}, rev_hi, 0) AS rev_pending_hi",
+            f"IF({pending}, rev_lo, 0) AS rev_pending_lo",
             "1 AS n_orders",
         )
         .groupBy("o_custkey", "date")

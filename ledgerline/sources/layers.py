@@ -13,7 +13,6 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ledgerline.schemas import nullable_copy
 
@@ -24,14 +23,21 @@ class DuplicateKeys(ValueError):
     """An upsert source holds the same key twice."""
 
 
+class StaleRun(ValueError):
+    """A run id that sorts before the newest snapshot."""
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names for checkpoints.
 
-    Only where none is configured (a local session) a temporary folder is set.
+    Only a local session without one gets a temporary folder; on a cluster that would be
+    another folder on each machine, so the setting is asked for.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerline-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
@@ -78,6 +84,13 @@ def write_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...]) ->
     )
 
 
+def overwrite_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...]) -> int:
+    """Full refresh of a partitioned table: partitions that the input lacks go."""
+    return _write(
+        _clustered(df, partitions), path, "overwrite", partitions, partitionOverwriteMode="static"
+    )
+
+
 def append(df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> int:
     return _write(_clustered(df, partitions), path, "append", partitions)
 
@@ -116,40 +129,61 @@ def upsert_snapshot(
 ) -> int:
     """Upsert into the newest snapshot and write the outcome as the snapshot of ``run_id``.
 
-    ``run_id`` has to sort after the ids already there. A retried run replaces
-    its own snapshot, building again on the one before it.
+    ``run_id`` has to sort after the ids already there, else ``StaleRun``. A retried run
+    replaces its own snapshot, building again on the one before it. A table at ``path``
+    that holds no snapshots is left alone (``ValueError``).
     """
     require_unique(source, keys)
     rows = source
-    before = _snapshots(spark, path)
-    if before is not None:
-        previous = before.filter(F.col("_run_id") < run_id)
-        newest = previous.agg(F.max("_run_id")).first()[0]
-        if newest is not None:
-            rows = upsert(
-                previous.filter(F.col("_run_id") == newest).drop("_run_id"), source, keys
-            )
+    runs = snapshot_runs(spark, path)
+    if runs and run_id < runs[-1]:
+        raise StaleRun(f"{run_id!r} sorts before the newest snapshot {runs[-1]!r}")
+    if previous := [r for r in runs if r < run_id]:
+        rows = upsert(_snapshot(spark, path, previous[-1]).drop("_run_id"), source, keys)
     return write_partitioned(rows.withColumn("_run_id", F.lit(run_id)), path, ("_run_id",))
 
 
-def _snapshots(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.option("basePath", path).parquet(path).withColumn(
-            "_run_id", F.col("_run_id").cast("string")
-        )
-    except AnalysisException:
-        return None
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def snapshot_runs(spark: SparkSession, path: str) -> list[str]:
+    """Ids of the snapshots at ``path``, oldest first, from the names of its folders.
+
+    One name per run; no data is read. Raises if the folder holds another kind of table.
+    """
+    if not exists(spark, path):
+        return []
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    entries = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    names = [e.getPath().getName() for e in entries]
+    runs = [unescape(n.removeprefix("_run_id=")) for n in names if n.startswith("_run_id=")]
+    if not runs and any(not n.startswith(("_", ".")) for n in names):
+        raise ValueError(f"{path} holds a table without snapshots")
+    return sorted(runs)
+
+
+def _snapshot(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    rows = spark.read.parquet(f"{path}/{_folder(spark, run_id)}")
+    return rows.withColumn("_run_id", F.lit(run_id))
+
+
+def _folder(spark: SparkSession, run_id: str) -> str:
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"_run_id={escape(run_id)}"
 
 
 def read_snapshot(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """The newest snapshot, or the newest not after ``run_id``; prunes to one partition."""
-    rows = spark.read.option("basePath", path).parquet(path).withColumn(
-        "_run_id", F.col("_run_id").cast("string")
-    )
-    if run_id is not None:
-        rows = rows.filter(F.col("_run_id") <= run_id)
-    newest = rows.agg(F.max("_run_id")).first()[0]
-    return rows.filter(F.col("_run_id") == newest)
+    """The newest snapshot, or the newest not after ``run_id``: one folder is read.
+
+    Raises ``LookupError`` if there is none.
+    """
+    runs = [r for r in snapshot_runs(spark, path) if run_id is None or r <= run_id]
+    if not runs:
+        raise LookupError(f"{path} has no snapshot" + (f" up to {run_id!r}" if run_id else ""))
+    return _snapshot(spark, path, runs[-1])
 
 
 def as_of(df: DataFrame, keys: list[str], run_id: str | None = None) -> DataFrame:
@@ -178,10 +212,9 @@ def write_incremental(
     """Append only partitions that are absent; the first write takes everything."""
     if not partitions:
         raise ValueError("an incremental write needs partition columns")
-    try:
-        existing = spark.read.parquet(path)
-    except AnalysisException:
+    if not exists(spark, path):
         return append(df, path, partitions)
+    existing = spark.read.parquet(path)
     return append(new_partitions(df, existing, list(partitions)), path, partitions)
 
 

@@ -54,6 +54,51 @@ def test_upsert_snapshots(spark, path):
     assert rows(layers.read_snapshot(spark, path, "run_1").drop("_run_id")) == [(1, 1.0), (2, 2.0)]
 
 
+def test_upsert_keeps_its_target(spark, path):
+    first = frame(spark, [(1, 1.0)])
+    layers.upsert_snapshot(spark, path, first, ["id"], "run_9")
+    with pytest.raises(layers.StaleRun):  # sorts before run_9 as text
+        layers.upsert_snapshot(spark, path, frame(spark, [(2, 2.0)]), ["id"], "run_10")
+    assert rows(layers.read_snapshot(spark, path)) == [(1, 1.0, "run_9")]
+    assert layers.snapshot_runs(spark, path) == ["run_9"]
+    with pytest.raises(LookupError):
+        layers.read_snapshot(spark, path, "run_1")
+
+
+def test_upsert_leaves_other_tables_alone(spark, path):
+    layers.overwrite(frame(spark, [(1, 1.0), (2, 2.0)]), path)
+    with pytest.raises(ValueError):
+        layers.upsert_snapshot(spark, path, frame(spark, [(3, 3.0)]), ["id"], "run_1")
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_run_ids_with_odd_characters(spark, path):
+    for run_id in ("run 1/a=b", "run 2:%"):
+        layers.upsert_snapshot(spark, path, frame(spark, [(1, 1.0)]), ["id"], run_id)
+    assert layers.snapshot_runs(spark, path) == ["run 1/a=b", "run 2:%"]
+    assert rows(layers.read_snapshot(spark, path)) == [(1, 1.0, "run 2:%")]
+
+
+def test_a_full_refresh_drops_old_partitions(spark, path):
+    ddl = "id int, year int"
+    layers.overwrite_partitioned(frame(spark, [(1, 2020), (2, 2021)], ddl), path, ("year",))
+    layers.overwrite_partitioned(frame(spark, [(3, 2021)], ddl), path, ("year",))
+    assert rows(spark.read.parquet(path)) == [(3, 2021)]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Cluster:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Cluster()
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})()
+
+    with pytest.raises(RuntimeError):
+        layers.shared_dir(Session())
+
+
 def test_upsert_refuses_repeated_source_keys(spark, path):
     with pytest.raises(layers.DuplicateKeys):
         layers.upsert_snapshot(spark, path, frame(spark, [(1, 1.0), (1, 2.0)]), ["id"], "run_1")

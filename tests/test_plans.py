@@ -1,10 +1,12 @@
 """Plans have to keep the shape that scales."""
 
+import datetime as dt
 import re
 
 import pytest
 
 from ledgerline.operators import forecast as fc, statements as st
+from ledgerline.params import IngestionWindow
 from ledgerline.plans import queries as reg
 from ledgerline.sources.financials import monthly_financials, order_totals
 
@@ -52,7 +54,7 @@ def test_lines_are_reduced_before_the_join(spark, sf_dir):
 
 
 def test_the_window_filter_reaches_the_scan(spark, sf_dir):
-    text = plan(monthly_financials(spark, sf_dir, "nation", reg.WINDOW))
+    text = plan(monthly_financials(spark, sf_dir, "nation", IngestionWindow(dt.date(1996, 1, 1), dt.date(1997, 12, 31))))
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
 
 

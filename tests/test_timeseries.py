@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from helpers import month, months
 from pyspark.sql import functions as F
 
@@ -89,3 +90,9 @@ def test_upsample_years(spark):
 def test_complete_months_up_to_a_common_end(spark):
     df = ts.complete_months(months(spark, {"a": [1, 2], "b": [1, 2, 3, 4]}), until=month(3))
     assert {r.company: r["count"] for r in df.groupBy("company").count().collect()} == {"a": 4, "b": 4}
+
+
+def test_resample_keeps_small_places(spark):
+    df = spark.sql("SELECT 'a' AS company, TIMESTAMP '2020-01-03' AS ts, x FROM VALUES (0.1234D), (0.1239D) v(x)")
+    assert ts.resample_month(df, ("company",), "ts", "x").first().x == pytest.approx(0.12365)
+    assert ts.resample_month(df, ("company",), "ts", "x", scale=2).first().x == pytest.approx(0.12)
