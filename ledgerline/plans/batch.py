@@ -90,11 +90,12 @@ class BatchRun:
         }
         results = quality.run_checks(fin, macro, self.config.as_of, schemas)
         # by run, so that a retried run replaces what it wrote before
-        layers.write_partitioned(
-            quality.stamp_log(results, self.config.run_id), self._path("silver_dq_log"), ("run_id",)
+        run_id = self.config.run_id
+        layers.write_run(
+            quality.stamp_log(results, run_id), self._path("silver_dq_log"), "run_id", run_id
         )
-        parked = layers.write_partitioned(
-            quality.quarantine(fin, self.config.run_id), self._path("quarantine_financials"), ("_run_id",)
+        parked = layers.write_run(
+            quality.quarantine(fin, run_id), self._path("quarantine_financials"), "_run_id", run_id
         )
         self.rows_failed["dq_validation"] = parked
         if parked:

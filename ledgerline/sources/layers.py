@@ -91,6 +91,11 @@ def overwrite_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...])
     )
 
 
+def write_run(df: DataFrame, path: str, column: str, run_id: str) -> int:
+    """Replace what the table holds of one run, also by no rows; ``column`` names the runs."""
+    return _write(df.drop(column), f"{path}/{_folder(df.sparkSession, run_id, column)}", "overwrite")
+
+
 def append(df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> int:
     return _write(_clustered(df, partitions), path, "append", partitions)
 
@@ -170,9 +175,9 @@ def _snapshot(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     return rows.withColumn("_run_id", F.lit(run_id))
 
 
-def _folder(spark: SparkSession, run_id: str) -> str:
+def _folder(spark: SparkSession, run_id: str, column: str = "_run_id") -> str:
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    return f"_run_id={escape(run_id)}"
+    return f"{column}={escape(run_id)}"
 
 
 def read_snapshot(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
