@@ -83,8 +83,8 @@ def trailing_revenue(df: DataFrame) -> DataFrame:
 def join_macro(df: DataFrame, macro: DataFrame) -> DataFrame:
     """Left join on the month; months without macro data keep nulls.
 
-    No hint: macro has a row per calendar month, which adaptive execution sees
-    at run time and broadcasts by itself.
+    No hint here: ``financials_and_macro`` knows the size of macro, one row per calendar
+    month, and marks it for broadcasting while it is small.
     """
     return df.join(macro.select("date", *MACRO_COLUMNS), "date", "left")
 

@@ -106,10 +106,12 @@ def tracked_metrics(
         "rows_quarantined": gate_row.select(F.col("rows_quarantined").cast("double").alias("value")),
         "pipeline_duration_seconds": run_log.agg(F.sum("duration_seconds").alias("value")),
         "forecast_mape": mape.agg(F.avg("mape").alias("value")),
-        "bs_balance_error": statements.agg(F.max("bs_balance_check").alias("value")),
-        "cf_reconciliation_error": statements.agg(F.avg("cf_reconciliation").alias("value")),
     }
+    errors = statements.agg(
+        F.max("bs_balance_check").alias("bs_balance_error"),
+        F.avg("cf_reconciliation").alias("cf_reconciliation_error"),
+    ).unpivot([], ["bs_balance_error", "cf_reconciliation_error"], "metric", "value")
     return reduce(
         DataFrame.unionByName,
-        [df.select(F.lit(name).alias("metric"), "value") for name, df in parts.items()],
+        [df.select(F.lit(name).alias("metric"), "value") for name, df in parts.items()] + [errors],
     )

@@ -307,7 +307,8 @@ def check_schema(df: DataFrame, expected: T.StructType, table: str) -> DataFrame
     """Expected columns that are absent, and present columns of an incompatible type.
 
     The comparison is on metadata; the row count goes into the details. The type
-    check is separate from the presence check and allows widening.
+    check is separate from the presence check and allows widening. Business columns beyond
+    the schema are named in the details as a warning and fail nothing.
     """
     wanted = business_columns(expected)
     actual = {f.name: f.dataType for f in df.schema.fields}
@@ -315,6 +316,9 @@ def check_schema(df: DataFrame, expected: T.StructType, table: str) -> DataFrame
     wrong = [
         f.name for f in wanted if f.name in actual and not _compatible(actual[f.name], f.dataType)
     ]
+    known = {f.name for f in expected.fields}
+    extra = [c for c in actual if c not in known and not c.startswith("_")]
+    warning = f"Extra columns: {extra}, " if extra else ""
     rows = [
         F.struct(
             F.lit(table).alias("table_name"),
@@ -325,7 +329,8 @@ def check_schema(df: DataFrame, expected: T.StructType, table: str) -> DataFrame
             F.lit(len(bad)).cast("bigint").alias("rows_failed"),
             F.lit(0.0).alias("threshold"),
             F.concat(
-                F.lit(f"{label}: {bad}, rows: " if bad else "rows: "), F.col("n").cast("string")
+                F.lit((f"{label}: {bad}, " if bad else "") + (warning if label == "Missing" else "") + "rows: "),
+                F.col("n").cast("string"),
             ).alias("details"),
         )
         for name, bad, label in (
@@ -386,11 +391,7 @@ def run_checks(
     ]
     for table, df in ((FINANCIALS, fin), (MACRO, macro)):
         if schemas:
-            parts.append(
-                check_schema(df, schemas[table], table).filter(
-                    F.col("check_name") == "schema_columns_present"
-                )
-            )
+            parts.append(check_schema(df, schemas[table], table))
     return reduce(DataFrame.unionByName, parts)
 
 

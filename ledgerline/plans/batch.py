@@ -17,7 +17,7 @@ from ledgerline.operators import kpis, quality, statements, valuation
 from ledgerline.params import SCHEMA_VERSIONS, TABLES, IngestionWindow
 from ledgerline.schemas import business_columns, get_schema, nullable_copy
 from ledgerline.sources import layers
-from ledgerline.sources.financials import monthly_financials, monthly_macro
+from ledgerline.sources.financials import financials_and_macro
 from ledgerline.sources.logs import RunLogger, config_snapshot_event
 from ledgerline.sources.tables import scan_layer, tag_provenance
 
@@ -46,6 +46,7 @@ class BatchRun:
     def __init__(self, spark: SparkSession, source_root: str, root: str, config: RunConfig):
         self.spark, self.source_root, self.root, self.config = spark, source_root, root, config
         self.rows_failed: dict[str, int] = {}
+        self.macro: DataFrame | None = None  # made along with the financials
         self.log = RunLogger(
             spark, config.run_id, self._path("gold_audit_log"), self._path("bronze_run_log")
         )
@@ -65,14 +66,13 @@ class BatchRun:
         return layers.write_partitioned(rows, self._path(table), ("_run_id",))
 
     def ingest_financials(self) -> int:
-        fin = monthly_financials(
+        fin, self.macro = financials_and_macro(
             self.spark, self.source_root, self.config.company, self.config.window
         )
         return self._bronze(fin, "bronze_financials", "bronze_company_financials", "orders")
 
     def ingest_macro(self) -> int:
-        macro = monthly_macro(self.spark, self.source_root, self.config.window)
-        return self._bronze(macro, "bronze_macro", "bronze_macro_indicators", "orders")
+        return self._bronze(self.macro, "bronze_macro", "bronze_macro_indicators", "orders")
 
     def _fin(self) -> DataFrame:
         names = [f.name for f in business_columns(get_schema("bronze_company_financials"))]

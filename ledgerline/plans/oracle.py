@@ -127,11 +127,11 @@ SELECT date, CAST((2 * 100 * disc + n) // (2 * n) AS DOUBLE) / 100 AS inflation_
   CAST((2 * 175 * tax + n) // (2 * n) AS DOUBLE) / 100 AS interest_rate,
   CAST((2 * 45 * tax + n) // (2 * n) AS DOUBLE) / 100 AS gdp_growth,
   FLOOR(CAST(price AS DOUBLE) / n / 3000.0 * 100 + 0.5) / 100 AS usd_zar,
-  CAST((2 * 125 * qty + n) // (2 * n) AS DOUBLE) / 100 AS unemployment
+  CAST((2 * 125 * qty + 100 * n) // (2 * 100 * n) AS DOUBLE) / 100 AS unemployment
 FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, COUNT(*) AS n,
     SUM(CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS BIGINT)) AS disc,
     SUM(CAST(CAST(l_tax AS DECIMAL(4,2)) * 100 AS BIGINT)) AS tax,
-    SUM(CAST(l_quantity AS BIGINT)) AS qty,
+    SUM(CAST(CAST(l_quantity AS DECIMAL(12,2)) * 100 AS BIGINT)) AS qty,
     SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS price
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1) s""",
 )

@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from ledgerline.operators import forecast as fc
 from ledgerline.operators import kpis, monitoring, quality, reporting, statements, timeseries, valuation
 from ledgerline.operators.regression_forecast import forecast_revenue_with_regressors
-from ledgerline.params import config_snapshot
 from ledgerline.plans.oracle import AMOUNTS, MADE_ON, PNL, with_ctes
-from ledgerline.schemas import FINANCIAL_COLUMNS_DDL, get_schema
+from ledgerline.schemas import FINANCIAL_COLUMNS_DDL, get_schema, nullable_copy
 from ledgerline.sources import layers, logs, tables
-from ledgerline.sources.financials import monthly_financials, monthly_macro, reported_financials
+from ledgerline.plans import fixtures
+from ledgerline.sources.financials import financials_and_macro, monthly_financials, monthly_macro
 
 PERIODS = 36
 AS_OF = dt.date(2001, 9, 1)
@@ -92,7 +92,7 @@ def _fin(spark, root):
 
 
 def _silver(spark, root):
-    return kpis.silver_monthly(_fin(spark, root), monthly_macro(spark, root))
+    return kpis.silver_monthly(*financials_and_macro(spark, root, "nation"))
 
 
 def _end(spark, root) -> dt.date:
@@ -374,7 +374,7 @@ def _profile_sql(table: str, source: str) -> str:
 )
 def _(spark, root):
     return layers.ingest_profile(
-        reported_financials(spark, root), "company_financials"
+        fixtures.reported_financials(spark, root), "company_financials"
     ).unionByName(layers.ingest_profile(monthly_macro(spark, root), "macro_indicators"))
 
 
@@ -625,10 +625,11 @@ _REFERENTIAL = f"""SELECT '{quality.FINANCIALS}' AS table_name, 'fin_dates_in_ma
   FROM (SELECT COUNT(DISTINCT date) AS n,
     COUNT(DISTINCT CASE WHEN date NOT IN (SELECT date FROM macro) THEN date END) AS o FROM reported) c"""
 _SCHEMA = " UNION ALL ".join(
-    f"""SELECT '{t}' AS table_name, 'schema_columns_present' AS check_name, 'schema' AS check_type,
+    f"""SELECT '{t}' AS table_name, '{check}' AS check_name, 'schema' AS check_type,
       'all_columns' AS column_name, CAST({n} AS BIGINT) AS rows_checked, CAST(0 AS BIGINT) AS rows_failed,
       CAST(0 AS DOUBLE) AS failure_pct, CAST(0 AS DOUBLE) AS threshold, TRUE AS passed"""
     for t, n in ((quality.FINANCIALS, 22), (quality.MACRO, 6))
+    for check in ("schema_columns_present", "schema_types_compatible")
 )
 _DQ_ALL = " UNION ALL ".join(
     [
@@ -648,14 +649,18 @@ _DQ_ALL = " UNION ALL ".join(
 )
 
 
+def _reported_and_macro(spark, root):
+    fin, macro = financials_and_macro(spark, root, "nation_segment")
+    return fixtures.as_reported(fin), macro
+
+
 def _reported(spark, root):
-    return reported_financials(spark, root)
+    return fixtures.reported_financials(spark, root)
 
 
 def _all_checks(spark, root):
     """Both tables are small next to their sources and read by several checks: stored once."""
-    fin = layers.materialize(_reported(spark, root))
-    macro = layers.materialize(monthly_macro(spark, root))
+    fin, macro = _reported_and_macro(spark, root)
     schemas = {t: get_schema(t) for t in (quality.FINANCIALS, quality.MACRO)}
     return quality.run_checks(fin, macro, AS_OF, schemas)
 
@@ -667,6 +672,10 @@ def _rules(spark, root, pick):
 
 _ABSENT = str([c for c in _FIN_COLUMNS.split() if c != "revenue"]).replace("'", "''")
 
+_ORDER_COLUMNS = str(
+    ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+).replace("'", "''")
+
 
 @_register(
     "dq_schema", f"{_DQ} details",
@@ -676,7 +685,7 @@ _ABSENT = str([c for c in _FIN_COLUMNS.split() if c != "revenue"]).replace("'",
           CAST({bad} AS DOUBLE) / 22 AS failure_pct, CAST(0 AS DOUBLE) AS threshold, FALSE AS passed,
           '{note}, rows: ' || COUNT(*) AS details FROM orders"""
         for check, bad, note in (
-            ("schema_columns_present", 21, f"Missing: {_ABSENT}"),
+            ("schema_columns_present", 21, f"Missing: {_ABSENT}, Extra columns: {_ORDER_COLUMNS}"),
             ("schema_types_compatible", 1, "Wrong type: [''revenue'']"),
         )
     ),
@@ -766,7 +775,7 @@ def _(spark, root):
 
 @_register("dq_freshness", _DQ, " UNION ALL ".join(_FRESH.values()), "reported macro")
 def _(spark, root):
-    fin, macro = _reported(spark, root), monthly_macro(spark, root)
+    fin, macro = _reported_and_macro(spark, root)
     return quality.evaluate(fin, quality.FINANCIALS, [quality.freshness_rule(45, AS_OF)]).unionByName(
         quality.evaluate(macro, quality.MACRO, [quality.freshness_rule(90, AS_OF)])
     )
@@ -778,7 +787,7 @@ def _(spark, root):
     "reported macro",
 )
 def _(spark, root):
-    return quality.check_referential(_reported(spark, root), monthly_macro(spark, root))
+    return quality.check_referential(*_reported_and_macro(spark, root))
 
 
 @_register(
@@ -916,7 +925,7 @@ _register_kpi("kpi_ttm", "revenue_ttm:4", kpis.trailing_revenue, True)
     "SELECT * FROM silver", "silver",
 )
 def _(spark, root):
-    return kpis.join_macro(_fin(spark, root), monthly_macro(spark, root))
+    return kpis.join_macro(*financials_and_macro(spark, root, "nation"))
 
 
 @_register("kpi_real_growth", "company date real_revenue_growth:8", "SELECT * FROM silver", "silver")
@@ -992,10 +1001,44 @@ def _(spark, root):
 
 @_register("forecast_revenue_reg", f"company date step {_FIT}")
 def _(spark, root):
-    silver = kpis.join_macro(_fin(spark, root), monthly_macro(spark, root))
+    silver = kpis.join_macro(*financials_and_macro(spark, root, "nation"))
     return forecast_revenue_with_regressors(silver, PERIODS, _end(spark, root))
 
 
+@_register(
+    "forecast_revenue_reg_facts",
+    "company n_history n_future first_date last_date history_kept ordered fits_better",
+    """SELECT f.company, COUNT(CASE WHEN f.step = 0 THEN 1 END) AS n_history, COUNT(CASE WHEN f.step > 0 THEN 1 END) AS n_future,
+        MIN(f.date) AS first_date, MAX(f.date) AS last_date, TRUE AS history_kept, TRUE AS ordered, TRUE AS fits_better
+      FROM fitted f GROUP BY f.company""",
+    "fitted",
+)
+def _(spark, root):
+    """What is known of the regression without fitting it: its months, its input, its order.
+
+    Over the months it has seen it may not be further off than a straight line is.
+    """
+    months, macro = financials_and_macro(spark, root, "nation")
+    silver = kpis.join_macro(months, macro)
+    fit = forecast_revenue_with_regressors(silver, PERIODS, _end(spark, root))
+    line = fc.forecast_revenue(months, PERIODS, until=_end(spark, root)).select(
+        "company", "date", F.col("revenue_trend").alias("line"), F.col("revenue").alias("given")
+    )
+    off = lambda c: F.sum((F.col(c) - F.col("given")) ** 2)
+    past = F.col("step") == 0
+    return fit.join(line, ["company", "date"], "left").groupBy("company").agg(
+        F.count_if(past).alias("n_history"),
+        F.count_if(~past).alias("n_future"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.bool_and(F.col("revenue").eqNullSafe(F.col("given"))).alias("history_kept"),
+        F.bool_and(
+            (F.col("revenue_lower") <= F.col("revenue_forecast")) & (F.col("revenue_forecast") <= F.col("revenue_upper"))
+        ).alias("ordered"),
+        (off("revenue_forecast") <= off("line")).alias("fits_better"),
+    )
+
+
 @_register(
     "regressor_extend", "company date step inflation_rate:8 interest_rate:8",
     """SELECT s.company, s.date, s.step,
@@ -1009,7 +1052,7 @@ def _(spark, root):
     "slots fit macro past",
 )
 def _(spark, root):
-    silver = kpis.join_macro(_fin(spark, root), monthly_macro(spark, root))
+    silver = kpis.join_macro(*financials_and_macro(spark, root, "nation"))
     return fc.extend_regressors(silver, periods=PERIODS, until=_end(spark, root))
 
 
@@ -1655,7 +1698,7 @@ def _(spark, root):
     "SELECT * FROM audit", "audit",
 )
 def _(spark, root):
-    return logs.audit_from_events(spark, root)
+    return fixtures.audit_from_events(spark, root)
 
 
 @_register(
@@ -1669,28 +1712,87 @@ def _(spark, root):
     "ev",
 )
 def _(spark, root):
-    return logs.run_log_from_events(spark, root)
+    return fixtures.run_log_from_events(spark, root)
+
+
+def _batch_runs(spark, root) -> list:
+    """What the log of a batch would hold for the runs in ``events``: one entry per kind of event.
+
+    A batch logs a handful of entries; the kinds are few whatever the size of the table.
+    """
+    kinds = tables.star_table(spark, root, "events").groupBy("event_type").agg(
+        F.count("*").alias("n"), F.count_if(F.col("value") > 90).alias("failed")
+    )
+    return kinds.orderBy("event_type").collect()
+
+
+@_register(
+    "audit_writer", "run_id event_type stage table_name rows_affected message severity metadata_json",
+    f"""SELECT '{RUN_ID}' AS run_id, 'stage_event' AS event_type, event_type AS stage, 'events' AS table_name,
+        COUNT(*) AS rows_affected, 'counted ' || event_type AS message,
+        CASE WHEN COUNT(CASE WHEN value > 90 THEN 1 END) > 0 THEN 'WARN' ELSE 'INFO' END AS severity,
+        '{{"failed": ' || COUNT(CASE WHEN value > 90 THEN 1 END) || '}}' AS metadata_json
+      FROM events GROUP BY event_type""",
+)
+def _(spark, root):
+    path = layers.scratch_path(spark, "audit")
+    events = [
+        {"run_id": RUN_ID, "stage": r.event_type, "table_name": "events", "rows_affected": r.n,
+         "message": f"counted {r.event_type}", "severity": "WARN" if r.failed else "INFO",
+         "metadata": {"failed": r.failed}}
+        for r in _batch_runs(spark, root)
+    ]
+    layers.append(logs.audit_frame(spark, events), path)
+    return spark.read.schema(nullable_copy(get_schema("gold_audit_log"))).parquet(path)
 
 
 @_register(
-    "config_snapshot", "run_id n_stages wacc tax_rate first_scenario",
-    """SELECT 'run_' || user_id AS run_id, COUNT(DISTINCT event_type) AS n_stages, '0.12' AS wacc,
-      '0.28' AS tax_rate, 'Base' AS first_scenario FROM events GROUP BY user_id""",
+    "run_log_writer", "run_id stage status rows_processed rows_failed error_message took_time wacc",
+    f"""SELECT '{RUN_ID}' AS run_id, event_type AS stage,
+        CASE WHEN COUNT(CASE WHEN value > 90 THEN 1 END) > 0 THEN 'failed' ELSE 'success' END AS status,
+        COUNT(*) AS rows_processed, COUNT(CASE WHEN value > 90 THEN 1 END) AS rows_failed,
+        CASE WHEN COUNT(CASE WHEN value > 90 THEN 1 END) > 0 THEN 'values above 90' END AS error_message,
+        TRUE AS took_time, '0.12' AS wacc
+      FROM events GROUP BY event_type""",
 )
 def _(spark, root):
-    snapshot = F.col("config_snapshot")
-    return (
-        logs.run_log_from_events(spark, root)
-        .groupBy("run_id")
-        .agg(F.count_distinct("stage").alias("n_stages"))
-        .withColumn("config_snapshot", F.lit(config_snapshot()))
-        .select(
-            "run_id",
-            "n_stages",
-            F.get_json_object(snapshot, "$.model.default_wacc").alias("wacc"),
-            F.get_json_object(snapshot, "$.model.corporate_tax_rate").alias("tax_rate"),
-            F.get_json_object(snapshot, "$.scenarios[0].name").alias("first_scenario"),
+    path = layers.scratch_path(spark, "run_log")
+    log = logs.RunLogger(spark, RUN_ID, f"{path}/audit", f"{path}/runs")
+    started = dt.datetime.now(dt.timezone.utc)
+    for r in _batch_runs(spark, root):
+        log.stage(
+            r.event_type, "failed" if r.failed else "success", started, r.n, r.failed,
+            "values above 90" if r.failed else None,
         )
+    log.flush()
+    rows = spark.read.schema(nullable_copy(get_schema("bronze_pipeline_run_log"))).parquet(f"{path}/runs")
+    return rows.withColumns(
+        {
+            "took_time": (F.col("duration_seconds") >= 0) & (F.col("completed_at") >= F.col("started_at")),
+            "wacc": F.get_json_object("config_snapshot", "$.model.default_wacc"),
+        }
+    )
+
+
+@_register(
+    "config_snapshot", "run_id n_events event_type wacc tax_rate first_scenario",
+    """SELECT 'run_' || event_type AS run_id, COUNT(*) AS n_events, 'pipeline_start' AS event_type, '0.12' AS wacc,
+      '0.28' AS tax_rate, 'Base' AS first_scenario FROM events e GROUP BY e.event_type""",
+)
+def _(spark, root):
+    path = layers.scratch_path(spark, "snapshots")
+    events = tables.star_table(spark, root, "events")
+    for r in _batch_runs(spark, root):
+        layers.append(logs.config_snapshot_event(spark, f"run_{r.event_type}"), path)
+    written = spark.read.schema(nullable_copy(get_schema("gold_audit_log"))).parquet(path)
+    counts = events.groupBy(F.concat(F.lit("run_"), "event_type").alias("run_id")).agg(F.count("*").alias("n_events"))
+    setting = lambda name: F.get_json_object("metadata_json", name)
+    return written.join(counts, "run_id").withColumns(
+        {
+            "wacc": setting("$.model.default_wacc"),
+            "tax_rate": setting("$.model.corporate_tax_rate"),
+            "first_scenario": setting("$.scenarios[0].name"),
+        }
     )
 
 
@@ -1703,7 +1805,7 @@ def _(spark, root):
     "audit",
 )
 def _(spark, root):
-    return monitoring.run_health(logs.audit_from_events(spark, root), TODAY)
+    return monitoring.run_health(fixtures.audit_from_events(spark, root), TODAY)
 
 
 @_register(
@@ -1713,7 +1815,7 @@ def _(spark, root):
     "dqlog",
 )
 def _(spark, root):
-    return monitoring.dq_trend(logs.dq_log_from_events(spark, root))
+    return monitoring.dq_trend(fixtures.dq_log_from_events(spark, root))
 
 
 @_register(
@@ -1723,7 +1825,7 @@ def _(spark, root):
     "audit",
 )
 def _(spark, root):
-    return monitoring.mean_duration(logs.audit_from_events(spark, root))
+    return monitoring.mean_duration(fixtures.audit_from_events(spark, root))
 
 
 @_register(
@@ -1733,7 +1835,7 @@ def _(spark, root):
     "audit",
 )
 def _(spark, root):
-    return monitoring.recent_problems(logs.audit_from_events(spark, root))
+    return monitoring.recent_problems(fixtures.audit_from_events(spark, root))
 
 
 @_register(
@@ -1741,7 +1843,7 @@ def _(spark, root):
     "SELECT * FROM dqlog WHERE NOT passed", "dqlog",
 )
 def _(spark, root):
-    return monitoring.failed_checks(logs.dq_log_from_events(spark, root))
+    return monitoring.failed_checks(fixtures.dq_log_from_events(spark, root))
 
 
 @_register(
@@ -1783,7 +1885,7 @@ PLANNED = ["signup", "view", "click", "purchase", "error", "export"]
     "ev",
 )
 def _(spark, root):
-    return monitoring.stage_summary(logs.run_log_from_events(spark, root), PLANNED)
+    return monitoring.stage_summary(fixtures.run_log_from_events(spark, root), PLANNED)
 
 
 @_register(
@@ -1803,8 +1905,8 @@ def _(spark, root):
     return monitoring.tracked_metrics(
         past,
         quality.gate(past),
-        logs.dq_log_from_events(spark, root),
-        logs.run_log_from_events(spark, root),
+        fixtures.dq_log_from_events(spark, root),
+        fixtures.run_log_from_events(spark, root),
         fc.forecast_mape(past, until=_end(spark, root)),
         statements.three_statements(years),
     )

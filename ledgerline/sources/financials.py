@@ -19,14 +19,19 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.timeseries import complete_months
 from ledgerline.params import IngestionWindow
+from ledgerline.sources.layers import materialize
 from ledgerline.sources.tables import star_table
 
 LIMB = 1_000_000
 # Sums of net line amounts in 1/10^4 currency units, and weighted ones in 1/10^6.
 NET_SUMS = ("rev", "rev_kept", "rev_open", "rev_pending")
 WEIGHTED_SUMS = ("rev_tax", "rev_disc")
+# Sums that the macro series are made of.
+MACRO_SUMS = ("disc", "tax", "qty", "cents_hi", "cents_lo")
+
+# Macro tables up to this many months are broadcast.
+BROADCAST_MONTHS = 20_000
 
 # What counts as a company: the columns its name is built from.
 COMPANY_GRAINS = {
@@ -73,9 +78,15 @@ def order_totals(spark: SparkSession, root: str) -> DataFrame:
             f"{net} AS rev",
             f"{_hundredths('l_discount')} AS disc",
             f"{_hundredths('l_tax')} AS tax",
+            f"{_hundredths('l_quantity')} AS qty",
+            f"{_hundredths('l_extendedprice')} AS cents",
         )
         .selectExpr(
             "l_orderkey",
+            "disc",
+            "tax",
+            "qty",
+            *_limbs("cents", "cents"),
             *_limbs("rev", "rev"),
             *_limbs("rev_tax", "rev * tax"),
             *_limbs("rev_disc", "rev * disc"),
@@ -87,7 +98,7 @@ def order_totals(spark: SparkSession, root: str) -> DataFrame:
     )
     return lines.groupBy("l_orderkey").agg(
         *_sums(_limb_names("rev", "rev_tax", "rev_disc", "rev_kept", "rev_open")),
-        *_sums(["n_lines", "n_returned"]),
+        *_sums(["n_lines", "n_returned", *MACRO_SUMS]),
     )
 
 
@@ -102,7 +113,32 @@ def monthly_financials(
     ``company`` picks the grain (see ``COMPANY_GRAINS``). Without ``window`` the
     whole order history is used.
     """
-    measures = _limb_names(*NET_SUMS, *WEIGHTED_SUMS) + ["n_lines", "n_returned", "n_orders"]
+    return _company_lines(company_sums(spark, root, company, window))
+
+
+def financials_and_macro(
+    spark: SparkSession,
+    root: str,
+    company: str = "nation",
+    window: IngestionWindow | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Both bronze tables from one pass over the order lines.
+
+    The sums per company and month, far fewer rows than orders, are stored once. So is the
+    macro table, one row per calendar month; it is broadcast if it has no more than
+    ``BROADCAST_MONTHS``, so that joins on the month move no company.
+    """
+    sums = materialize(company_sums(spark, root, company, window))
+    macro = materialize(_macro_lines(sums))
+    small = macro.limit(BROADCAST_MONTHS + 1).count() <= BROADCAST_MONTHS
+    return _company_lines(sums), F.broadcast(macro) if small else macro
+
+
+def company_sums(
+    spark: SparkSession, root: str, company: str, window: IngestionWindow | None = None
+) -> DataFrame:
+    """Exact sums per company and month; orders of unknown customers have company null."""
+    measures = _limb_names(*NET_SUMS, *WEIGHTED_SUMS) + ["n_lines", "n_returned", "n_orders", *MACRO_SUMS]
     pending = "o_orderstatus = 'P'"
     per_customer = (
         order_totals(spark, root)
@@ -116,20 +152,19 @@ def monthly_financials(
         .groupBy("o_custkey", "date")
         .agg(*_sums(measures))
     )
-    geography = star_table(spark, root, "nation").join(
-        star_table(spark, root, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    name = F.concat_ws(" / ", *COMPANY_GRAINS[company])
+    owners = (
+        star_table(spark, root, "customer")
+        .join(star_table(spark, root, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(star_table(spark, root, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("c_custkey", name.alias("company"))
     )
-    customers = star_table(spark, root, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment"
-    )
-    per_company = (
-        per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(geography, F.col("c_nationkey") == F.col("n_nationkey"))
-        .groupBy(F.concat_ws(" / ", *COMPANY_GRAINS[company]).alias("company"), "date")
+    return (
+        per_customer.join(owners, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .groupBy("company", "date")
         # one input row per customer and month, so the row count is the distinct count
         .agg(*_sums(measures), F.count("*").alias("customers"))
     )
-    return _company_lines(per_company)
 
 
 def _orders(spark: SparkSession, root: str, window: IngestionWindow | None) -> DataFrame:
@@ -177,7 +212,7 @@ _AMOUNTS = (
 def _company_lines(sums: DataFrame) -> DataFrame:
     """The statement lines from the company-month sums, rounded as DECIMAL, then DOUBLE."""
     counts = ["date", "company", "customers", "n_lines", "n_returned"]
-    exact = sums.selectExpr(
+    exact = sums.filter("company IS NOT NULL").selectExpr(
         *counts,
         "n_orders",
         *[f"{_joined(n, 4)} AS {n}" for n in NET_SUMS],
@@ -208,24 +243,14 @@ def monthly_macro(
     spark: SparkSession, root: str, window: IngestionWindow | None = None
 ) -> DataFrame:
     """Bronze macro indicators, one row per month of the order date."""
-    per_order = (
-        star_table(spark, root, "lineitem")
-        .selectExpr(
-            "l_orderkey",
-            f"{_hundredths('l_discount')} AS disc",
-            f"{_hundredths('l_tax')} AS tax",
-            "CAST(l_quantity AS BIGINT) AS qty",
-            *_limbs("cents", _hundredths("l_extendedprice")),
-            "1 AS n",
-        )
-        .groupBy("l_orderkey")
-        .agg(*_sums(["disc", "tax", "qty", "n", "cents_hi", "cents_lo"]))
-    )
-    months = (
-        per_order.join(_orders(spark, root, window), F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("date")
-        .agg(*_sums(["disc", "tax", "qty", "n", "cents_hi", "cents_lo"]))
-    )
+    orders = _orders(spark, root, window)
+    joined = order_totals(spark, root).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return _macro_lines(joined)
+
+
+def _macro_lines(sums: DataFrame) -> DataFrame:
+    """The macro series from sums of any finer grain that has a date."""
+    months = sums.groupBy("date").agg(*_sums(MACRO_SUMS), F.sum("n_lines").alias("n"))
     fx = f"CAST({_joined('cents', 2)} AS DOUBLE) / n / 3000.0D"
     return months.selectExpr(
         "date",
@@ -233,22 +258,5 @@ def monthly_macro(
         f"{_half_up('tax * 175', 'n')} / 100D AS interest_rate",
         f"{_half_up('tax * 45', 'n')} / 100D AS gdp_growth",
         f"FLOOR({fx} * 100 + 0.5D) / 100D AS usd_zar",
-        f"{_half_up('qty * 125', 'n')} / 100D AS unemployment",
-    )
-
-
-def reported_financials(
-    spark: SparkSession, root: str, company: str = "nation_segment", unit: str = "2.20"
-) -> DataFrame:
-    """Financials as a company books them: the input that exercises the quality gate.
-
-    Gross profit is booked in multiples of ``unit``, so some rows break the
-    identity by more than the tolerance, and months without any order come in
-    as rows without amounts.
-    """
-    booked = f"CAST(ROUND(CAST(gross_profit AS DECIMAL(22,2)) / {unit}, 0) AS DECIMAL(22,0)) * {unit}"
-    return (
-        complete_months(monthly_financials(spark, root, company))
-        .withColumn("gross_profit", F.expr(f"CAST({booked} AS DOUBLE)"))
-        .drop("is_gap")
+        f"{_half_up('qty * 125', 'n * 100')} / 100D AS unemployment",
     )

@@ -50,9 +50,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Store a small derived table that several branches read, cutting its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store a derived table that several branches read, cutting its lineage.
+
+    It is a table in the shared folder, which lost executors do not take along, and whose
+    size the planner knows.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _write(df: DataFrame, path: str, mode: str, partitions: tuple[str, ...] = (), fmt="parquet", **options) -> int:

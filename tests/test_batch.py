@@ -30,7 +30,7 @@ def test_all_stages_write_their_tables(spark, finished):
     assert scan_layer(spark, root, "gold_scenarios").count() == 5 * 3 * 4
     assert scan_layer(spark, root, "gold_cash_flow").count() == 5 * 11
     assert scan_layer(spark, root, "gold_dcf").count() == 15
-    assert scan_layer(spark, root, "silver_dq_log").count() == 46
+    assert scan_layer(spark, root, "silver_dq_log").count() == 48
     assert spark.read.option("header", True).csv(f"{root}/exports/gold_scenarios").count() == 60
 
 

@@ -1,20 +1,13 @@
-"""Queries against their SQL counterparts; LEDGERLINE_ALL=1 runs every one."""
-
-import os
+"""Every query against its SQL counterpart."""
 
 import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerline.plans.queries import QUERIES
 
 ROOT = "/root/testdata/sf0.001"
-CORE = (
-    "priority_merge upsert_merge snapshot_as_of interpolate_gaps monthly_financials_by_segment monthly_macro "
-    "dq_log quarantine silver_monthly annual_rollup gold_monthly gold_forecast_table forecast_mape "
-    "statement_identities statement_report cash_flow cash_flow_serving dcf dcf_sensitivity shock_grid "
-    "mon_stage_summary mon_metrics"
-).split()
-NAMES = list(oracle_sql()) if os.environ.get("LEDGERLINE_ALL") else CORE
+NAMES = [n for n in oracle_sql() if n in QUERIES]
 
 
 @pytest.fixture(scope="module")

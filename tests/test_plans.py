@@ -46,6 +46,15 @@ def test_a_valuation_grid_adds_no_shuffle(spark):
     assert exchanges(plan(va.dcf_sensitivity(flows))) == ["hashpartitioning"]
 
 
+def test_silver_reads_lines_once_and_moves_no_company_by_month(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(reg.QUERIES["silver_monthly"].build(spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "lineitem" not in text and "hashpartitioning(date" not in text and "BroadcastHashJoin" in text
+
+
 def test_lines_are_reduced_before_the_join(spark, sf_dir):
     text = plan(order_totals(spark, sf_dir))
     assert "partial_sum" in text

@@ -102,6 +102,8 @@ def test_schema_check_reports_missing_and_wrong_types(edges):
     got = by_check(q.check_schema(edges.withColumn("churn_rate", F.lit("x")), schema, "t"))
     assert got["schema_columns_present"].rows_failed == 22 - 8
     assert got["schema_types_compatible"].rows_failed == 1
+    extra = by_check(q.check_schema(edges.withColumn("surprise", F.lit(1)), schema, "t"))["schema_columns_present"]
+    assert "Extra columns: [" in extra.details and "surprise" in extra.details and extra.rows_failed == 22 - 8
     widened = edges.withColumn("revenue", F.lit(1))
     assert by_check(q.check_schema(widened, schema, "t"))["schema_types_compatible"].passed
 
