@@ -33,6 +33,30 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[member], ids[label[member]]
 
 
+def spanning(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Places of the edges of a lightest spanning forest: every round each part takes its
+    lightest edge to another part. Ties go to the earlier edge."""
+    ids, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = where[: len(a)], where[len(a) :]
+    rank = np.empty(len(a), np.int64)
+    rank[np.argsort(weight, kind="stable")] = np.arange(len(a))
+    by_rank = np.argsort(rank)
+    part, kept = np.arange(len(ids)), np.zeros(len(a), bool)
+    while True:
+        apart = np.flatnonzero(part[x] != part[y])
+        if not len(apart):
+            return np.flatnonzero(kept)
+        lightest = np.full(len(ids), len(a))
+        np.minimum.at(lightest, part[x[apart]], rank[apart])
+        np.minimum.at(lightest, part[y[apart]], rank[apart])
+        taken = by_rank[np.unique(lightest[lightest < len(a)])]
+        kept[taken] = True
+        members, roots = forest(part[x[taken]], part[y[taken]])
+        new = np.arange(len(ids))
+        new[members] = roots
+        part = new[part]
+
+
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each batch of edges as stars around its components' smallest ids."""
     for batch in batches:

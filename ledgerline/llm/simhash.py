@@ -13,6 +13,7 @@ members do not share yet, as often as needed: distinct fingerprints part at last
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,14 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import FOLD, documents, save
-from ledgerline.llm.graph import components, forest
+from ledgerline.llm.common import FOLD, documents, mix64, save, word_hashes
+from ledgerline.llm.graph import components, spanning
 
 SEED, WORDS, BITS, LIMIT = 42, 3, 64, 3
 #: Members of a group that one task compares; larger groups are dealt out again.
 GROUP = 4096
 #: Members of all groups that one task handles at a time.
 BUCKET = 20_000
+#: Bins of a shingle sketch (7 bits of a hash), the mark of an empty one, and the margin below the
+#: similarity asked for that an estimate may have.
+BINS, EMPTY, MARGIN = 128, 65535, 0.15
 #: Runs of the index on its levels, finest last.
 RUNS = (512, 64, 8)
 
@@ -158,16 +162,44 @@ def _blocks(limit: int):
     return F.arrow_udf(run, "array<struct<_used:long,_key:long>>")("_used", "_key", "fp")
 
 
-def _links(limit: int):
+def _links(limit: int, least: float = 0.0):
     def run(rows: pa.Table) -> pa.Table:
-        """Links within the groups of ``rows`` as stars: enough to connect what is connected."""
+        """Links within the groups of ``rows``: the closest ones that connect what is connected."""
         key, ids = rows.column("_key").to_numpy(), rows.column("id").to_numpy()
         prints = rows.column("fp").to_numpy().view(np.uint64)
         order = np.lexsort((gray_rank(prints), key))
         key, ids, prints = key[order], ids[order], prints[order]
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         sizes = np.diff(np.r_[starts, len(key)])
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        sketches = None
+        if "sketch" in rows.column_names:
+            blobs = rows.column("sketch").to_pylist()
+            sketches = np.frombuffer(b"".join(blobs), np.uint16).reshape(len(blobs), BINS)[order]
+        none = np.zeros(0, np.int64)
+        a, b, held = none, none, 0
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def weight(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            return np.bitwise_count(prints[i] ^ prints[j]) if sketches is None else 1 - estimated(sketches, i, j)
+
+        def reduce() -> None:
+            """A lightest forest of the links so far is all that later ones can add to."""
+            nonlocal a, b, held
+            i, j = (np.concatenate([x, *[w[k] for w in waiting]]) for k, x in enumerate((a, b)))
+            kept = spanning(ids[i], ids[j], weight(i, j))
+            a, b, held = i[kept], j[kept], 0
+            waiting.clear()
+
+        def add(i: np.ndarray, j: np.ndarray) -> None:
+            nonlocal held
+            if sketches is not None:
+                alike = weight(i, j) <= 1 - least
+                i, j = i[alike], j[alike]
+            waiting.append((i, j))
+            held += len(i)
+            if held > 1 << 20:
+                reduce()
+
         # Groups no larger than a few runs need no levels: members at each distance in Gray order.
         small = np.repeat(sizes <= RUNS[-2], sizes)
         for step in range(1, RUNS[-2]):
@@ -175,49 +207,158 @@ def _links(limit: int):
             if not len(i):
                 break
             i = i[np.bitwise_count(prints[i] ^ prints[i + step]) <= limit]
-            a.append(ids[i])
-            b.append(ids[i + step])
+            add(i, i + step)
         for start, size in zip(starts[sizes > RUNS[-2]], sizes[sizes > RUNS[-2]], strict=True):
-            own = ids[start : start + size]
             for i, j in GrayIndex(prints[start : start + size]).pairs(limit):
-                x, y = forest(own[i], own[j])
-                a.append(x)
-                b.append(y)
-        x, y = forest(np.concatenate(a), np.concatenate(b))
-        return pa.table({"a": x, "b": y})
+                add(start + i, start + j)
+        reduce()
+        return pa.table({"a": ids[a], "b": ids[b]})
 
     return run
 
 
+def near_links(
+    prints: DataFrame, limit: int = LIMIT, sketches: DataFrame | None = None, least: float = 0.0
+) -> DataFrame:
+    """(fp, id) with distinct fp -> links (a, b) within the limit that connect what is connected.
+
+    With ``sketches`` (id, sketch) only pairs estimated to be alike by ``least`` are links, and
+    the most alike ones are taken.
+    """
+    dealt = _dealt(prints, limit)
+    if sketches is not None:
+        dealt = [t.join(sketches, "id") for t in dealt]
+    edges = [t.groupBy("_bucket").applyInArrow(_links(limit, least), "a long, b long") for t in dealt]
+    return functools.reduce(DataFrame.unionByName, edges)
+
+
 def near_components(prints: DataFrame, limit: int = LIMIT) -> DataFrame:
     """(fp, id) with distinct fp -> (id, component_id) of all ids with a link.
 
     The limit is 1 to 15 bits. Ids are longs.
     """
-    links = [t.groupBy("_bucket").applyInArrow(_links(limit), "a long, b long") for t in _dealt(prints, limit)]
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionByName(more)
-    return components(edges)
+    return components(near_links(prints, limit))
+
+
+def _word_prints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for part in texts:
+        values = np.zeros(len(part), np.uint64)
+        for k, text in enumerate(part):
+            hashes = np.unique(word_hashes([text.as_py() or ""])[0])
+            votes = np.zeros(BITS, np.int64)
+            for at in range(0, len(hashes), 1 << 14):
+                rows = hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8)
+                votes += np.unpackbits(rows, axis=1).sum(axis=0, dtype=np.int64)
+            values[k] = np.packbits(2 * votes > len(hashes)).view(np.uint64)[0]
+        yield pa.array(values.view(np.int64))
+
+
+#: Text column -> fingerprint of its distinct words. An edit changes it less than it changes
+#: a fingerprint of shingles, so it finds the candidates; shingles decide.
+word_fingerprint = F.arrow_udf(_word_prints, T.LongType())
+
+
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; of the whole sequence if it is shorter."""
+    hashes = word_hashes([text])[0]
+    if not len(hashes):
+        return hashes
+    n = max(1, len(hashes) - words + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(min(words, len(hashes))):
+        out = mix64(out * np.uint64(31) + hashes[k : k + n])
+    return np.unique(out)
+
+
+def _shingle_sets(words: int):
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in texts:
+            yield pa.array([shingle_set(x.as_py() or "", words).tobytes() for x in part], pa.binary())
 
+    return F.arrow_udf(run, T.BinaryType())
 
-def deduplicated(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+
+def sketch(shingles: np.ndarray, seed: int) -> bytes:
+    """Per bin of the hash space 16 bits of its smallest hash; all ones where it is empty."""
+    x = mix64(shingles ^ np.uint64(seed * 0x9E3779B97F4A7C15 & 2**64 - 1))
+    least = np.full(BINS, 2**64 - 1, np.uint64)
+    np.minimum.at(least, (x >> np.uint64(57)).astype(np.int64), x & np.uint64(2**57 - 1))
+    return np.where(least == np.uint64(2**64 - 1), EMPTY, least % np.uint64(EMPTY)).astype(np.uint16).tobytes()
+
+
+def estimated(sketches: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of pairs; two empty sketches are equal."""
+    out = np.ones(len(i))
+    for at in range(0, len(i), 1 << 16):
+        a, b = sketches[i[at : at + (1 << 16)]], sketches[j[at : at + (1 << 16)]]
+        filled = ((a != EMPTY) | (b != EMPTY)).sum(axis=1)
+        same = ((a == b) & (a != EMPTY)).sum(axis=1)
+        out[at : at + (1 << 16)] = np.where(filled > 0, same / np.maximum(filled, 1), 1.0)
+    return out
+
+
+def _sketches(seed: int):
+    def run(sets: pa.Array) -> pa.Array:
+        return pa.array([sketch(np.frombuffer(x.as_py(), np.uint64), seed) for x in sets], pa.binary())
+
+    return F.arrow_udf(run, T.BinaryType())
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets; two empty ones are equal."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def _likeness(sets: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for left, right in sets:
+        pairs = zip(left, right, strict=True)
+        yield pa.array([likeness(*[np.frombuffer(x.as_py(), np.uint64) for x in p]) for p in pairs], pa.float64())
+
+
+def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """Documents (doc_id, text, ...) without near-duplicates; columns as before.
 
-    Of each component the rows with its smallest id stay, and of repeated rows one. Rows
-    without id are looked at by fingerprint only: one stays if no row with an id has it.
+    Documents are near-duplicates if their ``words``-word shingles are alike by
+    ``similarity`` or more. Candidates are found by the Gray-order index on fingerprints of
+    their words, ``limit`` bits apart or less. Of those the ones most alike by a sketch of the
+    shingles, enough to connect what is connected, are verified on the whole sets. Of each component the rows with its smallest id stay, and of repeated
+    rows one; texts with the same id are one document. Rows without id are looked at by
+    their text only: one stays if no row with an id has it.
     """
     own = docs.columns
-    rows = docs.withColumn("_fp", fingerprint(F.col("text").cast("string")))
-    prints = save(rows.select(F.col("doc_id").cast("long").alias("id"), F.col("_fp").alias("fp")), "fingerprints")
-    distinct = save(prints.groupBy("fp").agg(F.min("id").alias("id")), "distinct_fingerprints")
-    found = near_components(distinct.where("id IS NOT NULL"), limit)
-    # One id per component: ids that are no other component's member.
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text"))
+    prints = rows.select("id", F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("g"), word_fingerprint("text").alias("fp"))
+    prints = save(prints, "fingerprints")
+    texts = save(prints.groupBy("h", "g", "fp").agg(F.min("id").alias("id")).where("id IS NOT NULL"), "distinct_texts")
+    leaders = save(texts.groupBy("fp").agg(F.min("id").alias("leader")), "distinct_fingerprints")
+    same = texts.join(leaders, "fp").where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))
+    leaders = leaders.select("fp", F.col("leader").alias("id"))
+    ends = near_links(leaders, limit).unionByName(same)
+    wanted = save(ends.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+    sets = rows.join(wanted, "id", "left_semi").select("id", _shingle_sets(words)("text").alias("s"))
+    sets = save(sets.dropDuplicates(["id"]), "shingles")
+    # Of all candidates of a text the most alike is verified, by two independent estimates.
+    leaders = leaders.join(wanted, "id", "left_semi")
+    estimates = [sets.select("id", _sketches(seed)("s").alias("sketch")) for seed in (1, 2)]
+    near = [near_links(leaders, limit, e, similarity - MARGIN) for e in estimates]
+    pairs = save(functools.reduce(DataFrame.unionByName, [*near, same]).where("a <> b").distinct(), "candidates")
+    alike = F.arrow_udf(_likeness, T.DoubleType())("sa", "sb")
+    links = (
+        pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+        .select("a", "b", alike.alias("alike"))
+        .where(F.col("alike") >= similarity)
+    )
+    found = components(links)
     dropped = found.where("id <> component_id").select(F.col("id").alias("_id"))
-    stay = distinct.where("id IS NOT NULL").join(dropped, F.col("id") == F.col("_id"), "left_anti").select(F.col("id").alias("_id"))
+    stay = texts.select(F.col("id").alias("_id")).distinct().join(dropped, "_id", "left_anti")
     named = docs.where("doc_id IS NOT NULL").join(stay, F.col("doc_id").cast("long") == F.col("_id"), "left_semi")
-    alone = rows.where("doc_id IS NULL").join(distinct.where("id IS NULL").select(F.col("fp").alias("_fp")), "_fp", "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*own).unionByName(alone.dropDuplicates(["_fp"]).select(*own))
+    nameless = prints.groupBy("h", "g").agg(F.min("id").alias("id")).where("id IS NULL").select(F.col("h").alias("_h"), F.col("g").alias("_g"))
+    alone = docs.where("doc_id IS NULL").withColumns({"_h": F.xxhash64(text), "_g": F.crc32(text.cast("binary"))})
+    alone = alone.join(nameless, ["_h", "_g"], "left_semi").dropDuplicates(["_h", "_g"])
+    return named.dropDuplicates(["doc_id"]).select(*own).unionByName(alone.select(*own))
 
 
 def near_duplicates(docs: DataFrame, limit: int = LIMIT) -> DataFrame:

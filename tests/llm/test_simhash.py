@@ -88,3 +88,47 @@ def test_components_of_chains_stars_and_loops(spark):
     assert {found[n] for n in names[500:800]} == {min(names[500:800])}
     assert len(found) == 401 + 300
     assert graph.components(edges.where(F.lit(False))).count() == 0
+
+
+def test_deduplicated_catches_edited_copies_and_spares_others(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    originals = [[rng.choice(vocabulary) for _ in range(300)] for _ in range(40)]
+    rows, copies = [], {}
+    for k, words in enumerate(originals):
+        rows.append((k, " ".join(words), "en", "s"))
+    for n in range(300):
+        k, edited = n % 30, list(originals[n % 30])
+        for place in rng.sample(range(300), rng.randint(1, 4)):
+            edited[place] = "edit"
+        copies[1000 + n] = k
+        rows.append((1000 + n, " ".join(edited), "en", "s"))
+    # half of the words in common: no near-duplicates
+    rows += [(5000 + k, " ".join(w[:150] + [rng.choice(vocabulary) for _ in range(150)]), "en", "s") for k, w in enumerate(originals)]
+    sets = {i: simhash.shingle_set(t, 5) for i, t, *_ in rows}
+    assert all(simhash.likeness(sets[c], sets[k]) >= 0.8 for c, k in copies.items())
+    kept = {r.doc_id for r in simhash.deduplicated(cases.documents(spark, rows)).collect()}
+    assert {i for i in kept if i < 1000 or i >= 5000} == {i for i, *_ in rows if i < 1000 or i >= 5000}
+    assert len([i for i in kept if 1000 <= i < 5000]) <= 3
+
+
+def test_spanning_forest_takes_the_lightest_edges():
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 60, 400), rng.integers(0, 60, 400)
+    weight = rng.integers(0, 9, 400)
+    kept = graph.spanning(a, b, weight)
+    root = list(range(60))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    total = 0
+    for k in sorted(range(400), key=lambda k: weight[k]):
+        x, y = find(a[k]), find(b[k])
+        if x != y:
+            root[x] = y
+            total += weight[k]
+    assert weight[kept].sum() == total
+    assert all(x.tolist() == y.tolist() for x, y in zip(graph.forest(a, b), graph.forest(a[kept], b[kept]), strict=True))
