@@ -11,6 +11,7 @@ from ledgerline.params import SCHEMA_VERSIONS, QualityLimits
 from ledgerline.schemas import get_schema
 
 MACRO_COLUMNS = ("inflation_rate", "interest_rate", "gdp_growth", "usd_zar", "unemployment")
+# The income lines in statement order.
 PNL_COLUMNS = (
     "revenue", "cogs", "gross_profit", "opex", "rd_expense", "sga_expense", "ebitda",
     "depreciation", "ebit", "interest_expense", "ebt", "tax_expense", "net_income",

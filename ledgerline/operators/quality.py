@@ -42,6 +42,13 @@ MACRO_RANGES = (
 )
 
 NO_DATA_AGE_DAYS = 9999
+# Rows that may fail two of the business rules, and quarantine reasons.
+MARGIN_OUTSIDE_SHARE, COGS_ABOVE_REVENUE_SHARE = 0.02, 0.05
+REASONS = {
+    "null": "null_in_rule_input",
+    "identity": "gross_profit_identity_failed",
+    "revenue": "revenue_non_positive",
+}
 
 
 @dataclasses.dataclass(frozen=True, eq=False)
@@ -126,7 +133,7 @@ def business_rules(df: DataFrame, limits: QualityLimits = LIMITS) -> list[Rule]:
             "business_rule",
             "gross_margin",
             _violations((margin < low) | (margin > high)),
-            0.02,
+            MARGIN_OUTSIDE_SHARE,
             f"Expected [{low}, {high}]",
         ),
         Rule(
@@ -134,7 +141,7 @@ def business_rules(df: DataFrame, limits: QualityLimits = LIMITS) -> list[Rule]:
             "business_rule",
             "revenue",
             _violations(F.col("revenue") <= F.col("cogs")),
-            0.05,
+            COGS_ABOVE_REVENUE_SHARE,
         ),
     ]
     if "ebt" in df.columns:
@@ -448,9 +455,9 @@ def quarantine(
     """Rows that fail a hard rule, with the first failing rule as the reason."""
     inputs_missing = F.col("gross_profit").isNull() | F.col("revenue").isNull() | F.col("cogs").isNull()
     reason = (
-        F.when(inputs_missing, "null_in_rule_input")
-        .when(~F.col("_dq_gross_profit_ok"), "gross_profit_identity_failed")
-        .when(~F.col("_dq_revenue_positive"), "revenue_non_positive")
+        F.when(inputs_missing, REASONS["null"])
+        .when(~F.col("_dq_gross_profit_ok"), REASONS["identity"])
+        .when(~F.col("_dq_revenue_positive"), REASONS["revenue"])
         .otherwise("unknown")
     )
     stamp = F.current_timestamp() if stamped_at is None else F.lit(stamped_at).cast("timestamp")

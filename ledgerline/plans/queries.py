@@ -92,7 +92,8 @@ def _fin(spark, root):
 
 
 def _silver(spark, root):
-    return kpis.silver_monthly(*financials_and_macro(spark, root, "nation"))
+    months, macro = financials_and_macro(spark, root, "nation")
+    return kpis.silver_monthly(quality.silver_validate(quality.clean_rows(months)), macro)
 
 
 def _end(spark, root) -> dt.date:
