@@ -28,6 +28,8 @@ TRAIN_ROWS = 20_000
 FEATURES, LEAST_DOCS, LEAST_Z = 20_000, 4, 4.5
 #: Words whose features one task remembers.
 MEMO = 400_000
+#: Words whose feature lists are held while features are counted, between two sums.
+COUNTED = 40_000
 # Kinds of identity terms; a term is swapped for the next of its kind.
 IDENTITY = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"),
@@ -77,7 +79,7 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found = {f for w in set(words_of(text or "")) for f in (memo.get(w) or memo.setdefault(w, features(w)))}
             held.append(np.fromiter(found, np.int64, len(found)) * 2 + label if found else np.zeros(0, np.int64))
-        if sum(map(len, held)) > 4_000_000 or len(memo) > MEMO:
+        if sum(map(len, held)) > 1_000_000 or len(memo) > COUNTED:
             yield _counted(held)
             held, memo = [], {}
     if held:
