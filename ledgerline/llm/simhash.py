@@ -14,6 +14,7 @@ members do not share yet, as often as needed: distinct fingerprints part at last
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -316,42 +317,237 @@ def _likeness(sets: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield pa.array([likeness(*[np.frombuffer(x.as_py(), np.uint64) for x in p]) for p in pairs], pa.float64())
 
 
+#: Characters of the texts in which common shingles are counted, and how often one is seen there to
+#: count as common; members of a common shingle that one task compares with as many others.
+SAMPLE, COMMON, BLOCK = 24_000_000, 3, 2048
+#: Bytes of a parity map, and the fields of a prefix row as they are stored.
+PARITY = 64
+PREFIX = (("key", "<u8"), ("id", "<i8"), ("part", "<i8"), ("size", "<i4"), ("place", "<i4"), ("side", "<i1"))
+
+
+class Rarity:
+    """Order of shingles: those not seen often in the sample by hash, then the others by count."""
+
+    def __init__(self, shingles: np.ndarray, counts: np.ndarray, share: float):
+        order = np.argsort(shingles)
+        self.shingles, self.counts, self.share = shingles[order], counts[order], share
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        if not len(self.shingles):
+            return np.zeros(len(shingles), np.int64)
+        at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
+        return np.where(self.shingles[at] == shingles, self.counts[at], 0)
+
+    def prefix(self, shingles: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+        """The rarest shingles, as many as one of them must be shared with any set alike by
+        ``similarity`` (in whichever order, if it is the same for all sets), and the parts that
+        each one's members are dealt to."""
+        count = self.of(shingles)
+        n = len(shingles)
+        first = np.lexsort((shingles, count))[: n - math.ceil(similarity * n - 1e-6) + 1]
+        return shingles[first], np.ceil(count[first] / self.share / BLOCK).astype(np.int64).clip(1)
+
+
+def _rarity(texts: DataFrame, words: int, chars: int) -> Rarity:
+    """Counts the shingles of a sample of (text, h) with about ``SAMPLE`` characters."""
+    share = min(1.0, SAMPLE / max(1, chars))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(x.as_py(), words).view(np.int64))], names=["s"])
+
+    drawn = texts.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < share * 1_000_000).select("text")
+    counts = drawn.mapInArrow(run, "s long").groupBy("s").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= COMMON)
+    found = counts.toArrow()
+    return Rarity(found.column("s").to_numpy().view(np.uint64), found.column("n").to_numpy().astype(np.int64), share)
+
+
+def _prefixes(rarity: Rarity, words: int, similarity: float, buckets: int):
+    """(text, id, part) -> (bucket, rows): prefix rows of many texts, a bucket's as columns in one array."""
+
+    def packed(rows: list[tuple], held: int) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate([r[k] for r in rows]) for k in range(len(PREFIX))]
+        bucket = (columns[0] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, columns = bucket[order], [c[order] for c in columns]
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        blobs = [b"".join(c[x:y].tobytes() for c in columns) for x, y in zip(starts, [*starts[1:], held], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array(blobs, pa.binary())], names=["bucket", "rows"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for batch in batches:
+            for text, id_, part in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                shingles = shingle_set(text.as_py(), words)
+                if not len(shingles):
+                    continue
+                keys, parts = rarity.prefix(shingles, similarity)
+                place = np.arange(1, len(keys) + 1)
+                side = np.zeros(len(keys), np.int64)
+                if parts.max() > 1:  # a row for each pair of parts that its own part is in
+                    own = (mix64(np.array([id_]).view(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
+                    place, own, parts, keys = (np.repeat(x, parts) for x in (place, own, parts, keys))
+                    other = np.arange(len(keys)) - np.repeat(np.flatnonzero(np.r_[True, place[1:] != place[:-1]]), np.bincount(place)[1:])
+                    side = np.where(parts == 1, 0, np.sign(own - other))
+                    pair = (np.minimum(own, other) << 32 | np.maximum(own, other)).astype(np.uint64)
+                    keys = mix64(keys ^ mix64(pair + np.uint64(1)))
+                else:
+                    keys = mix64(keys ^ mix64(np.uint64([1])))
+                n = len(keys)
+                values = (keys, np.full(n, id_), np.full(n, part), np.full(n, len(shingles)), place, side)
+                rows.append([v.astype(t) for v, (_, t) in zip(values, PREFIX, strict=True)])
+                held += n
+                if held > 1 << 20:
+                    yield from packed(rows, held)
+                    rows, held = [], 0
+        if held:
+            yield from packed(rows, held)
+
+    return run
+
+
+def _met(similarity: float):
+    """Rows of a bucket -> pairs of different parts that may be alike by ``similarity``."""
+
+    def pairs(rows: pa.Table) -> pa.Table:
+        blobs = [x.as_py() for x in rows.column("rows")]
+        width = sum(np.dtype(t).itemsize for _, t in PREFIX)
+        columns, at = [], 0
+        for _, t in PREFIX:
+            columns.append(np.concatenate([np.frombuffer(x, t, len(x) // width, at * (len(x) // width)) for x in blobs]))
+            at += np.dtype(t).itemsize
+        del blobs
+        order = np.lexsort((columns[3], columns[0]))
+        key, id_, part, size, place, side = (c[order] for c in columns)
+        del columns
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
+        alive = np.flatnonzero(np.repeat(mixed, np.diff(np.r_[starts, len(key)])))
+        found, waiting, held = np.zeros((0, 2), np.int64), [], 0
+        step = 0
+        while len(alive):
+            step += 1
+            alive = alive[alive + step < len(key)]
+            there = alive + step
+            # by size within a key: what is too long for a text stays so
+            on = (key[alive] == key[there]) & (size[alive] >= similarity * size[there] - 1e-6)
+            alive, there = alive[on], there[on]
+            rest = np.minimum(size[alive] - place[alive], size[there] - place[there])
+            # a pair's first shared shingle leaves enough behind it; other meetings add nothing
+            enough = 1 + rest >= similarity / (1 + similarity) * (size[alive].astype(np.int64) + size[there]) - 1e-6
+            ok = enough & (part[alive] != part[there]) & ((side[alive] == 0) | (side[alive] != side[there]))
+            x, y = id_[alive[ok]], id_[there[ok]]
+            waiting.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+            held += len(x)
+            if held > 1 << 20:
+                found, waiting, held = np.unique(np.concatenate([found, *waiting]), axis=0), [], 0
+        found = np.unique(np.concatenate([found, *waiting]), axis=0)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return pairs
+
+
+def _parities(sets: pa.Array) -> pa.Array:
+    out = []
+    for x in sets:
+        s = np.frombuffer(x.as_py(), np.uint64)
+        bits = np.bincount((mix64(s) >> np.uint64(55)).astype(np.int64), minlength=PARITY * 8) & 1
+        out.append(len(s).to_bytes(8, "little") + np.packbits(bits.astype(bool)).tobytes())
+    return pa.array(out, pa.binary())
+
+
+def _possible(similarity: float):
+    """Two parity maps differ in no more places than the sets in members: a bound, no estimate."""
+
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint64).reshape(len(x), -1) for x in (left, right))
+        apart = np.bitwise_count(a[:, 1:] ^ b[:, 1:]).sum(axis=1)
+        return pa.array(apart <= (1 - similarity) / (1 + similarity) * (a[:, 0] + b[:, 0]).astype(float) + 1e-6)
+
+    return F.arrow_udf(run, T.BooleanType())
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) with whole sets (id, s) alike by ``similarity`` or more."""
+    alike = F.arrow_udf(_likeness, T.DoubleType())("sa", "sb")
+    return (
+        pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+        .select("a", "b", alike.alias("alike"))
+        .where(F.col("alike") >= similarity)
+        .select("a", "b")
+    )
+
+
+def _sets_of(rows: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """Shingle sets of the rows (id, h, g, text) with these ids; equal texts of an id once."""
+    found = rows.join(ids, "id", "left_semi").select("id", "h", "g", _shingle_sets(words)("text").alias("s"))
+    return found.dropDuplicates(["id", "h", "g"]).select("id", "s")
+
+
+def alike_links(rows: DataFrame, known: DataFrame, chars: int, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, h, g, text) -> all links (a, b) between texts alike by ``similarity`` or more that
+    ``known`` (id, component_id) does not hold in one component yet. Exact.
+
+    Two such texts share one of their rarest shingles (a prefix of each in one order of all
+    shingles). Texts that share one and are of different components are compared by length,
+    place of the shingle, parity maps and at last whole sets. Shingles that a sample shows in
+    many texts come last in the order, and their members are dealt to pairs of parts.
+    """
+    rarity = _rarity(rows, words, chars)
+    parts = rows.join(known, "id", "left").select("text", "id", F.coalesce("component_id", "id").alias("part"))
+    buckets = max(1, chars // 2_000_000)
+    dealt = parts.mapInArrow(_prefixes(rarity, words, similarity, buckets), "bucket long, rows binary")
+    met = save(dealt.groupBy("bucket").applyInArrow(_met(similarity), "a long, b long").distinct(), "met")
+    sets = _sets_of(rows, met.select(F.explode(F.array("a", "b")).alias("id")).distinct(), words)
+    sets = save(sets.select("id", "s", F.arrow_udf(_parities, T.BinaryType())("s").alias("p")), "met_shingles")
+    near = (
+        met.join(sets.select(F.col("id").alias("a"), F.col("p").alias("pa")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("p").alias("pb")), "b")
+        .where(_possible(similarity)("pa", "pb"))
+        .select("a", "b")
+        .distinct()
+    )
+    return _alike(near, sets, similarity)
+
+
 def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """Documents (doc_id, text, ...) without near-duplicates; columns as before.
 
     Documents are near-duplicates if their ``words``-word shingles are alike by
-    ``similarity`` or more. Candidates are found by the Gray-order index on fingerprints of
-    their words, ``limit`` bits apart or less. Of those the ones most alike by a sketch of the
-    shingles, enough to connect what is connected, are verified on the whole sets. Of each component the rows with its smallest id stay, and of repeated
+    ``similarity`` or more. The Gray-order index on fingerprints of their words, ``limit``
+    bits apart or less, joins most of them first: of its candidates the ones most alike by a
+    sketch, and one per equal fingerprint, are verified on the whole sets. Then every pair
+    that this has left in different components is found by ``alike_links``, which misses
+    none. Of each component the rows with its smallest id stay, and of repeated
     rows one; texts with the same id are one document. Rows without id are looked at by
     their text only: one stays if no row with an id has it.
     """
     own = docs.columns
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text"))
-    prints = rows.select("id", F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("g"), word_fingerprint("text").alias("fp"))
-    prints = save(prints, "fingerprints")
-    texts = save(prints.groupBy("h", "g", "fp").agg(F.min("id").alias("id")).where("id IS NOT NULL"), "distinct_texts")
+    hashes = F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("g")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).select("id", "text", *hashes)
+    prints = save(rows.select("id", "h", "g", F.length("text").alias("chars"), word_fingerprint("text").alias("fp")), "fingerprints")
+    classes = prints.groupBy("h", "g", "fp").agg(F.min("id").alias("id"), F.min("chars").alias("chars"))
+    texts = save(classes.where("id IS NOT NULL"), "distinct_texts")
     leaders = save(texts.groupBy("fp").agg(F.min("id").alias("leader")), "distinct_fingerprints")
     same = texts.join(leaders, "fp").where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))
     leaders = leaders.select("fp", F.col("leader").alias("id"))
     ends = near_links(leaders, limit).unionByName(same)
     wanted = save(ends.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
-    sets = rows.join(wanted, "id", "left_semi").select("id", _shingle_sets(words)("text").alias("s"))
-    sets = save(sets.dropDuplicates(["id"]), "shingles")
+    # One row per distinct text, that with its smallest id; its hashes tell it from the id's other texts.
+    first = rows.join(texts.select("id", "h", "g"), ["id", "h", "g"], "left_semi")
+    sets = save(_sets_of(first, wanted, words), "shingles")
     # Of all candidates of a text the most alike is verified, by two independent estimates.
     leaders = leaders.join(wanted, "id", "left_semi")
     estimates = [sets.select("id", _sketches(seed)("s").alias("sketch")) for seed in (1, 2)]
     near = [near_links(leaders, limit, e, similarity - MARGIN) for e in estimates]
     pairs = save(functools.reduce(DataFrame.unionByName, [*near, same]).where("a <> b").distinct(), "candidates")
-    alike = F.arrow_udf(_likeness, T.DoubleType())("sa", "sb")
-    links = (
-        pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-        .select("a", "b", alike.alias("alike"))
-        .where(F.col("alike") >= similarity)
-    )
-    found = components(links)
+    links = save(_alike(pairs, sets, similarity), "links")
+    known = save(components(links), "joined")
+    chars = texts.agg(F.sum("chars")).first()[0] or 0
+    found = components(links.unionByName(alike_links(first, known, chars, words, similarity)))
     dropped = found.where("id <> component_id").select(F.col("id").alias("_id"))
     stay = texts.select(F.col("id").alias("_id")).distinct().join(dropped, "_id", "left_anti")
     named = docs.where("doc_id IS NOT NULL").join(stay, F.col("doc_id").cast("long") == F.col("_id"), "left_semi")

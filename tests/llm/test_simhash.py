@@ -132,3 +132,18 @@ def test_spanning_forest_takes_the_lightest_edges():
             total += weight[k]
     assert weight[kept].sum() == total
     assert all(x.tolist() == y.tolist() for x, y in zip(graph.forest(a, b), graph.forest(a[kept], b[kept]), strict=True))
+
+
+def test_texts_of_one_fingerprint_meet_each_other(spark, monkeypatch):
+    # The smallest id of a fingerprint is unlike the others, which are near copies.
+    monkeypatch.setattr(simhash, "word_fingerprint", F.udf(lambda x: 7, "long"))
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(rng.sample(words, 300)), "en", "s"), (50, " ".join(words), "en", "s")]
+    for n in range(1, 40):
+        edited = list(words)
+        for place in rng.sample(range(300), 4):
+            edited[place] = f"edit{n}"
+        rows.append((n, " ".join(edited), "en", "s"))
+    kept = {r.doc_id for r in simhash.deduplicated(cases.documents(spark, rows)).collect()}
+    assert kept == {0, 1}
