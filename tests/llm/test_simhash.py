@@ -147,3 +147,34 @@ def test_texts_of_one_fingerprint_meet_each_other(spark, monkeypatch):
         rows.append((n, " ".join(edited), "en", "s"))
     kept = {r.doc_id for r in simhash.deduplicated(cases.documents(spark, rows)).collect()}
     assert kept == {0, 1}
+
+
+def zipf_text(rng, n):
+    return [f"v{int(2000 ** rng.random())}" for _ in range(n)]
+
+
+def brute(rows, similarity=0.8):
+    """Ids that stay when every pair is compared."""
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for _, t, *_ in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])]
+    ids = np.array([r[0] for r in rows])
+    a, b = (np.array([ids[p[k]] for p in pairs], np.int64) for k in (0, 1))
+    return set(ids.tolist()) - set(graph.forest(a, b)[0].tolist())
+
+
+@pytest.mark.parametrize("block", [2048, 5])
+def test_deduplicated_misses_no_pair(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)  # small: common shingles are dealt to parts
+    rng = random.Random(block)
+    rows = []
+    for k in range(100):
+        words = zipf_text(rng, rng.choice([60, 200, 800]))
+        n = len(words)
+        kinds = [words + zipf_text(rng, int(n * x)) for x in (0.05, 0.1, 0.15, 0.2, 0.24)]
+        kinds += [words[: n - int(n * x)] + zipf_text(rng, int(n * x)) for x in (0.03, 0.06, 0.09, 0.11)]
+        kinds += [words[int(n * 0.1) :], words[: n // 2] + zipf_text(rng, n // 10) + words[n // 2 :]]
+        rows += [(2 * k, " ".join(words), "en", "s"), (2 * k + 1, " ".join(kinds[k % len(kinds)]), "en", "s")]
+    # a passage that half of them quote
+    passage = " ".join(zipf_text(rng, 50))
+    rows = [(i, f"{t} {passage}" if i % 4 < 2 else t, *rest) for i, t, *rest in rows]
+    assert {r.doc_id for r in simhash.deduplicated(cases.documents(spark, rows)).collect()} == brute(rows)
