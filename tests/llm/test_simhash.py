@@ -178,3 +178,18 @@ def test_deduplicated_misses_no_pair(spark, monkeypatch, block):
     passage = " ".join(zipf_text(rng, 50))
     rows = [(i, f"{t} {passage}" if i % 4 < 2 else t, *rest) for i, t, *rest in rows]
     assert {r.doc_id for r in simhash.deduplicated(cases.documents(spark, rows)).collect()} == brute(rows)
+
+
+def test_links_that_a_forest_leaves_out_are_tried(spark, monkeypatch):
+    # The estimates favour copies among each other, which fail; each is alike to the hub only.
+    rng = random.Random(6)
+    hub = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(hub), "en", "s")]
+    for n in range(1, 60):
+        edited = list(hub)
+        for place in rng.sample(range(300), 5):
+            edited[place] = f"edit{n}"
+        rows.append((n, " ".join(edited), "en", "s"))
+    worst = lambda sketches, i, j: 1.0 - 0.001 * np.minimum(i, j) / len(sketches)
+    monkeypatch.setattr(simhash, "estimated", worst)
+    assert {r.doc_id for r in simhash.deduplicated(cases.documents(spark, rows)).collect()} == brute(rows)
