@@ -164,7 +164,8 @@ def fillings(sizes: list[int], left: Counter, room: int, most_waste: int, tries:
 
     A filling that wastes more than ``most_waste`` is pruned. One filling dominates another
     if it has the same first item and leaves less room; a filling that could still take a
-    remaining item is dominated by the one that does. ``tries`` bounds the nodes visited.
+    remaining item is dominated by the one that does. ``tries`` bounds the nodes visited; if
+    they end without a filling, the fullest one is returned, unless it wastes too much too.
     """
     found: dict[tuple[int, ...], int] = {}
     visited = 0
@@ -185,15 +186,40 @@ def fillings(sizes: list[int], left: Counter, room: int, most_waste: int, tries:
         return False
 
     walk(0, room, ())
+    if not found and visited > tries:
+        chosen = fullest(sizes, left, room)
+        if (lost := room - sum(chosen)) <= most_waste:
+            found[chosen] = lost
     return sorted(found, key=lambda f: (found[f], len(f)))
 
 
+def fullest(sizes: list[int], left: Counter, room: int) -> tuple[int, ...]:
+    """A filling of ``room`` with the least waste, of large items where it can be: exact, by the
+    sums that can be reached with the first sizes (decreasing), as bits."""
+    reached, all_ = [1], (1 << room + 1) - 1
+    for size in sizes:
+        now = reached[-1]
+        for _ in range(min(left[size], room // size)):
+            if (more := (now | now << size) & all_) == now:
+                break
+            now = more
+        reached.append(now)
+    total = reached[-1].bit_length() - 1
+    chosen: list[int] = []
+    for size, before in zip(reversed(sizes), reversed(reached[:-1]), strict=True):
+        while not before >> total & 1:
+            chosen.append(size)
+            total -= size
+    return tuple(reversed(chosen))
+
+
 def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 4000, tries: int = 4000) -> list[tuple[tuple[int, ...], int]]:
     """Packs a histogram of lengths (1..capacity) into as few bins as it can.
 
     Bin completion: take the largest length left, enumerate the undominated fillings beside
     it, follow the least wasteful one first. A filling is used for as many bins at once as
-    the counters allow. A branch is pruned when the waste it has accumulated exceeds what an
+    the counters allow. The four least wasteful fillings of a node are followed; where the
+    enumeration ends without one, the fullest. A branch is pruned when the waste it has accumulated exceeds what an
     improvement on the best packing known may waste. The first best packing known is
     best-fit decreasing; later ones are the search's own, each completed by best fit when
     the search stops early. ``nodes`` and ``tries`` bound the search, not the input.

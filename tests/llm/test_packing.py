@@ -102,3 +102,25 @@ def test_documents_are_packed_whole(spark):
 
 def test_empty_table(spark):
     assert packing.pack_documents(cases.documents(spark, []), *PATHS).count() == 0
+
+
+def test_a_cut_off_enumeration_still_fills():
+    rng = random.Random(5)
+    for _ in range(200):
+        room = rng.randint(5, 60)
+        left = Counter(rng.choices(range(3, 40), k=rng.randint(1, 12)))
+        sizes = sorted(left, reverse=True)
+        sums = {0}
+        for s in left.elements():
+            sums |= {x + s for x in sums}
+        most = max(x for x in sums if x <= room)
+        chosen = packing.fullest(sizes, left, room)
+        assert sum(chosen) == most and not Counter(chosen) - left
+    # a stop after few visits, before the only filling without waste
+    sizes = [*range(500, 400, -2), 101]
+    left = Counter({s: 3 for s in sizes})
+    found = packing.fillings(sizes, left, 1003, 0, tries=5)
+    assert found and all(sum(f) == 1003 for f in found)
+    # every bin can be full; best fit and a search that drops the branch use one more
+    counts = {2: 1, 21: 1, 28: 1, 29: 1, 30: 1, 37: 1, 58: 1, 64: 1, 72: 1, 76: 1, 77: 1, 100: 1, 106: 1, 116: 1, 119: 1, 138: 1, 151: 1, 153: 1, 159: 1, 176: 2, 177: 1, 188: 1, 195: 1, 198: 1, 230: 1, 245: 1, 270: 1, 278: 1, 300: 1, 333: 1, 334: 1, 335: 1, 362: 1, 378: 1, 380: 1, 387: 1, 388: 1, 426: 1, 449: 1, 476: 1, 484: 1, 496: 1, 528: 1, 548: 1, 575: 1, 616: 2, 636: 1, 691: 2, 695: 1, 720: 1, 871: 1}
+    assert sum(n for _, n in packing.complete_bins(counts, 1024, nodes=300, tries=20)) == -(-sum(s * n for s, n in counts.items()) // 1024)
