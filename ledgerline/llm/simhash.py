@@ -448,13 +448,17 @@ def _met(similarity: float):
     return pairs
 
 
-def _parities(sets: pa.Array) -> pa.Array:
-    out = []
-    for x in sets:
-        s = np.frombuffer(x.as_py(), np.uint64)
-        bits = np.bincount((mix64(s) >> np.uint64(55)).astype(np.int64), minlength=PARITY * 8) & 1
-        out.append(len(s).to_bytes(8, "little") + np.packbits(bits.astype(bool)).tobytes())
-    return pa.array(out, pa.binary())
+def _parities(words: int):
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in texts:
+            out = []
+            for x in part:
+                s = shingle_set(x.as_py(), words)
+                bits = np.bincount((mix64(s) >> np.uint64(55)).astype(np.int64), minlength=PARITY * 8) & 1
+                out.append(len(s).to_bytes(8, "little") + np.packbits(bits.astype(bool)).tobytes())
+            yield pa.array(out, pa.binary())
+
+    return F.arrow_udf(run, T.BinaryType())
 
 
 def _possible(similarity: float):
@@ -480,35 +484,38 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     )
 
 
-def _sets_of(rows: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """Shingle sets of the rows (id, h, g, text) with these ids; equal texts of an id once."""
-    found = rows.join(ids, "id", "left_semi").select("id", "h", "g", _shingle_sets(words)("text").alias("s"))
-    return found.dropDuplicates(["id", "h", "g"]).select("id", "s")
+def _texts_of(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Text of each of ``keys`` (id, h, g, ...), once; the join's exchange serves both steps."""
+    key = ["id", "h", "g"]
+    return rows.join(keys, key).dropDuplicates(key)
 
 
-def alike_links(rows: DataFrame, known: DataFrame, chars: int, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, h, g, text) -> all links (a, b) between texts alike by ``similarity`` or more that
-    ``known`` (id, component_id) does not hold in one component yet. Exact.
+def alike_links(rows: DataFrame, keys: DataFrame, chars: int, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, h, g, text) -> all links (a, b) between texts of ``keys`` (id, h, g, part) alike by
+    ``similarity`` or more that are not in one part yet. Exact.
 
     Two such texts share one of their rarest shingles (a prefix of each in one order of all
-    shingles). Texts that share one and are of different components are compared by length,
+    shingles). Texts that share one and are of different parts are compared by length,
     place of the shingle, parity maps and at last whole sets. Shingles that a sample shows in
     many texts come last in the order, and their members are dealt to pairs of parts.
     """
-    rarity = _rarity(rows, words, chars)
-    parts = rows.join(known, "id", "left").select("text", "id", F.coalesce("component_id", "id").alias("part"))
+    whole = _texts_of(rows, keys)
+    parity = _parities(words)("text").alias("p")
+    whole = save(whole.select("id", "h", "part", "text", parity), "whole_texts")
+    rarity = _rarity(whole.select("text", "h"), words, chars)
     buckets = max(1, chars // 2_000_000)
-    dealt = parts.mapInArrow(_prefixes(rarity, words, similarity, buckets), "bucket long, rows binary")
+    dealt = whole.select("text", "id", "part").mapInArrow(_prefixes(rarity, words, similarity, buckets), "bucket long, rows binary")
     met = save(dealt.groupBy("bucket").applyInArrow(_met(similarity), "a long, b long").distinct(), "met")
-    sets = _sets_of(rows, met.select(F.explode(F.array("a", "b")).alias("id")).distinct(), words)
-    sets = save(sets.select("id", "s", F.arrow_udf(_parities, T.BinaryType())("s").alias("p")), "met_shingles")
     near = (
-        met.join(sets.select(F.col("id").alias("a"), F.col("p").alias("pa")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("p").alias("pb")), "b")
+        met.join(whole.select(F.col("id").alias("a"), F.col("p").alias("pa")), "a")
+        .join(whole.select(F.col("id").alias("b"), F.col("p").alias("pb")), "b")
         .where(_possible(similarity)("pa", "pb"))
         .select("a", "b")
         .distinct()
     )
+    near = save(near, "near")
+    ends = save(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+    sets = save(whole.join(ends, "id", "left_semi").select("id", _shingle_sets(words)("text").alias("s")), "near_shingles")
     return _alike(near, sets, similarity)
 
 
@@ -536,9 +543,10 @@ def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: fl
     leaders = leaders.select("fp", F.col("leader").alias("id"))
     ends = near_links(leaders, limit).unionByName(same)
     wanted = save(ends.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
-    # One row per distinct text, that with its smallest id; its hashes tell it from the id's other texts.
-    first = rows.join(texts.select("id", "h", "g"), ["id", "h", "g"], "left_semi")
-    sets = save(_sets_of(first, wanted, words), "shingles")
+    # A text is that of its class's smallest id; its hashes tell it from the id's other texts.
+    keys = texts.select("id", "h", "g")
+    chosen = _texts_of(rows, keys.join(wanted, "id", "left_semi"))
+    sets = save(chosen.select("id", _shingle_sets(words)("text").alias("s")), "shingles")
     # Of all candidates of a text the most alike is verified, by two independent estimates.
     leaders = leaders.join(wanted, "id", "left_semi")
     estimates = [sets.select("id", _sketches(seed)("s").alias("sketch")) for seed in (1, 2)]
@@ -547,7 +555,8 @@ def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: fl
     links = save(_alike(pairs, sets, similarity), "links")
     known = save(components(links), "joined")
     chars = texts.agg(F.sum("chars")).first()[0] or 0
-    found = components(links.unionByName(alike_links(first, known, chars, words, similarity)))
+    parts = keys.join(known, "id", "left").select(*keys.columns, F.coalesce("component_id", "id").alias("part"))
+    found = components(links.unionByName(alike_links(rows, parts, chars, words, similarity)))
     dropped = found.where("id <> component_id").select(F.col("id").alias("_id"))
     stay = texts.select(F.col("id").alias("_id")).distinct().join(dropped, "_id", "left_anti")
     named = docs.where("doc_id IS NOT NULL").join(stay, F.col("doc_id").cast("long") == F.col("_id"), "left_semi")
