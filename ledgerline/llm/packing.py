@@ -9,23 +9,23 @@ ranking within each length and a join on (length, group of ranks).
 
 from __future__ import annotations
 
-import base64
 import bisect
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import documents, save
+from ledgerline.llm.common import batches_of, documents, save
+from ledgerline.llm.vocab import TEXTS, ByteBpe, Chunks, between_words, column_of
 
 END = 2
-#: Words kept with their ids by one task.
-MEMO = 300_000
 PIECES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -38,52 +38,40 @@ PIECES = T.StructType(
 )
 
 
-class Encoder(dict):
-    """Chunk of text -> its ids as little-endian unsigned 32-bit bytes.
+class Encoder:
+    """Ids of texts by a tokenizer file, those of ordinary text by the same vocabulary as ranks.
 
-    A text is looked up in chunks that begin at single blanks between two visible
-    characters: the vocabulary's split pattern always starts a token there. Chunks that
-    hold a special token's string go through the tokenizer file itself, all others through
-    the same vocabulary as ranks, which gives the same ids in less time.
+    Texts are cut at single blanks between two visible characters: the vocabulary's split
+    pattern always starts a token there. Distinct chunks are tokenized once a batch; those
+    that hold a special token's string go through the tokenizer file itself, as all do
+    without ranks.
     """
 
     def __init__(self, tokenizer_path: str, ranks_path: str | None):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.ranks = None
-        if ranks_path:
-            import public_tokenizers
-            import tiktoken
-
-            with open(ranks_path, "rb") as lines:
-                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def encode(self, text: str) -> bytes:
-        if self.ranks is None or any(s in text for s in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.ranks.encode_ordinary(text)
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def __missing__(self, chunk: str) -> bytes | None:
-        """None for a chunk whose blank stands beside other white space."""
-        if len(self) >= MEMO:
-            self.clear()
-        body = chunk[1:] if chunk[:1] == " " else chunk
-        beside = not body or body[-1].isspace() or (chunk is not body and body[0].isspace())
-        self[chunk] = ids = None if beside else self.encode(chunk)
-        return ids
+        self.ranks = ByteBpe(ranks_path) if ranks_path else None
+
+    def slowly(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and where each text's begin (and the last one's end)."""
+        chunks = Chunks(column_of(texts), between_words)
+        if self.ranks:
+            odd = np.zeros(len(chunks.distinct), bool)
+            for s in self.special:
+                odd |= pc.match_substring(chunks.distinct, s).to_numpy(zero_copy_only=False)
+            return chunks.gather(*self.ranks.of_chunks(chunks.distinct, self.slowly, odd))
+        ids = [self.slowly(x.decode()) for x in chunks.distinct.to_pylist()]
+        lengths = np.array([len(x) for x in ids], np.int64)
+        return chunks.gather(np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths)
 
     def text(self, text: str) -> bytes:
-        chunks = text.split(" ")
-        try:
-            return b"".join([self[chunks[0]], *map(self.__getitem__, [f" {c}" for c in chunks[1:]])])
-        except TypeError:  # a chunk gave None
-            return self.encode(text)
+        """Ids of one text as little-endian unsigned 32-bit numbers."""
+        return self.texts(pa.array([text], pa.string()))[0].astype("<u4").tobytes()
 
 
 def tokenized(
@@ -97,34 +85,34 @@ def tokenized(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path, ranks_path)
-        end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
-            out: list[tuple] = []
-            held = 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encoder.text(text.as_py() or "") + end
-                n = len(ids) // 4
-                first = n % capacity or min(n, capacity)
-                cuts = [0, *range(first, n + 1, capacity)]
-                for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    part = ids[4 * a : 4 * b]
-                    out.append((doc_id, k, a, b - a, zlib.crc32(part), part if with_ids else None))
-                held += len(ids)
-                if held > 8 << 20:
-                    yield _rows(out)
-                    out, held = [], 0
-            if out:
-                yield _rows(out)
+            for part in batches_of(batch, TEXTS):
+                ids, at = encoder.texts(part.column(1))
+                yield cut(part.column(0), np.insert(ids, at[1:], END), at + np.arange(len(at)))
+
+    def cut(doc_ids: pa.Array, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+        n = np.diff(at)
+        first = (n - 1) % capacity + 1
+        count = (n - 1) // capacity + 1
+        text = np.repeat(np.arange(len(n)), count)
+        piece = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+        length = np.where(piece == 0, first[text], capacity)
+        start = np.where(piece == 0, 0, first[text] + (piece - 1) * capacity)
+        data = memoryview(ids.astype("<u4").tobytes())
+        spans = [data[4 * a : 4 * b] for a, b in zip((at[text] + start).tolist(), (at[text] + start + length).tolist(), strict=True)]
+        columns = [
+            doc_ids.take(pa.array(text)),
+            pa.array(piece.astype(np.int32)),
+            pa.array(start),
+            pa.array(length),
+            pa.array([zlib.crc32(x) for x in spans], pa.int64()),
+            pa.array([bytes(x) for x in spans] if with_ids else [None] * len(spans), pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=PIECES.names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(pieces, PIECES)
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    columns = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=PIECES.names)
-
-
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Best-fit decreasing over a histogram: (lengths of a bin, how many such bins)."""
     left = Counter(counts)

@@ -76,6 +76,23 @@ def test_encoder_gives_the_ids_of_the_tokenizer_file():
         assert encoder.text(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+ODD = ["", None, " ", "  ", "a  b ", "la à la", "x\u3000 y", "\u00a0 \u00a0a", " \n a\n \nb c\n", "a\u2003 b", "日本 語", "é", "\x1c a \x1cb", "a b \x85 c", "«a» «b»", "🙂 🙂 a", "a\x00 b", "x " * 50, "b<|endoftext|> c", " <|endoftext|>"]
+
+
+@pytest.mark.parametrize("ranks", PATHS[1:] + (None,))
+def test_batches_of_texts_have_the_ids_of_the_tokenizer_file(ranks):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    texts = ODD + pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist() + ODD
+    tokenizer = Tokenizer.from_file(PATHS[0])
+    ids, at = packing.Encoder(PATHS[0], ranks).texts(pa.array(texts, pa.string()))
+    for k, text in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+    none, at = packing.Encoder(PATHS[0], ranks).texts(pa.array([], pa.string()))
+    assert not len(none) and at.tolist() == [0]
+
+
 def test_documents_are_packed_whole(spark):
     docs = cases.clashing(cases.documents(spark))
     tokenizer = Tokenizer.from_file(PATHS[0])
