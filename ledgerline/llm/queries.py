@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerline.llm import chunks, embeddings, language, licenses, mixing, ngrams, packing, quality, simhash, toxicity
+from ledgerline.llm import (
+    alignment,
+    chunks,
+    embeddings,
+    language,
+    licenses,
+    mixing,
+    ngrams,
+    packing,
+    quality,
+    sentencepieces,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable] = {
     "op1_lm_scoring": ngrams.query,
@@ -17,6 +30,8 @@ QUERIES: dict[str, Callable] = {
     "op8_quality_classifier": quality.query,
     "op9_document_fingerprints": chunks.query,
     "op10_mixing": mixing.query,
+    "op11_sentencepiece_codec": sentencepieces.query,
+    "op12_tokenizer_alignment": alignment.query,
 }
 
 #: SQL counterparts; the other operators are tested against brute force in ``tests/llm``.
