@@ -70,12 +70,17 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the folded words of all texts, and the text each belongs to.
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes, all at once: the hash of a span is a difference of prefix
+    sums of byte * M ** place, divided by M ** start."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _powers(_M, len(data)), out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * _powers(_M_INVERSE, len(data))[starts]
+    return mix64(hashes + (ends - starts).astype(np.uint64))
 
-    All words are hashed at once: the hash of a span is a difference of prefix sums of
-    byte * M ** place, divided by M ** start.
-    """
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the folded words of all texts, and the text each belongs to."""
     raw = [x.encode("utf-8", "surrogatepass") for x in texts]
     data = np.frombuffer((b" ".join(raw) + b" ").translate(FOLD), np.uint8)
     if not raw:
@@ -83,8 +88,5 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     inside = np.r_[False, data != 32]
     edges = np.diff(inside.astype(np.int8))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _powers(_M, len(data)), out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * _powers(_M_INVERSE, len(data))[starts]
     text_starts = np.cumsum([0, *[len(x) + 1 for x in raw[:-1]]])
-    return mix64(hashes + (ends - starts).astype(np.uint64)), np.searchsorted(text_starts, starts, "right") - 1
+    return span_hashes(data, starts, ends), np.searchsorted(text_starts, starts, "right") - 1

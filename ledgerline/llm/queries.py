@@ -7,6 +7,7 @@ from collections.abc import Callable
 from ledgerline.llm import (
     alignment,
     chunks,
+    collocations,
     embeddings,
     language,
     licenses,
@@ -32,7 +33,8 @@ QUERIES: dict[str, Callable] = {
     "op10_mixing": mixing.query,
     "op11_sentencepiece_codec": sentencepieces.query,
     "op12_tokenizer_alignment": alignment.query,
+    "op13_phrase_collocations": collocations.query,
 }
 
 #: SQL counterparts; the other operators are tested against brute force in ``tests/llm``.
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.oracle()}
+ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.oracle(), "op13_phrase_collocations": collocations.oracle()}
