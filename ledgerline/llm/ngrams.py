@@ -18,8 +18,10 @@ numbers per shard and the discounts.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -73,7 +75,7 @@ class Folder:
 
             store, path = fs.FileSystem.from_uri(self.uri)
             store.create_dir(path)
-            temporary = f"{path}/{name}.{os.getpid()}"
+            temporary = f"{path}/{name}.{uuid.uuid4().hex}"
             with store.open_output_stream(temporary) as out:
                 np.save(out, array)
             store.move(temporary, f"{path}/{name}.npy")
@@ -83,11 +85,13 @@ class Folder:
             return np.load(f"{self.local}/{name}.npy", mmap_mode="r")
         from pyarrow import fs
 
-        own = f"{tempfile.gettempdir()}/{os.path.basename(self.uri)}"
+        # The copy's folder is named by the whole address: folders of two runs have the same last part.
+        own = f"{tempfile.gettempdir()}/arrays-{hashlib.sha256(self.uri.encode()).hexdigest()[:32]}"
         os.makedirs(own, exist_ok=True)
         if not os.path.exists(path := f"{own}/{name}.npy"):
-            fs.copy_files(f"{self.uri}/{name}.npy", f"{path}.{os.getpid()}")
-            os.replace(f"{path}.{os.getpid()}", path)
+            part = f"{path}.{uuid.uuid4().hex}"
+            fs.copy_files(f"{self.uri}/{name}.npy", part)
+            os.replace(part, path)
         return np.load(path, mmap_mode="r")
 
 
@@ -268,7 +272,7 @@ def _store_pairs(folder: Folder, sizes: np.ndarray):
         parts = [unpacked(b.as_py(), n.as_py(), np.uint64, np.uint32) for n, b in zip(group.column("n"), group.column("blob"), strict=True)]
         keys, counts = summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.int64))
         folder.put(f"pair.{shard}.{part}", keys)
-        folder.put(f"times.{shard}.{part}", np.minimum(counts, 2**32 - 1).astype(np.uint32))
+        folder.put(f"times.{shard}.{part}", counts.astype(np.uint32 if counts.max() < 2**32 else np.int64))
         seen = np.bincount(np.minimum(counts, 5), minlength=6)[:6].astype(np.int64)
         rows = [(-1, 0, 0, 6, seen.tobytes())]
         a = keys >> np.uint64(32)

@@ -3,6 +3,8 @@ import re
 from collections import Counter
 
 import cases
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,24 @@ def test_nothing_to_learn_from(spark):
 def test_discounts_of_poor_counts():
     assert list(ngrams.discounts([0, 0, 0, 0, 0, 0])) == [0, 0.5, 1, 1.5]
     assert 0 < ngrams.discounts([0, 100, 40, 20, 10, 5])[1] < 1
+
+
+def test_folders_with_one_last_part_are_told_apart(tmp_path, monkeypatch):
+    import tempfile
+
+    monkeypatch.setattr(tempfile, "tempdir", str(tmp_path / "own"))
+    (tmp_path / "own").mkdir()
+    folders = [ngrams.Folder(f"file://{tmp_path}/{run}/ngrams") for run in ("first", "second")]
+    for k, folder in enumerate(folders):
+        folder.local = None  # as if only pyarrow's file systems could read it
+        folder.put("count.0", np.array([k]))
+    assert [int(folder.get("count.0")[0]) for folder in folders * 2] == [0, 1, 0, 1]
+    assert [x.name for x in (tmp_path / "first/ngrams").iterdir()] == ["count.0.npy"]
+
+
+def test_counts_over_32_bits_are_kept(tmp_path):
+    folder = ngrams.Folder(str(tmp_path))
+    blob = ngrams.packed(np.array([7], np.uint64), np.array([2**32 - 1], np.uint32))
+    group = pa.table({"n": [1, 1], "blob": [blob, blob]})
+    ngrams._store_pairs(folder, np.array([10]))((pa.scalar(0), pa.scalar(0)), group)
+    assert folder.get("times.0.0").tolist() == [2 * (2**32 - 1)]
