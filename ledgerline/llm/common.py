@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +24,69 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
+#: While a table is stored: its shuffle files go when it is written, and the batches that
+#: Python is given are small enough for several tasks of a machine.
+WHILE_SAVED = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+}
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with settings(spark, WHILE_SAVED):
+        df.write.parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(*saved: DataFrame) -> None:
+    """Removes tables of ``save`` that nothing will read any more, also no plan made of them."""
+    for df in saved:
+        spark = df.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def tidy(run: Callable) -> Callable:
+    """A function over batches that, at the end of a task, gives freed memory back to the machine.
+
+    Workers are used again by the tasks of later stages, and would keep it.
+    """
+
+    @functools.wraps(run)
+    def wrapped(*args):
+        try:
+            yield from run(*args)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def crc_of_id(doc_id: str | Column = "doc_id") -> Column:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import save
+from ledgerline.llm.common import save, tidy
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +75,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     ignored; an empty table gives an empty result.
     """
     pairs = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
-    stars = save(pairs.mapInArrow(_contract, "a long, b long").distinct(), "edges")
+    stars = save(pairs.mapInArrow(tidy(_contract), "a long, b long").distinct(), "edges")
     for _ in range(rounds):
         # a > b throughout: each a with several b links all of them to the smallest
         least = stars.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))

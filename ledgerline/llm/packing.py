@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import batches_of, documents, save
+from ledgerline.llm.common import batches_of, documents, save, tidy
 from ledgerline.llm.vocab import TEXTS, ByteBpe, Chunks, between_words, column_of
 
 END = 2
@@ -110,7 +110,7 @@ def tokenized(
         ]
         return pa.RecordBatch.from_arrays(columns, names=PIECES.names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(pieces, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(pieces), PIECES)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:

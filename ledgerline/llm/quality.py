@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import documents, save
+from ledgerline.llm.common import documents, save, tidy
 from ledgerline.llm.toxicity import TRAIN_ROWS, sampled
 
 #: Documents with a score below it are rejected.
@@ -103,7 +103,7 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS) -> Evidence | None:
     """Learns from documents (doc_id, text) and labels (doc_id, label 0/1); None without both labels."""
-    rows = sampled(docs, labels, label, most).mapInArrow(_shapes, "label int, shape array<double>").collect()
+    rows = sampled(docs, labels, label, most).mapInArrow(tidy(_shapes), "label int, shape array<double>").collect()
     if len({r["label"] for r in rows}) < 2:
         return None
     return fit(np.array([r["shape"] for r in rows]), np.array([r["label"] for r in rows], float))
@@ -119,7 +119,7 @@ def evidence(model: Evidence | None):
                 continue
             yield pa.array(model.of(np.array([shape(x.as_py() or "") for x in part])))
 
-    return F.arrow_udf(run, T.DoubleType())
+    return F.arrow_udf(tidy(run), T.DoubleType())
 
 
 def host_of(docs: DataFrame) -> tuple[Column, Column]:

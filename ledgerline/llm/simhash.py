@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import FOLD, documents, mix64, save, word_hashes
+from ledgerline.llm.common import FOLD, discard, documents, give_back, mix64, save, tidy, word_hashes
 from ledgerline.llm.graph import components, spanning
 
 SEED, WORDS, BITS, LIMIT = 42, 3, 64, 3
@@ -256,7 +256,7 @@ def _word_prints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 #: Text column -> fingerprint of its distinct words. An edit changes it less than it changes
 #: a fingerprint of shingles, so it finds the candidates; shingles decide.
-word_fingerprint = F.arrow_udf(_word_prints, T.LongType())
+word_fingerprint = F.arrow_udf(tidy(_word_prints), T.LongType())
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -276,7 +276,7 @@ def _shingle_sets(words: int):
         for part in texts:
             yield pa.array([shingle_set(x.as_py() or "", words).tobytes() for x in part], pa.binary())
 
-    return F.arrow_udf(run, T.BinaryType())
+    return F.arrow_udf(tidy(run), T.BinaryType())
 
 
 def sketch(shingles: np.ndarray, seed: int) -> bytes:
@@ -358,7 +358,7 @@ def _rarity(texts: DataFrame, words: int, chars: int) -> Rarity:
                 yield pa.RecordBatch.from_arrays([pa.array(shingle_set(x.as_py(), words).view(np.int64))], names=["s"])
 
     drawn = texts.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < share * 1_000_000).select("text")
-    counts = drawn.mapInArrow(run, "s long").groupBy("s").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= COMMON)
+    counts = drawn.mapInArrow(tidy(run), "s long").groupBy("s").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= COMMON)
     found = counts.toArrow()
     return Rarity(found.column("s").to_numpy().view(np.uint64), found.column("n").to_numpy().astype(np.int64), share)
 
@@ -398,7 +398,7 @@ def _prefixes(rarity: Rarity, words: int, similarity: float, buckets: int):
                 values = (keys, np.full(n, id_), np.full(n, part), np.full(n, len(shingles)), place, side)
                 rows.append([v.astype(t) for v, (_, t) in zip(values, PREFIX, strict=True)])
                 held += n
-                if held > 1 << 20:
+                if held > 1 << 18:
                     yield from packed(rows, held)
                     rows, held = [], 0
         if held:
@@ -443,6 +443,7 @@ def _met(similarity: float):
             if held > 1 << 20:
                 found, waiting, held = np.unique(np.concatenate([found, *waiting]), axis=0), [], 0
         found = np.unique(np.concatenate([found, *waiting]), axis=0)
+        give_back()
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
     return pairs
@@ -458,7 +459,7 @@ def _parities(words: int):
                 out.append(len(s).to_bytes(8, "little") + np.packbits(bits.astype(bool)).tobytes())
             yield pa.array(out, pa.binary())
 
-    return F.arrow_udf(run, T.BinaryType())
+    return F.arrow_udf(tidy(run), T.BinaryType())
 
 
 def _possible(similarity: float):
@@ -474,7 +475,7 @@ def _possible(similarity: float):
 
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) with whole sets (id, s) alike by ``similarity`` or more."""
-    alike = F.arrow_udf(_likeness, T.DoubleType())("sa", "sb")
+    alike = F.arrow_udf(tidy(_likeness), T.DoubleType())("sa", "sb")
     return (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
@@ -504,7 +505,7 @@ def alike_links(rows: DataFrame, keys: DataFrame, chars: int, words: int = 5, si
     whole = save(whole.select("id", "h", "part", "text", parity), "whole_texts")
     rarity = _rarity(whole.select("text", "h"), words, chars)
     buckets = max(1, chars // 2_000_000)
-    dealt = whole.select("text", "id", "part").mapInArrow(_prefixes(rarity, words, similarity, buckets), "bucket long, rows binary")
+    dealt = whole.select("text", "id", "part").mapInArrow(tidy(_prefixes(rarity, words, similarity, buckets)), "bucket long, rows binary")
     met = save(dealt.groupBy("bucket").applyInArrow(_met(similarity), "a long, b long").distinct(), "met")
     near = (
         met.join(whole.select(F.col("id").alias("a"), F.col("p").alias("pa")), "a")
@@ -516,7 +517,10 @@ def alike_links(rows: DataFrame, keys: DataFrame, chars: int, words: int = 5, si
     near = save(near, "near")
     ends = save(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
     sets = save(whole.join(ends, "id", "left_semi").select("id", _shingle_sets(words)("text").alias("s")), "near_shingles")
-    return _alike(near, sets, similarity)
+    discard(whole, met, ends)
+    found = save(_alike(near, sets, similarity), "alike")
+    discard(near, sets)
+    return found
 
 
 def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -538,7 +542,7 @@ def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: fl
     prints = save(rows.select("id", "h", "g", F.length("text").alias("chars"), word_fingerprint("text").alias("fp")), "fingerprints")
     classes = prints.groupBy("h", "g", "fp").agg(F.min("id").alias("id"), F.min("chars").alias("chars"))
     texts = save(classes.where("id IS NOT NULL"), "distinct_texts")
-    leaders = save(texts.groupBy("fp").agg(F.min("id").alias("leader")), "distinct_fingerprints")
+    leaders_table = leaders = save(texts.groupBy("fp").agg(F.min("id").alias("leader")), "distinct_fingerprints")
     same = texts.join(leaders, "fp").where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))
     leaders = leaders.select("fp", F.col("leader").alias("id"))
     ends = near_links(leaders, limit).unionByName(same)
@@ -554,6 +558,7 @@ def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: fl
     pairs = save(functools.reduce(DataFrame.unionByName, [*near, same]).where("a <> b").distinct(), "candidates")
     links = save(_alike(pairs, sets, similarity), "links")
     known = save(components(links), "joined")
+    discard(sets, pairs, leaders_table, wanted)
     chars = texts.agg(F.sum("chars")).first()[0] or 0
     parts = keys.join(known, "id", "left").select(*keys.columns, F.coalesce("component_id", "id").alias("part"))
     found = components(links.unionByName(alike_links(rows, parts, chars, words, similarity)))

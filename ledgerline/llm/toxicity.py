@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import crc_of_id, documents, save
+from ledgerline.llm.common import crc_of_id, documents, save, tidy
 from ledgerline.llm.licenses import WORDS
 
 #: Labelled rows that the model is trained on, at most (about).
@@ -177,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     ones, zeros = n.get(1, 0), n.get(0, 0)
     if not ones or not zeros:
         return Model({}, np.zeros(0), 0.0 if ones == zeros else float(np.log((ones + 0.5) / (zeros + 0.5))))
-    counts = sample.mapInArrow(_feature_counts, "feature long, ones long, zeros long").groupBy("feature")
+    counts = sample.mapInArrow(tidy(_feature_counts), "feature long, ones long, zeros long").groupBy("feature")
     share = (F.col("ones") + F.col("zeros")) / float(ones + zeros)
     spread = F.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
     z = F.abs(F.col("ones") / float(ones) - F.col("zeros") / float(zeros)) / spread
@@ -192,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     )
     chosen = {r["feature"]: k for k, r in enumerate(best.collect())}
     kind = "label int, own array<int>, swapped array<int>"
-    rows = sample.mapInArrow(_rows(chosen), kind).collect()
+    rows = sample.mapInArrow(tidy(_rows(chosen)), kind).collect()
     weights, bias = fit(
         [r["label"] for r in rows], [r["own"] for r in rows], [r["swapped"] for r in rows], len(chosen), penalty
     )
@@ -208,7 +208,7 @@ def scorer(model: Model):
             logits = [model.bias + float(model.weights[known.of(words_of(x.as_py() or ""))].sum()) for x in part]
             yield pa.array(1 / (1 + np.exp(-np.clip(np.array(logits, float), -500, 500))))
 
-    return F.arrow_udf(run, T.DoubleType())
+    return F.arrow_udf(tidy(run), T.DoubleType())
 
 
 def query(spark, sf_dir: str) -> DataFrame:
