@@ -124,3 +124,47 @@ def dq_log_from_events(spark: SparkSession, root: str) -> DataFrame:
             F.col("day").cast("timestamp").alias("checked_at"),
         )
     )
+
+
+def order_snapshots(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(o_orderkey, o_custkey, o_orderstatus, date) as an earlier and a later snapshot has them.
+
+    The later one lacks some orders of the earlier one and has others in addition; some have
+    moved to the next month since, some are no longer pending.
+    """
+    orders = star_table(spark, root, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.trunc("o_orderdate", "month").alias("date")
+    )
+    key = F.col("o_orderkey")
+    earlier = orders.where(key % 17 != 3).withColumns(
+        {
+            "date": F.when(key % 13 == 5, F.add_months("date", -1)).otherwise(F.col("date")),
+            "o_orderstatus": F.when(key % 11 == 2, "P").otherwise(F.col("o_orderstatus")),
+        }
+    )
+    return earlier, orders.where(key % 19 != 7)
+
+
+def order_terms(spark: SparkSession, root: str) -> DataFrame:
+    """(o_orderkey, start, stop): days from an order to the last shipment of its lines."""
+    shipped = star_table(spark, root, "lineitem").groupBy("l_orderkey").agg(F.to_date(F.max("l_shipdate")).alias("stop"))
+    orders = star_table(spark, root, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("start"))
+    return orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "start", "stop")
+
+
+def statement_periods(spark: SparkSession, root: str) -> DataFrame:
+    """(months, start, stop): the quarters and years that orders fall into."""
+    dates = star_table(spark, root, "orders").select(F.to_date("o_orderdate").alias("d"))
+    both = [dates.select(F.lit(n).alias("months"), F.trunc("d", unit).alias("start")) for n, unit in ((3, "quarter"), (12, "year"))]
+    return both[0].unionByName(both[1]).where("start IS NOT NULL").distinct().withColumn("stop", F.date_sub(F.add_months("start", F.col("months")), 1))
+
+
+def buyers(spark: SparkSession, root: str) -> DataFrame:
+    """(company, date, o_custkey): which customers ordered in a month, each once."""
+    orders = star_table(spark, root, "orders").select("o_custkey", F.trunc("o_orderdate", "month").alias("date")).distinct()
+    owners = (
+        star_table(spark, root, "customer")
+        .join(star_table(spark, root, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("c_custkey", F.col("n_name").alias("company"))
+    )
+    return orders.join(owners, F.col("o_custkey") == F.col("c_custkey")).select("company", "date", "o_custkey")

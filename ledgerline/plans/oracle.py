@@ -43,7 +43,7 @@ PNL = (
 AMOUNTS = PNL + ("accounts_receivable", "inventory", "accounts_payable", "capex")
 
 
-def _financials(name: str, company: str) -> None:
+def _financials(name: str, company: str, orders: str = "orders") -> None:
     _cte(
         f"{name}_lines",
         f"""
@@ -51,7 +51,7 @@ SELECT {company} AS company, CAST(date_trunc('month', o_orderdate) AS DATE) AS d
   o_orderkey, o_custkey, o_orderstatus, l_returnflag, l_linestatus,
   CAST(l_discount AS DECIMAL(4,2)) AS d, CAST(l_tax AS DECIMAL(4,2)) AS t,
   CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS rev
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+FROM lineitem JOIN {orders} ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey""",
     )
@@ -119,6 +119,7 @@ FROM {name}_grid g LEFT JOIN {source} s ON g.company = s.company AND g.date = s.
 
 
 _financials("fin", "n_name")
+_financials("fin_later", "n_name", "(SELECT * FROM orders WHERE o_orderkey % 19 <> 7) orders")
 _financials("seg", "n_name || ' / ' || c_mktsegment")
 _cte(
     "macro",

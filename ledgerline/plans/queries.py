@@ -1911,3 +1911,6 @@ def _(spark, root):
         fc.forecast_mape(past, until=_end(spark, root)),
         statements.three_statements(years),
     )
+
+
+from ledgerline.plans import extended  # noqa: E402, F401  registers its queries

@@ -19,6 +19,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.changes import apply_delta
 from ledgerline.params import IngestionWindow
 from ledgerline.sources.layers import materialize
 from ledgerline.sources.tables import star_table
@@ -65,12 +66,17 @@ def _sums(names) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
 
-def order_totals(spark: SparkSession, root: str) -> DataFrame:
-    """One row per order: the line sums every monthly measure is a combination of."""
+def order_totals(spark: SparkSession, root: str, only: DataFrame | None = None) -> DataFrame:
+    """One row per order: the line sums every monthly measure is a combination of.
+
+    ``only`` has the keys (``o_orderkey``) of the orders whose lines are wanted.
+    """
+    source = star_table(spark, root, "lineitem")
+    if only is not None:
+        source = source.join(only.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     net = f"{_hundredths('l_extendedprice')} * (100 - {_hundredths('l_discount')})"
     lines = (
-        star_table(spark, root, "lineitem")
-        .selectExpr(
+        source.selectExpr(
             "l_orderkey",
             "l_returnflag = 'N' AS kept",
             "l_linestatus = 'O' AS open",
@@ -138,11 +144,23 @@ def company_sums(
     spark: SparkSession, root: str, company: str, window: IngestionWindow | None = None
 ) -> DataFrame:
     """Exact sums per company and month; orders of unknown customers have company null."""
-    measures = _limb_names(*NET_SUMS, *WEIGHTED_SUMS) + ["n_lines", "n_returned", "n_orders", *MACRO_SUMS]
+    per_customer = customer_months(order_totals(spark, root), _orders(spark, root, window))
+    return company_months(spark, root, per_customer, company)
+
+
+#: Sums of an order that are kept per customer, company and month.
+MEASURES = _limb_names(*NET_SUMS, *WEIGHTED_SUMS) + ["n_lines", "n_returned", "n_orders", *MACRO_SUMS]
+
+
+def customer_months(totals: DataFrame, orders: DataFrame, weight: str = "1") -> DataFrame:
+    """Exact sums per customer and month from ``order_totals``; the finest grain that is kept.
+
+    ``weight`` is what an order counts, by an expression: -1 takes it off.
+    """
     pending = "o_orderstatus = 'P'"
-    per_customer = (
-        order_totals(spark, root)
-        .join(_orders(spark, root, window), F.col("l_orderkey") == F.col("o_orderkey"))
+    sums = [F.sum(m if weight == "1" else F.expr(f"{m} * ({weight})")).alias(m) for m in MEASURES]
+    return (
+        totals.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .selectExpr(
             "*",
             f"IF({pending}, rev_hi, 0) AS rev_pending_hi",
@@ -150,8 +168,12 @@ def company_sums(
             "1 AS n_orders",
         )
         .groupBy("o_custkey", "date")
-        .agg(*_sums(measures))
+        .agg(*sums)
     )
+
+
+def company_months(spark: SparkSession, root: str, per_customer: DataFrame, company: str) -> DataFrame:
+    """``customer_months`` summed per company."""
     name = F.concat_ws(" / ", *COMPANY_GRAINS[company])
     owners = (
         star_table(spark, root, "customer")
@@ -163,8 +185,46 @@ def company_sums(
         per_customer.join(owners, F.col("o_custkey") == F.col("c_custkey"), "left")
         .groupBy("company", "date")
         # one input row per customer and month, so the row count is the distinct count
-        .agg(*_sums(measures), F.count("*").alias("customers"))
+        .agg(*_sums(MEASURES), F.count("*").alias("customers"))
+    )
+
+
+def updated_financials(
+    spark: SparkSession, root: str, stored: DataFrame, changes: DataFrame, company: str
+) -> tuple[DataFrame, DataFrame]:
+    """Customer-months brought up to date by changed orders, and the company lines of them.
+
+    ``stored`` are the ``customer_months`` of the old snapshot; ``changes`` is a stored
+    ``signed_difference`` of (o_orderkey, o_custkey, o_orderstatus, date). Of the order lines
+    only those of changed orders are summed.
+    """
+    delta = customer_months(order_totals(spark, root, changes), changes, "sign")
+    now = apply_delta(stored, delta, ["o_custkey", "date"], "n_orders")
+    return now, _company_lines(company_months(spark, root, now, company))
+
+
+def hierarchy_totals(spark: SparkSession, root: str, sets: list[tuple[str, ...]], columns: tuple[str, ...]) -> DataFrame:
+    """Revenue and orders for each of the grouping ``sets`` over region, nation, segment, year, quarter, month.
+
+    One scan of the order lines: they are customer-months before they are copied to the sets.
+    ``level`` tells which of ``columns`` a row is summed over (bits, the first column highest).
+    """
+    owners = (
+        star_table(spark, root, "customer")
+        .join(star_table(spark, root, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(star_table(spark, root, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("c_custkey", F.col("r_name").alias("region"), F.col("n_name").alias("nation"), F.col("c_mktsegment").alias("segment"))
+    )
+    months = customer_months(order_totals(spark, root), _orders(spark, root, None))
+    finest = (
+        months.join(owners, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("region", "nation", "segment", "date")
+        .agg(*_sums(["rev_hi", "rev_lo", "n_orders"]))
+        .selectExpr("*", "year(date) AS year", "quarter(date) AS quarter", "month(date) AS month")
     )
+    totals = finest.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns])
+    summed = totals.agg(F.grouping_id().cast("bigint").alias("level"), *_sums(["rev_hi", "rev_lo", "n_orders"]))
+    return summed.selectExpr(*columns, "level", f"CAST({_joined('rev', 4)} AS DOUBLE) AS revenue", "n_orders")
 
 
 def _orders(spark: SparkSession, root: str, window: IngestionWindow | None) -> DataFrame:
