@@ -24,15 +24,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import batches_of, documents, mix64, save, span_hashes
+from ledgerline.llm.common import WHILE_SAVED, batches_of, documents, mix64, save, settings, span_hashes, tidy
 from ledgerline.llm.ngrams import BLOB, Folder, _blobs, _ranges, packed, shard_of, summed, unpacked
 from ledgerline.sources.layers import scratch_path
 
 #: Words of the longest phrase, least count of a phrase, rows per language.
 LONGEST, THRESHOLD, TOP = 5, 100, 2000
-#: Bytes of texts that are looked at together, bytes of text per partition, and how many times
-#: mass / threshold a summary's capacity is: its error is below threshold / SLACK.
-TEXTS, PARTITION, SLACK = 8 << 20, 24_000_000, 4
+#: Bytes of texts that are looked at together, hashes that are gathered before they are sent,
+#: bytes of text per partition, and how many times mass / threshold a summary's capacity is: its
+#: error is below threshold / SLACK.
+TEXTS, GATHER, PARTITION, SLACK = 2 << 20, 4_000_000, 12_000_000, 4
 #: Languages up to which their totals are broadcast.
 FEW = 10_000
 #: Byte table: A-Z to a-z, blank and tab to a blank, what ends a piece to a line feed.
@@ -135,10 +136,22 @@ def _frequent(words: Words, known: Survivors) -> np.ndarray:
     return known.has(distinct)[place]
 
 
-def _sent(hashes: np.ndarray, parts: int) -> pa.RecordBatch:
-    """Counts of hashes, a compressed row per partition."""
-    keys, counts = np.unique(hashes, return_counts=True)
-    return _blobs([(p, 0, 0, r.stop - r.start, packed(keys[r], counts[r].astype(np.uint32))) for p, r in _ranges(shard_of(keys, parts))])
+def _sent(found: Iterator[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+    """Counts of hashes, gathered from many batches: a compressed row per partition."""
+    held, size = [], 0
+
+    def flush() -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        return _blobs([(p, 0, 0, r.stop - r.start, packed(keys[r], counts[r].astype(np.uint32))) for p, r in _ranges(shard_of(keys, parts))])
+
+    for hashes in found:
+        held.append(hashes)
+        size += len(hashes)
+        if size > GATHER:
+            yield flush()
+            held, size = [], 0
+    if size:
+        yield flush()
 
 
 def _kept(folder: Folder, name: str, threshold: int, slack: int):
@@ -169,17 +182,16 @@ def survivors(texts: DataFrame, longest: int, threshold: int, slack: int = SLACK
     words, phrases = Survivors(folder, "word", parts), Survivors(folder, "phrase", parts)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in _words(batches):
-            yield _sent(x.hash, parts)
+        return _sent((x.hash for x in _words(batches)), parts)
 
     def count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in _words(batches):
-            found = [h for _, _, h in x.grams(_frequent(x, words), longest)]
-            yield _sent(np.concatenate(found), parts)
+        return _sent((h for x in _words(batches) for _, _, h in x.grams(_frequent(x, words), longest)), parts)
 
     for count, name in ((count_words, "word"), (count_phrases, "phrase")):
-        sent = texts.mapInArrow(count, BLOB)
-        sent.groupBy("shard").applyInArrow(_kept(folder, name, threshold, slack), "kept long, error long").agg(F.sum("kept")).first()
+        sent = texts.mapInArrow(tidy(count), BLOB)
+        kept = sent.groupBy("shard").applyInArrow(_kept(folder, name, threshold, slack), "kept long, error long")
+        with settings(spark, WHILE_SAVED):
+            kept.agg(F.sum("kept")).first()
     return words, phrases
 
 
@@ -208,7 +220,7 @@ def frequent_phrases(texts: DataFrame, longest: int, threshold: int, slack: int
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
 
-    counted = texts.mapInArrow(count, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    counted = texts.mapInArrow(tidy(count), "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     counted = save(counted.where((F.col("f") >= threshold) | (F.col("phrase").isNull() & (F.col("f") > 0))), "phrases")
     return counted.where("phrase IS NOT NULL"), counted.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
 
