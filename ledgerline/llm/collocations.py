@@ -1,9 +1,10 @@
 """Phrase collocations mined with mergeable Misra-Gries summaries.
 
-Three passes over the texts:
+Passes over the texts:
 
 1. Words are counted by hash; a phrase with a word below the threshold cannot reach it.
-2. Every n-gram of frequent words goes, by hash, to a partition. A batch's exact counts are a
+2. Every pair of frequent words, then every longer n-gram of frequent pairs, goes, by hash, to
+   a partition. A batch's exact counts are a
    summary that has lost nothing; a partition merges the summaries of all batches and, whenever
    more counters are left than its capacity, takes the largest surplus counter's value off all.
    What has been taken off is the summary's error. The capacity is a multiple of the
@@ -61,8 +62,13 @@ class Words:
         #: A word of one language is not that of another.
         self.hash = mix64(hashes ^ seeds[self.lang]) if len(hashes) else hashes
 
-    def grams(self, frequent: np.ndarray, longest: int, least: int = 2) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per length: first words of the phrases within a piece whose words are ``frequent``, and hashes."""
+    def grams(
+        self, frequent: np.ndarray, longest: int, least: int = 2, pairs: np.ndarray | None = None
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per length: first words of the phrases within a piece whose words are ``frequent``, and hashes.
+
+        With ``pairs`` (by first word) also all pairs of neighbours in them are.
+        """
         at, hashes = np.flatnonzero(frequent), self.hash[frequent]
         for n in range(1, longest + 1):
             if n > 1:
@@ -70,6 +76,8 @@ class Words:
                 at, hashes = at[on], hashes[on]
                 last = at + n - 1
                 on = frequent[last] & (self.piece[last] == self.piece[at])
+                if pairs is not None:
+                    on &= pairs[last - 1]
                 at = at[on]
                 hashes = mix64(hashes[on] * np.uint64(31) + self.hash[at + n - 1])
             if n >= least:
@@ -136,6 +144,15 @@ def _frequent(words: Words, known: Survivors) -> np.ndarray:
     return known.has(distinct)[place]
 
 
+def _frequent_pairs(words: Words, frequent: np.ndarray, known: Survivors) -> np.ndarray:
+    """Whether a word and the one after it are such a pair."""
+    out = np.zeros(len(words.hash), bool)
+    for _, at, hashes in words.grams(frequent, 2):
+        distinct, place = np.unique(hashes, return_inverse=True)
+        out[at] = known.has(distinct)[place]
+    return out
+
+
 def _sent(found: Iterator[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
     """Counts of hashes, gathered from many batches: a compressed row per partition."""
     held, size = [], 0
@@ -170,8 +187,8 @@ def _kept(folder: Folder, name: str, threshold: int, slack: int):
     return run
 
 
-def survivors(texts: DataFrame, longest: int, threshold: int, slack: int = SLACK, partition: int = PARTITION) -> tuple[Survivors, Survivors]:
-    """(text, lang) -> words, and phrases of such words, that may be seen ``threshold`` times in a language.
+def survivors(texts: DataFrame, longest: int, threshold: int, slack: int = SLACK, partition: int = PARTITION) -> tuple[Survivors, Survivors, Survivors]:
+    """(text, lang) -> words, pairs, and longer phrases that may be seen ``threshold`` times in a language.
 
     None that is seen so often is missing. Both lie in the shared folder; nothing is collected.
     """
@@ -179,33 +196,42 @@ def survivors(texts: DataFrame, longest: int, threshold: int, slack: int = SLACK
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(4, -(-size // partition))
     folder = Folder(scratch_path(spark, "collocations"))
-    words, phrases = Survivors(folder, "word", parts), Survivors(folder, "phrase", parts)
+    words, pairs, phrases = (Survivors(folder, name, parts) for name in ("word", "pair", "phrase"))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _sent((x.hash for x in _words(batches)), parts)
 
+    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sent((h for x in _words(batches) for _, _, h in x.grams(_frequent(x, words), 2)), parts)
+
+    def longer(x: Words) -> Iterator[np.ndarray]:
+        frequent = _frequent(x, words)
+        for _, _, hashes in x.grams(frequent, longest, 3, _frequent_pairs(x, frequent, pairs)):
+            yield hashes
+
     def count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sent((h for x in _words(batches) for _, _, h in x.grams(_frequent(x, words), longest)), parts)
+        return _sent((h for x in _words(batches) for h in longer(x)), parts)
 
-    for count, name in ((count_words, "word"), (count_phrases, "phrase")):
+    for count, name in ((count_words, "word"), (count_pairs, "pair"), (count_phrases, "phrase")):
         sent = texts.mapInArrow(tidy(count), BLOB)
         kept = sent.groupBy("shard").applyInArrow(_kept(folder, name, threshold, slack), "kept long, error long")
         with settings(spark, WHILE_SAVED):
             kept.agg(F.sum("kept")).first()
-    return words, phrases
+    return words, pairs, phrases
 
 
 def frequent_phrases(texts: DataFrame, longest: int, threshold: int, slack: int = SLACK, partition: int = PARTITION) -> tuple[DataFrame, DataFrame]:
     """(text, lang) -> (lang, phrase, f) of all phrases of 1 to ``longest`` words with f >= threshold,
     and (lang, n): all words."""
-    words, phrases = survivors(texts, longest, threshold, slack, partition)
+    words, pairs, phrases = survivors(texts, longest, threshold, slack, partition)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in _words(batches):
             langs, found, counts = [], [], []
-            for n, at, hashes in x.grams(_frequent(x, words), longest, 1):
+            frequent = _frequent(x, words)
+            for n, at, hashes in x.grams(frequent, longest, 1, _frequent_pairs(x, frequent, pairs)):
                 distinct, first, times = np.unique(hashes, return_index=True, return_counts=True)
-                seen = phrases.has(distinct) if n > 1 else np.ones(len(distinct), bool)
+                seen = phrases.has(distinct) if n > 2 else np.ones(len(distinct), bool)
                 first = at[first[seen]]
                 found += [x.phrase(k, n) for k in first.tolist()]
                 langs.append(x.lang[first])
