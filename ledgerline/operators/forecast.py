@@ -294,16 +294,18 @@ def model_years(
     periods: int = 36,
     model: ModelAssumptions = MODEL,
     until: dt.date | None = None,
+    means: tuple[str, ...] = (),
 ) -> DataFrame:
     """Historical and forecast years in one frame, from one pass over the months.
 
     The same rows as the annual roll-up next to the annual forecast, for the
     columns the statements need. History and future stay in the partitions of the
     single shuffle by company, which the yearly sums and the statement windows
-    reuse; nothing is computed twice or joined.
+    reuse; nothing is computed twice or joined. ``means`` are further columns of the
+    history whose monthly mean is wanted; forecast years have null there.
     """
     past = margins(history)
-    actual = F.struct(*[F.col(c) for c in MODEL_AMOUNTS])
+    actual = F.struct(*[F.col(c) for c in (*MODEL_AMOUNTS, *means)])
     projected = (
         forecast_frame(past.withColumn("_actual", actual), periods, model, until)
         .transform(project_pnl, model)
@@ -317,10 +319,11 @@ def model_years(
         future.alias("is_forecast"),
         *[F.when(future, F.col(c)).otherwise(F.col(f"_actual.{c}")).alias(c) for c in MODEL_AMOUNTS],
         *[F.when(future, F.col(c)).alias(c) for c in ("cfo", "fcf")],
+        *[F.when(~future, F.col(f"_actual.{c}")).alias(c) for c in means],
     )
     return months.groupBy(F.year("date").alias("year"), "company", "is_forecast").agg(
         *[F.sum(c).alias(c) for c in (*PNL_COLUMNS, "cfo", "capex", "fcf")],
-        *[F.avg(c).alias(c) for c in MARGIN_COLUMNS],
+        *[F.avg(c).alias(c) for c in (*MARGIN_COLUMNS, *means)],
         *[F.max_by(c, "date").alias(c) for c in CLOSING_COLUMNS],
     )
 

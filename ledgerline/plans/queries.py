@@ -102,29 +102,33 @@ def _end(spark, root) -> dt.date:
     return last.first()[0] or AS_OF
 
 
-def _made_on(spark, root) -> dt.date:
+def _made_on(end: dt.date) -> dt.date:
     """The first forecast month."""
-    return (_end(spark, root) + dt.timedelta(days=31)).replace(day=1)
+    return (end + dt.timedelta(days=31)).replace(day=1)
 
 
 def _gold_monthly(spark, root):
-    return fc.gold_monthly(_fin(spark, root), PERIODS, _made_on(spark, root), until=_end(spark, root))
+    end = _end(spark, root)
+    return fc.gold_monthly(_fin(spark, root), PERIODS, _made_on(end), until=end)
 
 
 def _layers(spark, root):
-    """History, yearly forecast and scenarios; history is stored once because all three read it."""
-    past = layers.materialize(_fin(spark, root))
-    hist = kpis.annual_rollup(kpis.margins(past).transform(kpis.unit_economics).transform(
-        kpis.working_capital).withColumns(
-        {c: F.lit(None).cast("double") for c in kpis.MACRO_COLUMNS}
-    ))
-    gold = fc.gold_annual(fc.gold_monthly(past, PERIODS, _made_on(spark, root), until=_end(spark, root)))
-    return hist, gold, fc.scenarios(gold)
+    """History, yearly forecast and scenarios: parts of one plan, which shares its shuffles."""
+    years = _model_years(spark, root)
+    gold = years.filter("is_forecast")
+    return years.filter("NOT is_forecast"), gold, fc.scenarios(gold)
 
 
 def _years(spark, root):
-    hist, gold, _ = _layers(spark, root)
-    return statements.combine_years(hist, gold)
+    """All years in one pass; a margin of history is a mean of months and has a name of its own."""
+    history = kpis.unit_economics(_fin(spark, root))
+    years = fc.model_years(history, PERIODS, until=_end(spark, root), means=("revenue_per_customer",))
+    future, names = F.col("is_forecast"), ("gross_margin", "ebitda_margin", "net_margin")
+    return years.withColumnRenamed("revenue_per_customer", "arpu").withColumns(
+        {f"{c}_avg": F.when(~future, F.col(c)) for c in names}
+        | {c: F.when(future, F.col(c)) for c in names}
+        | {"period_type": F.when(future, "Forecast").otherwise("Historical")}
+    )
 
 
 def _model_years(spark, root):
@@ -1173,7 +1177,7 @@ def _(spark, root):
 )
 def _(spark, root):
     hist, _, cases = _layers(spark, root)
-    return fc.to_gold_schema(cases, hist, RUN_ID, _made_on(spark, root))
+    return fc.to_gold_schema(cases, hist, RUN_ID, _made_on(_end(spark, root)))
 
 
 @_register(
@@ -1193,7 +1197,8 @@ def _(spark, root):
 )
 def _(spark, root):
     actual = layers.materialize(_fin(spark, root))
-    forecast = fc.gold_monthly(actual, PERIODS, _made_on(spark, root), until=_end(spark, root))
+    end = _end(spark, root)
+    forecast = fc.gold_monthly(actual, PERIODS, _made_on(end), until=end)
     return fc.forecast_vs_actual(forecast, actual)
 
 
@@ -1383,10 +1388,11 @@ def _report_sql() -> str:
 )
 def _(spark, root):
     """The printed layout as long rows: its year columns are those of the data."""
-    wide = reporting.statement_report(layers.materialize(_statements(spark, root)))
+    stored = layers.materialize(_statements(spark, root))
+    wide = reporting.statement_report(stored)
     heads = [c for c in wide.columns if re.fullmatch(r"y\d+", c)]
     cells = wide.unpivot(["company", "statement", "line_no", "label", "kind"], heads, "year", "value")
-    known = _statements(spark, root).select("company", F.concat(F.lit("y"), "year").alias("year")).distinct()
+    known = stored.select("company", F.concat(F.lit("y"), "year").alias("year")).distinct()
     return cells.join(known, ["company", "year"], "left_semi")
 
 
@@ -1654,7 +1660,8 @@ def _(spark, root):
 def _(spark, root):
     actual = layers.materialize(_fin(spark, root))
     yearly = actual.groupBy("company", F.year("date").alias("year")).agg(F.sum("revenue").alias("revenue"))
-    gold = fc.gold_annual(fc.gold_monthly(actual, PERIODS, _made_on(spark, root), until=_end(spark, root)))
+    end = _end(spark, root)
+    gold = fc.gold_annual(fc.gold_monthly(actual, PERIODS, _made_on(end), until=end))
     return reporting.bi_model_join(yearly, gold, fc.scenarios(gold))
 
 

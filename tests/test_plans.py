@@ -76,6 +76,14 @@ def test_no_cross_join_and_no_single_partition_window(spark, sf_dir, name):
     assert "SinglePartition" not in text
 
 
+@pytest.mark.parametrize("name", ["headline_kpis", "scenario_lines", "bi_measures", "combined_years", "margin_fallback"])
+def test_history_and_forecast_read_the_lines_once(spark, sf_dir, name):
+    rows = reg.QUERIES[name].build(spark, sf_dir)
+    rows.collect()
+    final = plan(rows).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet .*l_orderkey", final)) == 1
+
+
 def test_registry_is_complete():
     assert len(reg.QUERIES) >= 110
     assert [n for n, q in reg.QUERIES.items() if q.oracle() is None] == ["forecast_revenue_reg"]
