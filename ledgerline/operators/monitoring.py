@@ -115,3 +115,24 @@ def tracked_metrics(
         DataFrame.unionByName,
         [df.select(F.lit(name).alias("metric"), "value") for name, df in parts.items()] + [errors],
     )
+
+
+def with_metadata(audit: DataFrame, fields: dict[str, str], column: str = "metadata_json") -> DataFrame:
+    """Audit rows with their metadata as VARIANT and typed fields of it.
+
+    ``metadata`` is null where the text is null or no JSON; a field (name -> type) is null where
+    the key is missing, or its value is of another kind and cannot be cast.
+    """
+    parsed = audit.withColumn("metadata", F.try_parse_json(F.col(column)))
+    return parsed.withColumns({name: F.try_variant_get("metadata", f"$.{name}", kind) for name, kind in fields.items()})
+
+
+def metadata_schemas(audit: DataFrame, by: str, column: str = "metadata_json") -> DataFrame:
+    """Per value of ``by``: the schema that covers all its metadata, rows with and without valid metadata."""
+    parsed = audit.withColumn("_parsed", F.try_parse_json(F.col(column)))
+    return parsed.groupBy(by).agg(
+        F.schema_of_variant_agg("_parsed").alias("metadata_schema"),
+        F.count("_parsed").alias("valid"),
+        F.count_if(F.col("_parsed").isNull() & F.col(column).isNotNull()).alias("malformed"),
+        F.count_if(F.col(column).isNull()).alias("missing"),
+    )

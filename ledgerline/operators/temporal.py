@@ -111,3 +111,41 @@ def _met(left: DataFrame, right: DataFrame, start: str, unit: int) -> DataFrame:
     size = F.lit(unit) * F.pow(F.lit(2), F.col("_level")).cast("long")
     begins = F.greatest(_day(start), _day(f"right_{start}"))
     return left.join(right, ["_level", "_bucket"]).where(F.floor(begins / size) == F.col("_bucket"))
+
+
+def sessions(rows: DataFrame, keys: list[str], on: str, stage: str, gap: float, seconds: int = 86_400) -> DataFrame:
+    """Sessions of each key: runs of rows no more than ``gap`` seconds apart.
+
+    Returns keys, ``session_start``, ``session_end``, ``n_rows``, ``duration`` (seconds) and
+    ``stages``: the values of ``stage`` in the order they first occur (ties by name, a null one
+    left out). Rows without a time are in no session. Equal times are in the same one.
+
+    Time is cut into ranges of ``seconds``: sessions within a range are found first, so a key's
+    rows are dealt to its ranges; then a key's sessions, one row each, are joined across ranges.
+    """
+    micros, far = F.unix_micros(F.col(on).cast("timestamp")), F.lit(int(gap * 1_000_000))
+
+    def numbered(df: DataFrame, start: str, stop: str, by: list[str], name: str) -> DataFrame:
+        order = Window.partitionBy(*by).orderBy(start, stop)
+        begins = F.coalesce((F.col(start) - F.lag(stop).over(order) > far).cast("int"), F.lit(1))
+        return df.withColumn("_new", begins).withColumn(name, F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+    # Keys are packed, so that a column of the table can have any name.
+    packed = rows.where(F.col(on).isNotNull()).select(F.struct(*keys).alias("_key"), micros.alias("_t"), F.col(stage).cast("string").alias("_stage"))
+    dealt = packed.withColumn("_range", F.floor(F.col("_t") / (seconds * 1_000_000)))
+    local = numbered(dealt, "_t", "_t", ["_key", "_range"], "_local").groupBy("_key", "_range", "_local", "_stage")
+    local = local.agg(F.min("_t").alias("_start"), F.max("_t").alias("_stop"), F.count("*").alias("_n"))
+    per_stage = F.collect_list(F.struct("_stage", "_start", "_n")).alias("_stages")
+    local = local.groupBy("_key", "_range", "_local").agg(F.min("_start").alias("_start"), F.max("_stop").alias("_stop"), per_stage)
+    whole = numbered(local, "_start", "_stop", ["_key"], "_session")
+    whole = whole.select("_key", "_session", "_stop", F.inline(F.transform("_stages", lambda s: F.struct(s["_stage"].alias("_stage"), s["_start"].alias("_first"), s["_n"].alias("_n")))))
+    whole = whole.groupBy("_key", "_session", "_stage").agg(F.min("_first").alias("_first"), F.max("_stop").alias("_stop"), F.sum("_n").alias("_n"))
+    seen = F.when(F.col("_stage").isNotNull(), F.struct("_first", "_stage"))
+    found = whole.groupBy("_key", "_session").agg(
+        F.min("_first").alias("_first"), F.max("_stop").alias("_last"), F.sum("_n").alias("n_rows"),
+        F.concat_ws(" > ", F.transform(F.array_sort(F.collect_list(seen)), lambda s: s["_stage"])).alias("stages"),
+    )
+    return found.select(
+        "_key.*", F.timestamp_micros("_first").alias("session_start"), F.timestamp_micros("_last").alias("session_end"), "n_rows",
+        ((F.col("_last") - F.col("_first")) / 1_000_000).alias("duration"), "stages",
+    )

@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators import changes, distinct, temporal
+from ledgerline.operators import changes, distinct, monitoring, temporal
 from ledgerline.plans import fixtures
 from ledgerline.plans.oracle import AMOUNTS
 from ledgerline.plans.queries import _cols, _register
 from ledgerline.schemas import FINANCIAL_COLUMNS_DDL, get_schema
 from ledgerline.sources import financials, layers, tables
 from ledgerline.sources.tables import star_table
+from ledgerline.streaming import health
 
 # ------------------------------------------------------------ changes between snapshots
 
@@ -123,6 +124,74 @@ def _(spark, root):
     return pairs.withColumn("days", days.cast("bigint"))
 
 
+@_register(
+    "run_sessions", "user_id session_start session_end n_rows duration:3 stages",
+    """WITH g AS (SELECT user_id, ts, event_type, CASE WHEN ts - LAG(ts) OVER w <= INTERVAL 12 HOUR THEN 0 ELSE 1 END AS begins
+        FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+      s AS (SELECT *, SUM(begins) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM g),
+      f AS (SELECT user_id, session, event_type, MIN(ts) AS first, MAX(ts) AS last, COUNT(*) AS n FROM s GROUP BY ALL)
+      SELECT user_id, MIN(first) AS session_start, MAX(last) AS session_end, CAST(SUM(n) AS BIGINT) AS n_rows,
+        (epoch_us(MAX(last)) - epoch_us(MIN(first))) / 1000000.0 AS duration,
+        string_agg(event_type, ' > ' ORDER BY first, event_type) AS stages
+      FROM f GROUP BY user_id, session""",
+)
+def _(spark, root):
+    return temporal.sessions(star_table(spark, root, "events"), ["user_id"], "ts", "event_type", gap=12 * 3600)
+
+
+# ------------------------------------------------------------ logs: metadata and streams
+
+_METADATA = """SELECT event_id, event_type, CASE WHEN event_id % 23 = 4 THEN left(props, length(props) - 1)
+    WHEN event_id % 29 = 5 THEN '{}' WHEN event_id % 31 = 6 THEN '{"k": "many"}' WHEN event_id % 37 <> 7 THEN props END AS t
+  FROM events"""
+
+
+@_register(
+    "audit_metadata", "event_id k is_valid",
+    f"""SELECT event_id, CASE WHEN json_valid(t) THEN TRY_CAST(json_extract_string(t, '$.k') AS BIGINT) END AS k,
+        COALESCE(json_valid(t), FALSE) AS is_valid FROM ({_METADATA}) m""",
+)
+def _(spark, root):
+    rows = monitoring.with_metadata(fixtures.audit_metadata(spark, root), {"k": "bigint"})
+    return rows.withColumn("is_valid", F.col("metadata").isNotNull())
+
+
+@_register(
+    "audit_metadata_schema", "event_type metadata_schema valid malformed missing",
+    f"""SELECT event_type, CASE
+          WHEN COUNT(DISTINCT json_type(j, '$.k')) > 1 THEN 'OBJECT<k: VARIANT>'
+          WHEN MAX(json_type(j, '$.k')) = 'VARCHAR' THEN 'OBJECT<k: STRING>'
+          WHEN MAX(json_type(j, '$.k')) IS NOT NULL THEN 'OBJECT<k: BIGINT>'
+          WHEN COUNT(j) > 0 THEN 'OBJECT<>' ELSE 'VOID' END AS metadata_schema,
+        COUNT(j) AS valid, COUNT(t) - COUNT(j) AS malformed, COUNT(*) - COUNT(t) AS missing
+      FROM (SELECT *, CASE WHEN json_valid(t) THEN t END AS j FROM ({_METADATA}) m) v GROUP BY event_type""",
+)
+def _(spark, root):
+    return monitoring.metadata_schemas(fixtures.audit_metadata(spark, root), "event_type")
+
+
+@_register(
+    "streamed_health", "window_start window_end n_rows n_failed late_rows",
+    """WITH a AS (SELECT ts, event_id % 5 = 0 AS failed,
+          LEAST(date_diff('day', (SELECT CAST(MIN(ts) AS DATE) FROM events), CAST(ts AS DATE)) // 8
+            + CASE WHEN event_id % 50 = 7 THEN 1 ELSE 0 END, 3) AS part FROM events),
+      m AS (SELECT p.part, (SELECT MAX(ts) FROM a WHERE a.part < p.part) - INTERVAL 3 DAY AS mark FROM (SELECT DISTINCT part FROM a) p),
+      w AS (SELECT a.*, m.mark, date_trunc('day', ts) - to_days(k) AS s
+        FROM a JOIN m USING (part), (VALUES (0), (1)) x(k)),
+      v AS (SELECT s AS window_start, s + INTERVAL 2 DAY AS window_end, failed, mark IS NULL OR s + INTERVAL 2 DAY > mark AS kept FROM w)
+      SELECT window_start, window_end, COUNT(*) FILTER (kept) AS n_rows, COUNT(*) FILTER (kept AND failed) AS n_failed,
+        COUNT(*) FILTER (NOT kept) AS late_rows FROM v GROUP BY ALL""",
+)
+def _(spark, root):
+    """Four deliveries of log files, each taken in by a stream that ends and is started again."""
+    rows = layers.materialize(fixtures.arrivals(spark, root))
+    landing, table, checkpoint = (layers.scratch_path(spark, x) for x in ("landing", "health", "stream"))
+    for part in range(4):
+        rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(landing)
+        health.follow(spark, landing, rows.drop("part").schema, table, checkpoint)
+    return health.with_late_rows(health.latest(spark, table), rows)
+
+
 # ------------------------------------------------------------ hierarchies
 
 _PLACES, _TIMES = ("region", "nation", "segment"), ("year", "quarter", "month")

@@ -168,3 +168,26 @@ def buyers(spark: SparkSession, root: str) -> DataFrame:
         .select("c_custkey", F.col("n_name").alias("company"))
     )
     return orders.join(owners, F.col("o_custkey") == F.col("c_custkey")).select("company", "date", "o_custkey")
+
+
+def audit_metadata(spark: SparkSession, root: str) -> DataFrame:
+    """Audit rows whose metadata is the events' own text; some is cut off, lacks a key or is missing."""
+    id_, text = F.col("event_id"), F.col("props")
+    broken = (
+        F.when(id_ % 23 == 4, F.expr("left(props, length(props) - 1)"))
+        .when(id_ % 29 == 5, F.lit("{}"))
+        .when(id_ % 31 == 6, F.lit('{"k": "many"}'))
+        .when(id_ % 37 != 7, text)
+    )
+    return _events(spark, root).select("event_id", "event_type", broken.alias("metadata_json"))
+
+
+def arrivals(spark: SparkSession, root: str, days: int = 8, parts: int = 4) -> DataFrame:
+    """Log rows with the delivery they come in: ``days`` days each, one row in 50 a delivery later."""
+    events = _events(spark, root)
+    first = events.agg(F.to_date(F.min("ts")).alias("_first"))
+    late = F.when(F.col("event_id") % 50 == 7, 1).otherwise(0)
+    part = F.floor(F.date_diff(F.to_date("ts"), "_first") / days) + late
+    return events.crossJoin(F.broadcast(first)).select(
+        F.least(part, F.lit(parts - 1)).cast("int").alias("part"), F.col("ts").cast("timestamp").alias("recorded_at"), (F.col("status") == "FAILED").alias("failed")
+    )

@@ -7,9 +7,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import changes, distinct, temporal
+from ledgerline.operators import changes, distinct, monitoring, temporal
 from ledgerline.plans import fixtures
 from ledgerline.sources import financials, layers
+from ledgerline.streaming import health
 
 ROOT = "/root/testdata/sf0.001"
 DAY = dt.date(2020, 1, 1)
@@ -135,3 +136,86 @@ def test_hierarchy_totals_scan_the_lines_once(spark):
     rows = totals.collect()
     whole = next(r for r in rows if r.level == 63)
     assert whole.n_orders == sum(r.n_orders for r in rows if r.level == 31) == sum(r.n_orders for r in rows if r.level == 27)
+
+
+def plain_sessions(rows, gap):
+    """(user, time, stage) -> (user, start, stop, n, stages), by one loop in order of time."""
+    out = []
+    for user, at, stage in sorted((r for r in rows if r[1] is not None), key=lambda r: (r[0] is not None, r[0], r[1], r[2] or "")):
+        if not out or out[-1][0] != user or (at - out[-1][2]).total_seconds() > gap:
+            out.append([user, at, at, 0, []])
+        out[-1][2], out[-1][3] = at, out[-1][3] + 1
+        if stage is not None and stage not in out[-1][4]:
+            out[-1][4].append(stage)
+    return sorted((str(u), a, b, n, " > ".join(x)) for u, a, b, n, x in out)
+
+
+def test_sessions_equal_a_loop(spark):
+    rng, noon = random.Random(5), dt.datetime(2024, 1, 1, 12)
+    # one user has most rows, without a gap for days; others are sparse; ranges are cut at midnight
+    rows = [(1, noon + dt.timedelta(seconds=rng.randint(0, 4 * 86400)), rng.choice(["a", "b", None])) for _ in range(3000)]
+    rows += [(rng.choice([2, 3, None]), noon + dt.timedelta(minutes=15 * rng.randint(0, 3000)), rng.choice("abc")) for _ in range(300)]
+    rows += [(2, None, "a"), (4, noon, "b"), (4, noon, "a"), (4, noon + dt.timedelta(hours=1), "c")]
+    table = spark.createDataFrame(rows, "user int, _t timestamp, stage string")
+    for gap in (3600, 7200):
+        found = temporal.sessions(table, ["user"], "_t", "stage", gap).collect()
+        assert sorted((str(r.user), r.session_start, r.session_end, r.n_rows, r.stages) for r in found) == plain_sessions(rows, gap)
+        assert all(r.duration == (r.session_end - r.session_start).total_seconds() for r in found)
+    assert temporal.sessions(table.limit(0), ["user"], "_t", "stage", 60).count() == 0
+
+
+def test_a_key_is_dealt_to_its_ranges(spark):
+    table = spark.createDataFrame([], "user int, ts timestamp, stage string")
+    text = temporal.sessions(table, ["user"], "ts", "stage", 60)._jdf.queryExecution().executedPlan().toString()
+    lowest = [x for x in text.split("== Initial Plan ==")[-1].splitlines() if "Exchange hashpartitioning" in x][-1]
+    assert "_range" in lowest
+
+
+def test_metadata_as_variant(spark):
+    texts = ['{"k": 7}', '{"k": "9"}', '{"k": "x"}', '{"k": null}', "{}", '{"k": {"a": 1}}', '{"k": 7', "", None]
+    table = spark.createDataFrame(list(enumerate(texts)), "id int, metadata_json string")
+    found = monitoring.with_metadata(table, {"k": "bigint"}).withColumn("valid", F.col("metadata").isNotNull()).orderBy("id").collect()
+    assert [r.k for r in found] == [7, 9, None, None, None, None, None, None, None]
+    assert [r.valid for r in found] == [True] * 6 + [False] * 3
+    schemas = {r.id: r for r in monitoring.metadata_schemas(table, "id").collect()}
+    assert schemas[0].metadata_schema == "OBJECT<k: BIGINT>" and schemas[5].metadata_schema == "OBJECT<k: OBJECT<a: BIGINT>>"
+    assert [(schemas[i].valid, schemas[i].malformed, schemas[i].missing) for i in (0, 6, 8)] == [(1, 0, 0), (0, 1, 0), (0, 0, 1)]
+
+
+def test_followed_health_goes_on_after_a_failure(spark, tmp_path, monkeypatch):
+    landing, table, checkpoint = (str(tmp_path / x) for x in ("landing", "table", "checkpoint"))
+    schema = spark.createDataFrame([], "recorded_at timestamp, failed boolean").schema
+    day = dt.datetime(2024, 1, 1)
+
+    def deliver(rows):
+        spark.createDataFrame([(day + dt.timedelta(days=d), f) for d, f in rows], schema).coalesce(1).write.mode("append").parquet(landing)
+
+    def follow():
+        health.follow(spark, landing, schema, table, checkpoint, "1 day", None, "2 days")
+
+    def state():
+        return sorted((r.window_start, r.n_rows, r.n_failed) for r in health.latest(spark, table).collect())
+
+    deliver([(0.5, True), (0.6, False), (4.0, True)])
+    follow()
+    follow()  # nothing new
+    assert state() == [(day, 2, 1), (day + dt.timedelta(days=4), 1, 1)]
+
+    # The second delivery has a row of a closed window, and the first attempt dies after its write.
+    deliver([(0.7, True), (3.0, False), (4.5, True)])
+    store, died = health._store, []
+
+    def dies(changed, path):
+        store(changed, path)
+        if not died:
+            died.append(path)
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(health, "_store", dies)
+    with pytest.raises(Exception, match="lost"):
+        follow()
+    follow()
+    assert died
+    assert state() == [(day, 2, 1), (day + dt.timedelta(days=3), 1, 0), (day + dt.timedelta(days=4), 2, 2)]
+    late = health.with_late_rows(health.latest(spark, table), spark.read.schema(schema).parquet(landing), "1 day", None)
+    assert sorted((r.window_start, r.late_rows) for r in late.collect()) == [(day, 1), (day + dt.timedelta(days=3), 0), (day + dt.timedelta(days=4), 0)]
