@@ -7,10 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators import changes, distinct, monitoring, temporal
+from ledgerline.operators import changes, distinct, monitoring, quality, statements, temporal
+from ledgerline.operators import forecast as fc
 from ledgerline.plans import fixtures
-from ledgerline.plans.oracle import AMOUNTS
-from ledgerline.plans.queries import _cols, _register
+from ledgerline.plans.oracle import AMOUNTS, PNL
+from ledgerline.plans.queries import (
+    _CASH, _GOLD_ANNUAL, _INCOME_RATIOS, _MARGINS, _OK, _POSITIVE, _SCENARIO_MONEY, PERIODS, _cols, _end, _made_on, _register, _reported,
+)
 from ledgerline.schemas import FINANCIAL_COLUMNS_DDL, get_schema
 from ledgerline.sources import financials, layers, tables
 from ledgerline.sources.tables import star_table
@@ -251,3 +254,52 @@ def _(spark, root):
     registered = spark.createDataFrame([(k, f.name, f.dataType.simpleString(), stored.schema[f.name].dataType.simpleString()) for k, f in enumerate(fields)], "position int, name string, type string, written string")
     per_column = counts.unpivot([], [f.name for f in fields], "name", "n_values")
     return registered.join(per_column, "name")
+
+
+# ------------------------------------------------------------ forecasts from gated months
+
+_GATED = {
+    "fin": (
+        f"""SELECT * FROM reported WHERE {_OK} AND {_POSITIVE}
+          AND revenue > 0 AND cogs < revenue AND ABS(gross_profit - (revenue - cogs)) < 1.0""",
+        ("reported",),
+    )
+}
+
+
+def _gated(spark, root):
+    """Booked months that pass the gate and the stricter filter after it; quarantined ones are gaps."""
+    return quality.silver_validate(quality.clean_rows(_reported(spark, root)))
+
+
+def _gated_years(spark, root):
+    return fc.model_years(_gated(spark, root), PERIODS, until=_end(spark, root))
+
+
+@_register(
+    "gold_monthly_gated",
+    f"company date {_cols(PNL, 2)} {_MARGINS} {_CASH} accounts_receivable:2 inventory:2 accounts_payable:2 "
+    "revenue_lower:4 revenue_upper:4 revenue_trend:4 forecast_date",
+    "SELECT * FROM gold_m", "gold_m", _GATED,
+)
+def _(spark, root):
+    end = _end(spark, root)
+    return fc.gold_monthly(_gated(spark, root), PERIODS, _made_on(end), until=end)
+
+
+@_register("gold_annual_gated", _GOLD_ANNUAL, "SELECT * FROM gold_a", "gold_a", _GATED)
+def _(spark, root):
+    return _gated_years(spark, root).filter("is_forecast")
+
+
+@_register("scenarios_gated", f"company scenario year {_SCENARIO_MONEY}", "SELECT * FROM scen", "scen", _GATED)
+def _(spark, root):
+    return fc.scenarios(_gated_years(spark, root).filter("is_forecast"))
+
+
+@_register(
+    "income_statement_gated", f"company year period_type {_cols(PNL, 2)} {_INCOME_RATIOS}",
+    "SELECT * FROM stm_income", "stm_income", _GATED,
+)
+def _(spark, root):
+    return statements.income_statement(_gated_years(spark, root))

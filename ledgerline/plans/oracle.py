@@ -14,14 +14,18 @@ def _cte(name: str, body: str, *reads: str) -> None:
     _CTES[name] = (body, reads)
 
 
-def with_ctes(sql: str, *reads: str) -> str:
-    """``sql`` preceded by the named expressions and everything they read."""
+def with_ctes(sql: str, *reads: str, instead: dict[str, tuple[str, tuple[str, ...]]] | None = None) -> str:
+    """``sql`` preceded by the named expressions and everything they read.
+
+    ``instead`` gives other bodies, and what these read, for some of the names.
+    """
+    known = _CTES | (instead or {})
     order: list[str] = []
 
     def visit(name: str) -> None:
         if name in order:
             return
-        for dep in _CTES[name][1]:
+        for dep in known[name][1]:
             visit(dep)
         order.append(name)
 
@@ -29,7 +33,7 @@ def with_ctes(sql: str, *reads: str) -> str:
         visit(name)
     if not order:
         return sql
-    head = ",\n".join(f"{n} AS ({_CTES[n][0]})" for n in order)
+    head = ",\n".join(f"{n} AS ({known[n][0]})" for n in order)
     return f"WITH {head}\n{sql}"
 
 

@@ -40,6 +40,8 @@ class Query:
     columns: str
     sql: str | None = None
     reads: tuple[str, ...] = ()
+    #: Other bodies for some of the SQL's named expressions.
+    instead: dict[str, tuple[str, tuple[str, ...]]] | None = None
 
     def _fields(self) -> list[tuple[str, int | None]]:
         parts = [c.split(":") for c in self.columns.split()]
@@ -66,15 +68,15 @@ class Query:
             return f"CASE WHEN {x} = 0 THEN CAST(0 AS DOUBLE) ELSE {x} END AS {name}"
 
         fields = ", ".join(shown(*f) for f in self._fields())
-        return with_ctes(f"SELECT {fields} FROM ({self.sql}) result", *self.reads)
+        return with_ctes(f"SELECT {fields} FROM ({self.sql}) result", *self.reads, instead=self.instead)
 
 
 QUERIES: dict[str, Query] = {}
 
 
-def _register(name: str, columns: str, sql: str | None = None, reads: str = ""):
+def _register(name: str, columns: str, sql: str | None = None, reads: str = "", instead: dict | None = None):
     def wrap(build: Build) -> Build:
-        QUERIES[name] = Query(build, columns, sql, tuple(reads.split()))
+        QUERIES[name] = Query(build, columns, sql, tuple(reads.split()), instead)
         return build
 
     return wrap
