@@ -271,6 +271,99 @@ FROM slots s JOIN fit f ON s.company = f.company JOIN spread p ON s.company = p.
     "spread",
     "season",
 )
+_cte(
+    "regressors",
+    """
+SELECT s.company, s.date, s.step,
+  CASE WHEN s.step = 0 THEN COALESCE(m.inflation_rate, a.i) ELSE l.inflation_rate END AS inflation_rate,
+  CASE WHEN s.step = 0 THEN COALESCE(m.interest_rate, a.r) ELSE l.interest_rate END AS interest_rate
+FROM slots s JOIN fit f ON s.company = f.company
+  JOIN (SELECT company, AVG(inflation_rate) AS i, AVG(interest_rate) AS r, MAX(p.date) AS known
+    FROM past p JOIN macro m ON p.date = m.date GROUP BY company) a ON s.company = a.company
+  LEFT JOIN past p ON s.company = p.company AND s.date = p.date
+  LEFT JOIN macro m ON p.date = m.date LEFT JOIN macro l ON l.date = a.known""",
+    "slots",
+    "fit",
+    "macro",
+    "past",
+)
+_cte(
+    "reg_units",
+    """
+SELECT s.company, MAX(ABS(revenue)) AS scale,
+  AVG(inflation_rate) AS i_mean, AVG(interest_rate) AS r_mean,
+  CASE WHEN MAX(inflation_rate) > MIN(inflation_rate) THEN STDDEV_POP(inflation_rate) ELSE 1 END AS i_spread,
+  CASE WHEN MAX(interest_rate) > MIN(interest_rate) THEN STDDEV_POP(interest_rate) ELSE 1 END AS r_spread
+FROM slots s JOIN regressors g ON s.company = g.company AND s.date = g.date
+WHERE s.step = 0 AND revenue IS NOT NULL GROUP BY s.company""",
+    "slots",
+    "regressors",
+)
+_cte(
+    "reg_rows",
+    """
+SELECT company, date, step, revenue, scale, y, e,
+  list_concat([1::DOUBLE, t], list_transform(range(1, 13), lambda k: GREATEST(t - 0.8::DOUBLE * k / 12, 0))) AS x
+FROM (SELECT s.company, s.date, s.step, revenue, scale, revenue / scale AS y, t / GREATEST(n - 1, 1) AS t,
+    list_concat(
+      flatten(list_transform(range(1, 5), lambda k: [SIN(2 * PI() * k * (moy - 1) / 12), COS(2 * PI() * k * (moy - 1) / 12)])),
+      [(inflation_rate - i_mean) / i_spread, (interest_rate - r_mean) / r_spread]) AS e
+  FROM slots s JOIN fit f ON s.company = f.company JOIN reg_units u ON s.company = u.company
+    JOIN regressors g ON s.company = g.company AND s.date = g.date) q""",
+    "slots",
+    "fit",
+    "reg_units",
+    "regressors",
+)
+
+
+def _ridge(name: str, rows: str, row: str, n: int, penalty: str) -> None:
+    """Weights ``w`` per company: normal equations summed cell by cell, then eliminated (Gauss, Jordan).
+
+    ``row`` has ``n`` values and the target; ``penalty`` is SQL of the column number ``i``.
+    """
+    _cte(
+        name,
+        f"""
+WITH RECURSIVE cells AS (
+  SELECT company, i, j, SUM(v[i] * v[j]) + CASE WHEN i = j THEN {penalty} ELSE 0 END AS c
+  FROM (SELECT company, {row} AS v FROM {rows} WHERE y IS NOT NULL) r
+    CROSS JOIN range(1, {n + 1}) a(i) CROSS JOIN range(1, {n + 2}) b(j) GROUP BY company, i, j),
+steps AS (
+  SELECT company, 0 AS k, LIST(line ORDER BY i) AS m
+  FROM (SELECT company, i, LIST(c ORDER BY j) AS line FROM cells GROUP BY company, i) lines GROUP BY company
+  UNION ALL
+  SELECT company, k + 1, list_transform(m, lambda r, i: CASE
+    WHEN i = k + 1 THEN list_transform(r, lambda v: v / r[k + 1])
+    ELSE list_transform(r, lambda v, j: v - r[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END)
+  FROM steps WHERE k < {n})
+SELECT company, list_transform(m, lambda r: r[{n + 1}]) AS w FROM steps WHERE k = {n}""",
+        rows,
+    )
+
+
+_ridge("reg_line", "reg_rows", "list_append(x, y)", 14, "CASE WHEN i <= 2 THEN 1e-9 ELSE 1 / 0.15::DOUBLE END")
+_cte(
+    "reg_trends",
+    """
+SELECT r.*, list_dot_product(x, w) AS trend,
+  y / CASE WHEN ABS(list_dot_product(x, w)) > 1e-9 THEN list_dot_product(x, w) ELSE 1e-9 END - 1 AS off
+FROM reg_rows r JOIN reg_line l ON r.company = l.company""",
+    "reg_rows",
+    "reg_line",
+)
+_ridge("reg_effects", "reg_trends", "list_append(e, off)", 10, "0.01::DOUBLE")
+_cte(
+    "reg_fitted",
+    """
+SELECT company, date, step, f * scale AS revenue_forecast, trend * scale AS revenue_trend, revenue_seasonal,
+  (f - 1.2816::DOUBLE * sigma) * scale AS revenue_lower, (f + 1.2816::DOUBLE * sigma) * scale AS revenue_upper
+FROM (SELECT *, STDDEV_SAMP(y - f) OVER (PARTITION BY company) AS sigma
+  FROM (SELECT r.*, trend * (1 + list_dot_product(e, w)) AS f, list_dot_product(e[1:8], w[1:8]) AS revenue_seasonal
+    FROM reg_trends r JOIN reg_effects u ON r.company = u.company) a) b""",
+    "reg_trends",
+    "reg_effects",
+)
 _RATIOS = {
     "cogs_ratio": "cogs", "opex_ratio": "opex", "rd_ratio": "rd_expense", "sga_ratio": "sga_expense",
 }

@@ -1006,7 +1006,10 @@ def _(spark, root):
     return fc.forecast_revenue(_fin(spark, root), PERIODS, until=_end(spark, root))
 
 
-@_register("forecast_revenue_reg", f"company date step {_FIT}")
+_REG_FIT = "revenue_forecast:2 revenue_lower:2 revenue_upper:2 revenue_trend:2 revenue_seasonal:8"
+
+
+@_register("forecast_revenue_reg", f"company date step {_REG_FIT}", "SELECT * FROM reg_fitted", "reg_fitted")
 def _(spark, root):
     silver = kpis.join_macro(*financials_and_macro(spark, root, "nation"))
     return forecast_revenue_with_regressors(silver, PERIODS, _end(spark, root))
@@ -1048,15 +1051,8 @@ def _(spark, root):
 
 @_register(
     "regressor_extend", "company date step inflation_rate:8 interest_rate:8",
-    """SELECT s.company, s.date, s.step,
-        CASE WHEN s.step = 0 THEN COALESCE(m.inflation_rate, a.i) ELSE l.inflation_rate END AS inflation_rate,
-        CASE WHEN s.step = 0 THEN COALESCE(m.interest_rate, a.r) ELSE l.interest_rate END AS interest_rate
-      FROM slots s JOIN fit f ON s.company = f.company
-        JOIN (SELECT company, AVG(inflation_rate) AS i, AVG(interest_rate) AS r, MAX(p.date) AS known
-          FROM past p JOIN macro m ON p.date = m.date GROUP BY company) a ON s.company = a.company
-        LEFT JOIN past p ON s.company = p.company AND s.date = p.date
-        LEFT JOIN macro m ON p.date = m.date LEFT JOIN macro l ON l.date = a.known""",
-    "slots fit macro past",
+    "SELECT * FROM regressors",
+    "regressors",
 )
 def _(spark, root):
     silver = kpis.join_macro(*financials_and_macro(spark, root, "nation"))

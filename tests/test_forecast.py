@@ -6,6 +6,7 @@ from helpers import full_history, months
 from pyspark.sql import functions as F
 
 from ledgerline.operators import forecast as fc
+from ledgerline.operators import regression_forecast as rf
 from ledgerline.operators.regression_forecast import forecast_revenue_with_regressors
 
 MADE_ON = dt.date(2023, 1, 1)
@@ -127,3 +128,65 @@ def test_ridge_forecast_follows_the_series_and_is_deterministic(spark):
     error = np.mean([abs(r.revenue_forecast / r.revenue - 1) for r in past])
     assert error < 0.03
     assert all(r.revenue_lower < r.revenue_forecast < r.revenue_upper for r in rows)
+
+
+def plain_regression(rows, periods):
+    """Trend, then effects, by dense solves; rows are (revenue or None, inflation, interest) by month from 2020."""
+    n = len(rows)
+    y = np.array([np.nan if r[0] is None else r[0] for r in rows] + [np.nan] * periods)
+    macro = np.array([r[1:] for r in rows] + [rows[-1][1:]] * periods, dtype=float)
+    seen = ~np.isnan(y)
+    scale = np.nanmax(np.abs(y)) or 1.0
+    y = y / scale
+
+    def weights(x, target, penalties):
+        stacked = np.vstack([x[seen], np.diag(np.sqrt(penalties))])
+        return np.linalg.lstsq(stacked, np.r_[target[seen], np.zeros(len(penalties))], rcond=None)[0]
+
+    t = np.arange(n + periods) / max(n - 1, 1)
+    x = np.column_stack([t**0, t, *[np.clip(t - k, 0, None) for k in rf.KNOTS]])
+    trend = x @ weights(x, y, rf.TREND_PENALTIES)
+    month = np.arange(n + periods) % 12
+    waves = [f(2 * np.pi * k * month / 12) for k in range(1, rf.FOURIER_ORDER + 1) for f in (np.sin, np.cos)]
+    spread = np.ptp(macro[seen], axis=0)
+    units = np.where(spread > 0, macro[seen].std(axis=0), 1.0)
+    effects = np.column_stack([*waves, (macro - macro[seen].mean(axis=0)) / units])
+    w = weights(effects, y / trend - 1, rf.EFFECT_PENALTIES)
+    fit = trend * (1 + effects @ w)
+    sigma = np.std((y - fit)[seen], ddof=1)
+    return np.column_stack(
+        [fit, fit - rf.INTERVAL_Z * sigma, fit + rf.INTERVAL_Z * sigma, trend, effects[:, : len(waves)] @ w[: len(waves)] / scale]
+    ) * scale
+
+
+def test_regression_equals_dense_solves(spark):
+    rng = np.random.default_rng(3)
+    sizes = {"long": (90, 1e7), "short": (5, 300.0), "two": (2, 1.0), "gaps": (40, 2e4), "flat": (30, 50.0)}
+    given = {}
+    for name, (n, scale) in sizes.items():
+        given[name] = [
+            (scale * (2 + i / n + rng.normal() / 9), 2 + rng.normal(), 5.0 if name == "flat" else 5 + rng.normal()) for i in range(n)
+        ]
+    for i in (3, 4, 17):
+        given["gaps"][i] = (None, *given["gaps"][i][1:])
+    rows = [(c, dt.date(2020 + i // 12, i % 12 + 1, 1), *v) for c, vs in given.items() for i, v in enumerate(vs)]
+    kinds = "company string, date date, revenue double, inflation_rate double, interest_rate double"
+    found = forecast_revenue_with_regressors(spark.createDataFrame(rows, kinds), 12).orderBy("company", "date").collect()
+    for c, vs in given.items():
+        mine = [r for r in found if r.company == c]
+        assert [r.step for r in mine] == [0] * len(vs) + list(range(1, 13))
+        assert [r.revenue for r in mine] == [v[0] for v in vs] + [None] * 12
+        np.testing.assert_allclose([tuple(r)[4:] for r in mine], plain_regression(vs, 12), rtol=1e-5, atol=1e-7)
+
+
+def test_regression_of_odd_companies(spark):
+    kinds = "company string, date date, revenue double, inflation_rate double, interest_rate double, given double, x string"
+    first, later = dt.date(2020, 1, 1), dt.date(2020, 4, 1)
+    rows = [("one", first, 5.0, 1.0, 1.0, 9.0, "a"), ("none", first, None, 1.0, 1.0, 9.0, "a"), ("none", later, None, None, None, 9.0, "a"),
+            ("zero", first, 0.0, None, None, 9.0, "a"), ("zero", later, 0.0, None, None, 9.0, "a")]
+    df = forecast_revenue_with_regressors(spark.createDataFrame(rows, kinds), 3)
+    found = {c: [r for r in df.collect() if r.company == c] for c in ("one", "none", "zero")}
+    assert [len(x) for x in found.values()] == [4, 7, 7]  # months between are filled, three follow
+    assert all(r.revenue_forecast is None and r.revenue_seasonal is None for c in ("one", "none") for r in found[c])
+    assert all(abs(r.revenue_forecast) < 1e-9 for r in found["zero"])
+    assert forecast_revenue_with_regressors(spark.createDataFrame([], kinds), 3).count() == 0

@@ -4,8 +4,11 @@ import datetime as dt
 import re
 
 import pytest
+from helpers import full_history
+from pyspark.sql import functions as F
 
 from ledgerline.operators import forecast as fc, statements as st
+from ledgerline.operators.regression_forecast import forecast_revenue_with_regressors
 from ledgerline.params import IngestionWindow
 from ledgerline.plans import queries as reg
 from ledgerline.sources.financials import monthly_financials, order_totals
@@ -84,6 +87,13 @@ def test_history_and_forecast_read_the_lines_once(spark, sf_dir, name):
     assert len(re.findall(r"FileScan parquet .*l_orderkey", final)) == 1
 
 
+def test_the_regression_has_one_exchange_and_no_python_worker(spark):
+    months = full_history(spark, 30).withColumns({c: F.lit(1.0) for c in ("inflation_rate", "interest_rate")})
+    text = plan(forecast_revenue_with_regressors(months, 12))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "Python" not in text and "Pandas" not in text and "Arrow" not in text
+
+
 def test_registry_is_complete():
     assert len(reg.QUERIES) >= 110
-    assert [n for n, q in reg.QUERIES.items() if q.oracle() is None] == ["forecast_revenue_reg"]
+    assert [n for n, q in reg.QUERIES.items() if q.oracle() is None] == []
