@@ -8,6 +8,7 @@ fingerprint is the set of chunk digests, each weighted with the chunk's length i
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import documents
+from ledgerline.llm.common import discard, documents, save
 
 #: Bytes that the gear hash sees; no chunk is shorter, so a hash never spans two boundaries.
 WINDOW = 32
@@ -113,38 +114,60 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return picked.mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
-def in_ranges(docs: DataFrame, rows_per_range: int = 1000) -> DataFrame:
+def cut_points(keys: DataFrame, pieces: int) -> list[tuple[int, int]]:
+    """First key (``_down``, ``_tie``) of each of about ``pieces`` ranges of the keys, in order."""
+    dealt = keys.repartitionByRange(pieces, "_down", "_tie").groupBy(F.spark_partition_id())
+    found = dealt.agg(F.min("_down"), F.min_by("_tie", F.struct("_down", "_tie"))).collect()
+    return sorted({(r[1], r[2]) for r in found})
+
+
+def _place_of(cuts: list[tuple[int, int]]):
+    """Key columns -> struct of the ``range`` a key is in and whether the range begins with it."""
+
+    def run(down: pa.Array, tie: pa.Array) -> pa.Array:
+        keys = list(zip(down.to_pylist(), tie.to_pylist(), strict=True))
+        at = [bisect.bisect_right(cuts, k) - 1 for k in keys]
+        first = [cuts[r] == k for r, k in zip(at, keys, strict=True)]
+        return pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(first, pa.bool_())], names=["range", "first"])
+
+    return F.arrow_udf(run, "range int, first boolean")
+
+
+def in_ranges(docs: DataFrame, rows_per_range: int = 1000, bytes_per_range: int = 128 << 20) -> DataFrame:
     """Rows by descending ``doc_id`` in ranges, each followed by the first row after it.
 
-    Columns ``_range``, ``_guest``, doc_id, text; sorted within ``_range`` by descending id,
-    the guest (the next range's first row; after the last range the first of all) at the
-    end. Cut points come from approximate quantiles of the ids and the guests from one
-    aggregate per range, so only a number per range reaches the driver, and each text moves
-    once. Rows without an id come last of all; equal ids are ordered by text.
+    Columns ``_range``, ``_guest``, doc_id, text; sorted within ``_range`` by descending id, the
+    guest (the next range's first row; after the last range the first of all) at the end. Rows
+    without an id come last of all; equal ids, and rows without one, are in order of a hash of
+    their texts, so that they too are cut into ranges. Rows equal in id and text stay in one.
+
+    The keys of all rows are stored, 20 bytes each; Spark's range exchange cuts them. A range has
+    about ``bytes_per_range`` of text, less in a small table, so that all cores have some. The
+    driver holds one key per range. A text moves once, and one row per range a second time.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.col("text").cast("string"))
-    n = rows.count()
-    pieces = max(1, min(2000, n // rows_per_range))
-    cuts = sorted({int(x) for x in rows.approxQuantile("doc_id", [i / pieces for i in range(1, pieces)], 0.2 / pieces)}) if pieces > 1 else []
-    # Descending: range 0 has the largest ids.
-    steps = F.lit(0)
-    if cuts:
-        found = F.array(*[F.lit(c).cast("long") for c in cuts])
-        steps = F.size(F.filter(found, lambda c: c >= F.col("doc_id")))
-    rows = rows.withColumn("_range", steps)
-    tops = {r["_range"]: r["top"] for r in rows.groupBy("_range").agg(F.max("doc_id").alias("top")).collect()}
-    order = sorted(tops)
-    if not order:
-        return rows.select("_range", F.lit(False).alias("_guest"), "doc_id", "text")
-    before = {r: order[k - 1] for k, r in enumerate(order)}  # k - 1 of the first is the last: the wrap
-    hosts = F.create_map(*[F.lit(x) for r in order for x in (r, before[r])])
-    first = F.create_map(*[F.lit(x) for r in order for x in (r, tops[r])])
-    # The largest id of a range also goes, as a guest, to the range above.
-    places = F.array(F.struct(F.col("_range"), F.lit(False).alias("_guest")))
-    above = F.array(F.struct(F.element_at(hosts, F.col("_range")).alias("_range"), F.lit(True).alias("_guest")))
-    is_top = F.col("doc_id") == F.element_at(first, F.col("_range"))
-    dealt = rows.select(F.inline(F.when(is_top, F.concat(places, above)).otherwise(places)), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return dealt.repartition("_range").sortWithinPartitions("_range", "_guest", F.desc("doc_id"), "text")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    ).select(
+        F.bitwise_not(F.coalesce("doc_id", F.lit(-(2**63)))).alias("_down"), F.xxhash64("text").alias("_tie"), "doc_id", "text"
+    )
+    keys = save(rows.select("_down", "_tie", F.octet_length("text").alias("size")), "order")
+    n, size = keys.agg(F.count("*"), F.sum(F.col("size").cast("long"))).first()
+    if not n:
+        return rows.select(F.lit(0).alias("_range"), F.lit(False).alias("_guest"), "doc_id", "text")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    cuts = cut_points(keys, max(1, min(n // rows_per_range, 16 * cores), size // bytes_per_range))
+    discard(keys)
+    rows = rows.withColumn("_at", _place_of(cuts)("_down", "_tie"))
+    hosted = rows.select(F.col("_at.range").alias("_range"), F.lit(False).alias("_guest"), "_down", "_tie", "doc_id", "text")
+    above = F.pmod(F.col("_range") - 1, F.lit(len(cuts)))
+    guests = (
+        rows.where("_at.first")
+        .groupBy(F.col("_at.range").alias("_range"), "_down", "_tie")
+        .agg(F.min_by("doc_id", "text").alias("doc_id"), F.min("text").alias("text"))
+        .select(above.alias("_range"), F.lit(True).alias("_guest"), "_down", "_tie", "doc_id", "text")
+    )
+    dealt = hosted.unionByName(guests).repartition(len(cuts), "_range")
+    return dealt.sortWithinPartitions("_range", "_guest", "_down", "_tie", "text").select("_range", "_guest", "doc_id", "text")
 
 
 def edited(docs: DataFrame) -> DataFrame:
@@ -153,7 +176,7 @@ def edited(docs: DataFrame) -> DataFrame:
     The edited text has its last third replaced by as many leading code points of the next
     document (or all of it, if that is shorter) by descending id; after the last comes the
     first. A single document is its own next one. A null text is empty. Repeated ids are
-    separate documents, in order of their texts. An empty table gives an empty result.
+    separate documents, in order of a hash of their texts. An empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +197,7 @@ def edited(docs: DataFrame) -> DataFrame:
             if out:
                 yield _edited_rows(out)
 
-    made = in_ranges(docs).mapInArrow(run, EDITED)
-    return made.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(-(2**63)), F.col("doc_id")))
+    return in_ranges(docs).mapInArrow(run, EDITED)
 
 
 def _compare(row: tuple, prints: dict[int, int], next_text: str, next_prints: dict[int, int]) -> tuple:

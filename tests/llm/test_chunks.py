@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import cases
+import xxhash
 
 from ledgerline.llm import chunks
 
@@ -46,8 +47,13 @@ def test_containment_edges():
     assert chunks.containment(one, one) == 1
 
 
+def tie(text):
+    found = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return found - (found >> 63 << 64)
+
+
 def brute(rows):
-    order = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -(2**63)), r[1] or ""))
+    order = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -(2**63)), tie(r[1])))
     out = []
     for k, (doc_id, text, *_) in enumerate(order):
         text, after = text or "", order[(k + 1) % len(order)][1] or ""
@@ -73,6 +79,31 @@ def test_edited_over_many_ranges(spark):
     assert sorted(map(tuple, chunks.edited(cases.documents(spark, rows)).collect()), key=str) == brute(rows)
 
 
+def test_rows_without_id_and_of_one_id_are_cut_into_ranges(spark):
+    rng = random.Random(9)
+    ids = [None] * 3000 + [7] * 1500 + list(range(1500))
+    rows = [(i, " ".join(rng.choice(["red", "green", "blue", ""]) for _ in range(9)), "en", "s") for i in ids]
+    docs = cases.documents(spark, rows)
+    sizes = {(r["_range"], r["_guest"]): r["count"] for r in chunks.in_ranges(docs).groupBy("_range", "_guest").count().collect()}
+    own = [n for (_, guest), n in sizes.items() if not guest]
+    assert sum(own) == len(rows) and max(own) < 2 * 1000
+    assert [n for (_, guest), n in sizes.items() if guest] == [1] * len(own)
+    assert sorted(map(tuple, chunks.edited(docs).collect()), key=str) == brute(rows)
+
+
+def test_equal_rows_have_one_guest(spark):
+    rows = [(None, "", None, None)] * 2500 + [(i, f"text {i}", "en", "s") for i in range(2500)]
+    docs = cases.documents(spark, rows)
+    assert chunks.in_ranges(docs).where("_guest").groupBy("_range").count().where("count > 1").count() == 0
+    assert sorted(map(tuple, chunks.edited(docs).collect()), key=str) == brute(rows)
+
+
+def test_the_smallest_id_is_an_id(spark):
+    rows = [(-(2**63), "last of all", "en", "s"), (2**63 - 1, "first of all", "en", "s"), (None, "none", None, None)]
+    docs = cases.documents(spark, rows)
+    assert sorted((r.doc_id for r in chunks.edited(docs).collect()), key=str) == sorted((r[0] for r in rows), key=str)
+
+
 def test_single_and_no_document(spark):
     row = chunks.edited(cases.documents(spark, cases.TEXTS[:1])).collect()[0]
     assert row.near_next == 1.0
