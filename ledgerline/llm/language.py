@@ -1,10 +1,11 @@
 """Language identification with string kernels, Nystroem landmarks and kernel ridge regression.
 
 The kernel is the blended spectrum: two texts are as alike as the share of character n-grams
-(lengths 1 to 3, presence only) they have in common, |A & B| / sqrt(|A| |B|). N-grams are
-places of a table of ``PLACES`` bits. A bounded set of landmark texts spans the feature
-space; one ridge regression per language separates it from the rest. A batch of texts is
-scored by two matrix products: with the landmarks' n-grams, and with the weights.
+(lengths 1 to 3, presence only) they have in common, |A & B| / sqrt(|A| |B|). N-grams are exact
+64-bit keys, so neither a long text nor a large script makes different ones fall together. A
+bounded set of landmark texts spans the feature space; one ridge regression per language
+separates it from the rest. A batch of texts is scored by matrix products: with the landmarks'
+n-grams, in blocks of the landmarks' vocabulary, and with the weights.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import batches_of, crc_of_id, documents, mix64
+from ledgerline.llm.common import batches_of, crc_of_id, documents
 
-PLACES, LENGTHS = 1 << 14, (1, 2, 3)
+LENGTHS = (1, 2, 3)
+#: N-grams of the landmarks' vocabulary that one matrix product covers.
+BLOCK = 1 << 14
 #: Rows trained on, at most (about), and landmarks among them; both per learned language.
 TRAIN_ROWS, LANDMARKS = 1000, 32
 RIDGE = 1e-3
@@ -31,72 +34,100 @@ CODES = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c
 FOUND = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
-def presence(texts: list[str]) -> np.ndarray:
-    """(texts, PLACES) which n-grams a text has. Three blanks keep neighbours apart."""
-    gap = "   "
-    lower = [x.lower() for x in texts]
-    codes = np.frombuffer((gap + gap.join(lower) + gap).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(codes < 128, CODES[np.minimum(codes, 127)], codes).astype(np.uint64)
-    sizes = np.array([len(x) for x in lower], dtype=np.int64)
-    owner = np.repeat(np.arange(len(lower)), sizes + len(gap))  # a text and the gap after it
-    out = np.zeros((len(lower), PLACES), bool)
-    flat = out.reshape(-1)
-    body = codes[len(gap) :]
+def ngrams(text: str) -> np.ndarray:
+    """Sorted keys of the different n-grams of a text with three blanks on either side."""
+    codes = np.frombuffer(f"   {text.lower()}   ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = np.where(codes < 128, CODES[np.minimum(codes, 127)], codes).astype(np.int64)
+    found = []
     for n in LENGTHS:
-        gram = np.full(len(body), n, np.uint64)
-        for k in range(n - 1, -1, -1):  # the n-gram that ends at each place
-            gram = gram * np.uint64(0x110000) + codes[len(gap) - k : len(codes) - k]
-        place = (mix64(gram) >> np.uint64(50)).astype(np.int64)
-        flat[owner * PLACES + place] = True
-    return out
-
-
-def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in batches_of(batch, 1 << 20):
-            bits = np.packbits(presence([x or "" for x in part.column(0).to_pylist()]), axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(1), pa.array([b.tobytes() for b in bits], pa.binary())], names=["lang", "bits"]
-            )
+        # The n-gram that ends at each place, as a number to the base 0x110000 that begins with n.
+        gram = np.full(len(codes) - 3, n, np.int64)
+        for k in range(n - 1, -1, -1):
+            gram = gram * 0x110000 + codes[3 - k : len(codes) - k]
+        found.append(np.unique(gram))
+    return np.concatenate(found)
+
+
+class Landmarks:
+    """The n-grams of the landmark texts: their vocabulary, and who has which, a bit for each."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in texts])
+        self.vocabulary = np.unique(np.concatenate(texts))
+        has = np.zeros((len(self.vocabulary), (len(texts) + 7) // 8), np.uint8)
+        for k, x in enumerate(texts):
+            has[np.searchsorted(self.vocabulary, x), k // 8] |= 128 >> k % 8
+        self.has = has
+
+    def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
+        """(texts, landmarks): blended spectrum presence kernel of texts given by their n-grams."""
+        shared = np.zeros((len(texts), len(self.sizes)))
+        owner = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
+        keys = np.concatenate(texts)
+        at = np.minimum(np.searchsorted(self.vocabulary, keys), len(self.vocabulary) - 1)
+        known = self.vocabulary[at] == keys
+        at, owner = at[known], owner[known]
+        for start in range(0, len(self.vocabulary), BLOCK):
+            has = np.unpackbits(self.has[start : start + BLOCK], axis=1, count=len(self.sizes)).astype(np.float32)
+            inside = (at >= start) & (at < start + len(has))
+            present = np.zeros((len(texts), len(has)), np.float32)
+            present[owner[inside], at[inside] - start] = 1
+            shared += present @ has
+        return shared / np.sqrt(np.outer([len(x) for x in texts], self.sizes))
 
 
 class Model:
-    def __init__(self, languages: list[str], landmarks: np.ndarray, weights: np.ndarray):
-        #: landmarks: (n, PLACES) n-grams as float32; weights: (n, languages) over the kernel with them
+    def __init__(self, languages: list[str], landmarks: Landmarks, weights: np.ndarray):
+        #: weights: (landmarks, languages) over the kernel with the landmarks
         self.languages, self.landmarks, self.weights = languages, landmarks, weights
 
+    def margins(self, texts: list[str]) -> np.ndarray:
+        """(texts, languages): 1 is aimed at for the language, -1 for the rest."""
+        return self.landmarks.kernel([ngrams(x) for x in texts]) @ self.weights
 
-def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Blended spectrum presence kernel between rows of two 0/1 float matrices."""
-    sizes = np.sqrt(np.outer(np.maximum(a.sum(axis=1), 1), np.maximum(b.sum(axis=1), 1)))
-    return (a @ b.T).astype(np.float64) / sizes
 
-
-def fit(bits: np.ndarray, languages: list[str], landmarks: int, ridge: float = RIDGE) -> Model:
-    """One-versus-rest ridge regression on Nystroem features of the first rows of each language.
+def fit(kernels: np.ndarray, languages: list[str], marks: list[np.ndarray], ridge: float = RIDGE) -> Model:
+    """One-versus-rest ridge regression on Nystroem features.
 
     With K the kernel, L the landmarks and U = K(L, L) ** -1/2, texts have the features
     K(., L) U; the regression weights W on them fold into U W, applied to K(., L) itself.
+    ``kernels`` is K(texts, L), ``languages`` those of the texts, ``marks`` the n-grams of L.
     """
     names = sorted(set(languages))
     of = np.array([names.index(x) for x in languages])
-    picked = np.concatenate([np.flatnonzero(of == k)[:landmarks] for k in range(len(names))])
-    marks = bits[picked].astype(np.float32)
-    values, vectors = np.linalg.eigh(kernel(marks, marks))
+    landmarks = Landmarks(marks)
+    values, vectors = np.linalg.eigh(landmarks.kernel(marks))
     keep = values > 1e-8 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    x = np.concatenate([kernel(bits[k : k + 512].astype(np.float32), marks) for k in range(0, len(bits), 512)]) @ root
+    x = kernels @ root
     y = np.where(of[:, None] == np.arange(len(names)), 1.0, -1.0)
     weight = 1 / np.bincount(of)[of]  # each language counts alike
     left = (x * weight[:, None]).T @ x + ridge * np.eye(x.shape[1])
-    return Model(names, marks, root @ np.linalg.solve(left, (x * weight[:, None]).T @ y))
+    return Model(names, landmarks, root @ np.linalg.solve(left, (x * weight[:, None]).T @ y))
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [ngrams(x).tobytes() for x in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(keys, pa.binary())], names=["lang", "place", "keys"])
+
+
+def _kernels(landmarks: Landmarks):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batches_of(batch, 1 << 20):
+                rows = landmarks.kernel([ngrams(x) for x in part.column(0).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "kernel"])
+
+    return run
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS) -> Model | None:
     """Learns from (doc_id, text, lang); rows without language or letters are left out.
 
-    About ``rows`` texts per language are used, chosen by a hash of the id. Returns None
-    without any.
+    About ``rows`` texts per language are used, chosen by a hash of the id; the first
+    ``landmarks`` of them by a hash of the text are landmarks. The landmarks' n-grams and a row of
+    the kernel for each text used come to the driver. Returns None without any.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
@@ -105,11 +136,15 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS) -
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, rows / n))])
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000
     sample = usable.where(drawn).where(F.col("text").rlike(r"\p{L}")).select("text", "lang")
-    found = sample.mapInArrow(_present, "lang string, bits binary").orderBy("lang", F.xxhash64("bits"), "bits").collect()
-    if not found:
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
+    picked = sample.withColumn("place", place).where(F.col("place") <= landmarks)
+    marks = picked.mapInArrow(_keys, "lang string, place int, keys binary").collect()
+    if not marks:
         return None
-    bits = np.unpackbits(np.stack([np.frombuffer(r["bits"], np.uint8) for r in found]), axis=1)
-    return fit(bits, [r["lang"] for r in found], landmarks)
+    keys = [np.frombuffer(r["keys"], np.int64) for r in sorted(marks, key=lambda r: (r["lang"], r["place"]))]
+    found = sample.mapInArrow(_kernels(Landmarks(keys)), "lang string, kernel binary").collect()
+    found = sorted((r["lang"], bytes(r["kernel"])) for r in found)
+    return fit(np.stack([np.frombuffer(k) for _, k in found]), [lang for lang, _ in found], keys)
 
 
 def predictor(model: Model | None):
@@ -127,9 +162,8 @@ def predictor(model: Model | None):
                     own.append(todo[at])
                     size += len(values[todo[at]])
                     at += 1
-                margins = kernel(presence([values[k] for k in own]).astype(np.float32), model.landmarks) @ model.weights
+                margins = model.margins([values[k] for k in own])
                 best = margins.argmax(axis=1)
-                # margins aim at 1 for the language and -1 for the rest
                 scores[own] = np.clip((margins[np.arange(len(own)), best] + 1) / 2, 0, 1)
                 for k, b in zip(own, best.tolist(), strict=True):
                     languages[k] = model.languages[b]

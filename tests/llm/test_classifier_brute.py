@@ -72,7 +72,8 @@ def test_language_equals_ridge_regression_on_exact_sets():
     names = sorted(vocabulary)
     texts = [(" ".join(rng.choice(vocabulary[n]) for _ in range(rng.randint(1, 12))), n) for n in names * 30]
     train, test = texts[:60], texts[60:]
-    model = language.fit(language.presence([t for t, _ in train]), [n for _, n in train], landmarks=8)
+    keys = [language.ngrams(t) for n in names for t in [t for t, m in train if m == n][:8]]
+    model = language.fit(language.Landmarks(keys).kernel([language.ngrams(t) for t, _ in train]), [n for _, n in train], keys)
 
     def k(a, b):
         return len(a & b) / math.sqrt(len(a) * len(b))
@@ -87,8 +88,8 @@ def test_language_equals_ridge_regression_on_exact_sets():
     weight = 1 / 20
     w = np.linalg.solve(weight * x.T @ x + language.RIDGE * np.eye(x.shape[1]), weight * x.T @ y)
     plain = np.array([[k(grams(t), b) for b in marks] for t, _ in test]) @ root @ w
-    found = language.kernel(language.presence([t for t, _ in test]).astype(np.float32), model.landmarks) @ model.weights
-    assert np.abs(found - plain).max() < 0.1
+    found = model.margins([t for t, _ in test])
+    assert np.abs(found - plain).max() < 1e-6
     clear = np.sort(plain, axis=1)[:, -1] - np.sort(plain, axis=1)[:, -2] > 0.2
     assert clear.mean() > 0.8 and (found.argmax(axis=1) == plain.argmax(axis=1))[clear].all()
 

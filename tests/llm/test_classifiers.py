@@ -1,3 +1,4 @@
+import math
 import random
 
 import cases
@@ -78,10 +79,21 @@ def test_language_kernel_is_the_blended_spectrum():
         padded = f" {text} "
         return {padded[i : i + n] for n in language.LENGTHS for i in range(len(padded) - n + 1)}
 
-    a, b = language.presence(["stone", "stony"]).astype(np.float32)
-    shared = len(grams("stone") & grams("stony"))
-    assert abs(float(a @ b) - shared) <= 4  # gaps of neighbours add n-grams of blanks
-    assert language.kernel(a[None], a[None])[0, 0] == pytest.approx(1)
+    a, b = language.ngrams("stone"), language.ngrams("stony")
+    shared = len(grams("  stone  ") & grams("  stony  "))
+    assert len(np.intersect1d(a, b)) == shared
+    assert language.Landmarks([b]).kernel([a, b]).ravel() == pytest.approx([shared / math.sqrt(len(a) * len(b)), 1])
+
+
+def test_language_of_long_texts_of_a_large_script(spark):
+    rng = random.Random(11)
+    scripts = {"zh": (0x4E00, 0x9FFF), "ko": (0xAC00, 0xD7A3), "yi": (0xA000, 0xA48C)}
+    rows = [(i, "".join(chr(rng.randint(*scripts[n])) for _ in range(400)), n, "s") for i in range(90) for n in [list(scripts)[i % 3]]]
+    model = language.train(cases.documents(spark, rows))
+    long = [(100 + k, "".join(chr(rng.randint(*scripts[n])) for _ in range(200_000)), n, "s") for k, n in enumerate(scripts)]
+    found = cases.documents(spark, long).select("lang", language.predictor(model)("text").alias("f")).collect()
+    assert [r.f.lang_pred for r in found] == [r.lang for r in found]
+    assert len(language.ngrams(long[0][1])) > 300_000  # far more than a table of 2 ** 14 places holds
 
 
 def test_language_without_rows(spark):
