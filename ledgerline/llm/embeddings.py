@@ -68,6 +68,10 @@ def codes(x: np.ndarray, tables: int, k: int) -> np.ndarray:
     return np.stack(out, axis=1).view(np.int64)
 
 
+#: The trial below is on vectors in general position; ones with few components tie in a table.
+LEAST_TABLES = 3
+
+
 @cache
 def shared(dim: int, near: float) -> float:
     """Chance that two vectors right at the threshold share a vertex of one hash, by trial."""
@@ -85,7 +89,7 @@ def plan(n: int, dim: int, near: float = NEAR) -> tuple[int, int]:
     k = 1
     while n * PROBES**k / (2 * max(dim, 2)) ** k > AIM and k < 8:
         k += 1
-    return max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - shared(dim, near) ** k))), k
+    return max(LEAST_TABLES, math.ceil(math.log(1 - RECALL) / math.log(1 - shared(dim, near) ** k))), k
 
 
 def _hashed(tables: int, k: int):
@@ -156,7 +160,8 @@ def near_vectors(vectors: DataFrame, near: float = NEAR) -> DataFrame:
     Equal vectors form a class without comparison, and a class enters the search once.
     Vectors that are null, zero or hold null or non-finite components link with nothing, nor
     do vectors of different lengths. A row without id links like any other, but names no
-    component. Repeated rows are separate copies.
+    component: one of such rows alone has none. Rows of one id with different vectors are
+    separate, too, and link like any others. Repeated rows are separate copies.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"))
     finite = F.forall("vector", lambda v: v.isNotNull() & (F.abs(v) < F.lit(float("inf"))) & ~F.isnan(v))
@@ -167,11 +172,12 @@ def near_vectors(vectors: DataFrame, near: float = NEAR) -> DataFrame:
     classes = keyed.where("vector IS NOT NULL").groupBy("h", "g").agg(
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("m"), F.min("vector").alias("vector")
     )
-    classes = save(classes, "classes")
-    n, dim = classes.agg(F.count("id"), F.max(F.size("vector"))).first()
+    # A number for each class, fixed when it is stored: ids may be missing or stand at several vectors.
+    classes = save(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    n, dim = classes.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     tables, k = plan(n, dim or 1, near)
     hashed = save(
-        classes.where("id IS NOT NULL").select("id", "m", "vector", _hashed(tables, k)("vector").alias("codes")), "hashed"
+        classes.select(F.col("node").alias("id"), "m", "vector", _hashed(tables, k)("vector").alias("codes")), "hashed"
     )
     probes = PROBES**k
     in_buckets = hashed.select(
@@ -198,13 +204,14 @@ def near_vectors(vectors: DataFrame, near: float = NEAR) -> DataFrame:
         .select(*key, "first", "second", "part", "id", "m", "vector", "codes")
     )
     found = save(dealt.groupBy(*key, "first", "second").applyInArrow(_verified(tables, k, near), FOUND), "links")
-    links = found.groupBy("id").agg(F.sum("n").alias("n"))
-    joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    named = (
-        classes.join(links, "id", "left")
-        .join(joined, "id", "left")
-        .select("h", "g", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    links = found.groupBy("id").agg(F.sum("n").alias("n")).withColumnRenamed("id", "node")
+    joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).select(
+        F.col("id").alias("node"), F.col("component_id").alias("root")
     )
+    members = classes.select("node", "h", "g", "id", "m").join(joined, "node", "left").join(links, "node", "left")
+    members = members.withColumn("root", F.coalesce("root", "node"))
+    smallest = members.groupBy("root").agg(F.min("id").alias("component_id"))
+    named = members.join(smallest, "root").select("h", "g", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id")
     linked = keyed.where("vector IS NOT NULL").select("vec_id", "h", "g").join(named, ["h", "g"]).drop("h", "g")
     alone = rows.where("vector IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -61,3 +61,33 @@ def test_odd_vectors(spark):
 def test_repeated_rows(spark):
     rows = embeddings.near_vectors(frame(spark, [1, 1, 2], [[1.0, 2.0]] * 3)).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in rows) == [(1, 2, 1), (1, 2, 1), (2, 2, 1)]
+
+
+def test_rows_without_id_and_of_one_id_link(spark):
+    ids = [None, 1, 5, 5, 9, None, None]
+    vectors = [[1.0, 0.1, 0, 0], [1.0, 0, 0, 0], [0, 1.0, 0, 0], [0, 0, 1.0, 0], [0, 0, 1.0, 0.1], [0, 0, 0, 1.0], [0, 0.1, 0, 1.0]]
+    turned = np.array(vectors) @ np.linalg.qr(np.random.default_rng(2).normal(size=(4, 4)))[0]
+    rows = embeddings.near_vectors(frame(spark, ids, turned, "double")).collect()
+    found = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in rows), key=str)
+    assert found == sorted(
+        [(None, 1, 1, False), (1, 1, 1, True), (5, 0, 5, True), (5, 1, 5, True), (9, 1, 5, False), (None, 1, None, False), (None, 1, None, False)],
+        key=str,
+    )
+
+
+def test_same_id_on_two_alike_vectors(spark):
+    rows = embeddings.near_vectors(frame(spark, [3, 3], [[1.0, 0.1], [1.0, 0.0]])).collect()
+    assert [(r.vec_id, r.n_links, r.component_id) for r in rows] == [(3, 1, 3)] * 2
+
+
+def test_two_hashes_a_table(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "AIM", 8)  # as if the table were large
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(400, 32))
+    x = np.concatenate([base, base[:300] + rng.normal(size=(300, 32)) * 0.25]).astype(np.float32)
+    assert embeddings.plan(len(x), 32)[1] >= 2
+    ids = np.arange(len(x))
+    degree, _ = brute(ids, x.astype(float))
+    found = {r.vec_id: r.n_links for r in embeddings.near_vectors(frame(spark, ids, x)).collect()}
+    found = np.array([found[i] for i in ids.tolist()])
+    assert (found <= degree).all() and found.sum() >= 0.95 * degree.sum() and degree.sum() > 400
