@@ -24,8 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import FOLD, discard, documents, give_back, mix64, save, tidy, word_hashes
+from ledgerline.llm.collocations import _sent
+from ledgerline.llm.common import FOLD, WHILE_SAVED, batches_of, discard, documents, give_back, mix64, save, settings, tidy, word_hashes
 from ledgerline.llm.graph import components, spanning
+from ledgerline.llm.ngrams import BLOB, SHARD_CHARS, Folder, _ranges, shard_of, summed, unpacked
+from ledgerline.sources.layers import scratch_path
 
 SEED, WORDS, BITS, LIMIT = 42, 3, 64, 3
 #: Members of a group that one task compares; larger groups are dealt out again.
@@ -317,50 +320,76 @@ def _likeness(sets: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         yield pa.array([likeness(*[np.frombuffer(x.as_py(), np.uint64) for x in p]) for p in pairs], pa.float64())
 
 
-#: Characters of the texts in which common shingles are counted, and how often one is seen there to
-#: count as common; members of a common shingle that one task compares with as many others.
-SAMPLE, COMMON, BLOCK = 24_000_000, 3, 2048
-#: Bytes of a parity map, and the fields of a prefix row as they are stored.
+#: Share of the texts in which common shingles are counted, characters that are counted at least, and
+#: how often one is seen there to count as common; members of a common shingle that one task compares
+#: with as many others.
+SHARE, SAMPLE, COMMON, BLOCK = 0.25, 24_000_000, 3, 2048
+#: Bytes of a parity map, bands of four bins of a sketch (its seed, and the key of an empty one), and
+#: the fields of a prefix row as they are stored.
 PARITY = 64
+BANDS, BAND_SEED, NO_BAND = 16, 3, -1
 PREFIX = (("key", "<u8"), ("id", "<i8"), ("part", "<i8"), ("size", "<i4"), ("place", "<i4"), ("side", "<i1"))
 
 
 class Rarity:
-    """Order of shingles: those not seen often in the sample by hash, then the others by count."""
+    """Order of shingles: those not seen often in the sample by hash, then the others by count.
 
-    def __init__(self, shingles: np.ndarray, counts: np.ndarray, share: float):
-        order = np.argsort(shingles)
-        self.shingles, self.counts, self.share = shingles[order], counts[order], share
+    The counts lie in a shared folder by ranges of the hash, mapped on first use.
+    """
 
-    def of(self, shingles: np.ndarray) -> np.ndarray:
-        if not len(self.shingles):
-            return np.zeros(len(shingles), np.int64)
-        at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
-        return np.where(self.shingles[at] == shingles, self.counts[at], 0)
+    def __init__(self, folder: Folder, shards: int, share: float):
+        self.folder, self.shards, self.share = folder, shards, share
+        self.mapped: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def prefix(self, shingles: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        """Counts of sorted shingles."""
+        out = np.zeros(len(shingles), np.int64)
+        for shard, r in _ranges(shard_of(shingles, self.shards)):
+            if shard not in self.mapped:
+                try:
+                    known = self.folder.get(f"common.{shard}")
+                except FileNotFoundError:  # nothing was dealt there
+                    known = np.zeros((2, 0), np.int64)
+                self.mapped[shard] = known[0].view(np.uint64), known[1]
+            known, counts = self.mapped[shard]
+            if len(known):
+                at = np.minimum(np.searchsorted(known, shingles[r]), len(known) - 1)
+                out[r] = np.where(known[at] == shingles[r], counts[at], 0)
+        return out
+
+    def prefix(self, shingles: np.ndarray, count: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
         """The rarest shingles, as many as one of them must be shared with any set alike by
         ``similarity`` (in whichever order, if it is the same for all sets), and the parts that
         each one's members are dealt to."""
-        count = self.of(shingles)
         n = len(shingles)
         first = np.lexsort((shingles, count))[: n - math.ceil(similarity * n - 1e-6) + 1]
         return shingles[first], np.ceil(count[first] / self.share / BLOCK).astype(np.int64).clip(1)
 
 
 def _rarity(texts: DataFrame, words: int, chars: int) -> Rarity:
-    """Counts the shingles of a sample of (text, h) with about ``SAMPLE`` characters."""
-    share = min(1.0, SAMPLE / max(1, chars))
+    """Counts the shingles of a sample of (text, h): ``SHARE`` of the texts, so that a shingle which
+    the sample does not show has no more members in a larger table."""
+    spark = texts.sparkSession
+    share = max(SHARE, min(1.0, SAMPLE / max(1, chars)))
+    shards = max(1, math.ceil(share * chars / SHARD_CHARS))
+    folder = Folder(scratch_path(spark, "rarity"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(x.as_py(), words).view(np.int64))], names=["s"])
+        return _sent((shingle_set(x.as_py(), words) for batch in batches for x in batch.column(0)), shards)
+
+    def kept(key: tuple, group: pa.Table) -> pa.Table:
+        blobs = zip(group.column("blob"), group.column("n").to_pylist(), strict=True)
+        parts = [unpacked(b.as_py(), n, np.uint64, np.uint32) for b, n in blobs]
+        keys, counts = summed(*(np.concatenate([p[k] for p in parts]).astype(t) for k, t in enumerate((np.uint64, np.int64))))
+        often = counts >= COMMON
+        folder.put(f"common.{key[0].as_py()}", np.stack([keys[often].view(np.int64), counts[often]]))
+        give_back()
+        return pa.table({"kept": [int(often.sum())]})
 
     drawn = texts.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < share * 1_000_000).select("text")
-    counts = drawn.mapInArrow(tidy(run), "s long").groupBy("s").agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") >= COMMON)
-    found = counts.toArrow()
-    return Rarity(found.column("s").to_numpy().view(np.uint64), found.column("n").to_numpy().astype(np.int64), share)
+    with settings(spark, WHILE_SAVED):
+        drawn.mapInArrow(tidy(run), BLOB).groupBy("shard").applyInArrow(kept, "kept long").agg(F.sum("kept")).first()
+    return Rarity(folder, shards, share)
 
 
 def _prefixes(rarity: Rarity, words: int, similarity: float, buckets: int):
@@ -377,12 +406,14 @@ def _prefixes(rarity: Rarity, words: int, similarity: float, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
-        for batch in batches:
-            for text, id_, part in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                shingles = shingle_set(text.as_py(), words)
+        for batch in (part for batch in batches for part in batches_of(batch)):
+            sets = [shingle_set(text.as_py(), words) for text in batch.column(0)]
+            distinct, at = np.unique(np.concatenate(sets), return_inverse=True)
+            counts = np.split(rarity.of(distinct)[at], np.cumsum([len(x) for x in sets])[:-1])
+            for shingles, count, id_, part in zip(sets, counts, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if not len(shingles):
                     continue
-                keys, parts = rarity.prefix(shingles, similarity)
+                keys, parts = rarity.prefix(shingles, count, similarity)
                 place = np.arange(1, len(keys) + 1)
                 side = np.zeros(len(keys), np.int64)
                 if parts.max() > 1:  # a row for each pair of parts that its own part is in
@@ -449,17 +480,23 @@ def _met(similarity: float):
     return pairs
 
 
-def _parities(words: int):
+def _marks(words: int):
+    """Text -> the parity map of its shingles, and the bands of a sketch of them."""
+
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in texts:
-            out = []
+            parity, bands = [], []
             for x in part:
                 s = shingle_set(x.as_py(), words)
                 bits = np.bincount((mix64(s) >> np.uint64(55)).astype(np.int64), minlength=PARITY * 8) & 1
-                out.append(len(s).to_bytes(8, "little") + np.packbits(bits.astype(bool)).tobytes())
-            yield pa.array(out, pa.binary())
+                parity.append(len(s).to_bytes(8, "little") + np.packbits(bits.astype(bool)).tobytes())
+                bands.append(np.frombuffer(sketch(s, BAND_SEED), np.int64)[:BANDS])
+            flat = pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64))
+            ends = np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)
+            columns = [pa.array(parity, pa.binary()), pa.ListArray.from_arrays(ends, flat)]
+            yield pa.StructArray.from_arrays(columns, names=["parity", "bands"])
 
-    return F.arrow_udf(tidy(run), T.BinaryType())
+    return F.arrow_udf(tidy(run), "struct<parity:binary,bands:array<long>>")
 
 
 def _possible(similarity: float):
@@ -473,6 +510,25 @@ def _possible(similarity: float):
     return F.arrow_udf(run, T.BooleanType())
 
 
+def _near(pairs: DataFrame, marks: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) that the parity maps (id, parity) leave possible, once each."""
+    return (
+        pairs.join(marks.select(F.col("id").alias("a"), F.col("parity").alias("pa")), "a")
+        .join(marks.select(F.col("id").alias("b"), F.col("parity").alias("pb")), "b")
+        .where(_possible(similarity)("pa", "pb"))
+        .select("a", "b")
+        .distinct()
+    )
+
+
+def _band_links(texts: DataFrame) -> DataFrame:
+    """(id, mark) -> pairs (a, b): of the texts with the same four bins of a sketch, each with the
+    smallest id. Texts alike by 0.8 share one of the bands but for 2 pairs in 10 000."""
+    banded = texts.select("id", F.posexplode("mark.bands").alias("band", "key")).where(F.col("key") != NO_BAND)
+    hubs = banded.groupBy("band", "key").agg(F.min("id").alias("b"), F.max("id").alias("_last")).where("b <> _last")
+    return banded.join(hubs.drop("_last"), ["band", "key"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) with whole sets (id, s) alike by ``similarity`` or more."""
     alike = F.arrow_udf(tidy(_likeness), T.DoubleType())("sa", "sb")
@@ -492,29 +548,20 @@ def _texts_of(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def alike_links(rows: DataFrame, keys: DataFrame, chars: int, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, h, g, text) -> all links (a, b) between texts of ``keys`` (id, h, g, part) alike by
-    ``similarity`` or more that are not in one part yet. Exact.
+    """(id, h, g, text) -> all links (a, b) between texts of ``keys`` (id, h, g, part, parity) alike
+    by ``similarity`` or more that are not in one part yet. Exact.
 
     Two such texts share one of their rarest shingles (a prefix of each in one order of all
     shingles). Texts that share one and are of different parts are compared by length,
     place of the shingle, parity maps and at last whole sets. Shingles that a sample shows in
     many texts come last in the order, and their members are dealt to pairs of parts.
     """
-    whole = _texts_of(rows, keys)
-    parity = _parities(words)("text").alias("p")
-    whole = save(whole.select("id", "h", "part", "text", parity), "whole_texts")
+    whole = save(_texts_of(rows, keys).select("id", "h", "part", "text", "parity"), "whole_texts")
     rarity = _rarity(whole.select("text", "h"), words, chars)
     buckets = max(1, chars // 2_000_000)
     dealt = whole.select("text", "id", "part").mapInArrow(tidy(_prefixes(rarity, words, similarity, buckets)), "bucket long, rows binary")
     met = save(dealt.groupBy("bucket").applyInArrow(_met(similarity), "a long, b long").distinct(), "met")
-    near = (
-        met.join(whole.select(F.col("id").alias("a"), F.col("p").alias("pa")), "a")
-        .join(whole.select(F.col("id").alias("b"), F.col("p").alias("pb")), "b")
-        .where(_possible(similarity)("pa", "pb"))
-        .select("a", "b")
-        .distinct()
-    )
-    near = save(near, "near")
+    near = save(_near(met, whole, similarity), "near")
     ends = save(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
     sets = save(whole.join(ends, "id", "left_semi").select("id", _shingle_sets(words)("text").alias("s")), "near_shingles")
     discard(whole, met, ends)
@@ -529,9 +576,11 @@ def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: fl
     Documents are near-duplicates if their ``words``-word shingles are alike by
     ``similarity`` or more. The Gray-order index on fingerprints of their words, ``limit``
     bits apart or less, joins most of them first: of its candidates the ones most alike by a
-    sketch, and one per equal fingerprint, are verified on the whole sets. Then every pair
-    that this has left in different components is found by ``alike_links``, which misses
-    none. Of each component the rows with its smallest id stay, and of repeated
+    sketch, and one per equal fingerprint, are verified on the whole sets. So is one per text
+    and band of a sketch, which joins what is alike but has fingerprints far apart, as short
+    texts do: a large group of near copies is one component before its pairs are listed. Then
+    every pair that this has left in different components is found by ``alike_links``, which
+    misses none. Of each component the rows with its smallest id stay, and of repeated
     rows one; texts with the same id are one document. Rows without id are looked at by
     their text only: one stays if no row with an id has it.
     """
@@ -539,13 +588,15 @@ def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: fl
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     hashes = F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("g")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).select("id", "text", *hashes)
-    prints = save(rows.select("id", "h", "g", F.length("text").alias("chars"), word_fingerprint("text").alias("fp")), "fingerprints")
-    classes = prints.groupBy("h", "g", "fp").agg(F.min("id").alias("id"), F.min("chars").alias("chars"))
+    marked = word_fingerprint("text").alias("fp"), _marks(words)("text").alias("mark")
+    prints = save(rows.select("id", "h", "g", F.length("text").alias("chars"), *marked), "fingerprints")
+    classes = prints.groupBy("h", "g", "fp").agg(F.min("id").alias("id"), F.min("chars").alias("chars"), F.first("mark").alias("mark"))
     texts = save(classes.where("id IS NOT NULL"), "distinct_texts")
     leaders_table = leaders = save(texts.groupBy("fp").agg(F.min("id").alias("leader")), "distinct_fingerprints")
     same = texts.join(leaders, "fp").where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))
     leaders = leaders.select("fp", F.col("leader").alias("id"))
-    ends = near_links(leaders, limit).unionByName(same)
+    banded = save(_near(_band_links(texts), texts.select("id", "mark.parity"), similarity), "banded")
+    ends = functools.reduce(DataFrame.unionByName, [near_links(leaders, limit), same, banded])
     wanted = save(ends.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
     # A text is that of its class's smallest id; its hashes tell it from the id's other texts.
     keys = texts.select("id", "h", "g")
@@ -555,12 +606,13 @@ def deduplicated(docs: DataFrame, limit: int = 7, words: int = 5, similarity: fl
     leaders = leaders.join(wanted, "id", "left_semi")
     estimates = [sets.select("id", _sketches(seed)("s").alias("sketch")) for seed in (1, 2)]
     near = [near_links(leaders, limit, e, similarity - MARGIN) for e in estimates]
-    pairs = save(functools.reduce(DataFrame.unionByName, [*near, same]).where("a <> b").distinct(), "candidates")
+    pairs = save(functools.reduce(DataFrame.unionByName, [*near, same, banded]).where("a <> b").distinct(), "candidates")
     links = save(_alike(pairs, sets, similarity), "links")
     known = save(components(links), "joined")
-    discard(sets, pairs, leaders_table, wanted)
+    discard(sets, pairs, leaders_table, wanted, banded)
     chars = texts.agg(F.sum("chars")).first()[0] or 0
-    parts = keys.join(known, "id", "left").select(*keys.columns, F.coalesce("component_id", "id").alias("part"))
+    marks = texts.select(*keys.columns, "mark.parity")
+    parts = marks.join(known, "id", "left").select(*marks.columns, F.coalesce("component_id", "id").alias("part"))
     found = components(links.unionByName(alike_links(rows, parts, chars, words, similarity)))
     dropped = found.where("id <> component_id").select(F.col("id").alias("_id"))
     stay = texts.select(F.col("id").alias("_id")).distinct().join(dropped, "_id", "left_anti")

@@ -193,3 +193,40 @@ def test_links_that_a_forest_leaves_out_are_tried(spark, monkeypatch):
     worst = lambda sketches, i, j: 1.0 - 0.001 * np.minimum(i, j) / len(sketches)
     monkeypatch.setattr(simhash, "estimated", worst)
     assert {r.doc_id for r in simhash.deduplicated(cases.documents(spark, rows)).collect()} == brute(rows)
+
+
+def pairs_met(spark, monkeypatch, rows):
+    """How many pairs of different components the exact join lists, and the ids that stay."""
+    met, save = [], simhash.save
+
+    def counting(df, name):
+        found = save(df, name)
+        met.extend([found.count()] if name == "met" else [])
+        return found
+
+    monkeypatch.setattr(simhash, "save", counting)
+    kept = {r.doc_id for r in simhash.deduplicated(cases.documents(spark, rows)).collect()}
+    return met[0], kept
+
+
+def test_near_copies_with_fingerprints_far_apart_are_joined_before_their_pairs_are_listed(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "word_fingerprint", lambda text: F.xxhash64(text))
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(n, " ".join("edit%d" % n if k == place else w for k, w in enumerate(base)), "en", "s") for n in range(80) for place in [rng.randrange(100)]]
+    met, kept = pairs_met(spark, monkeypatch, rows)
+    assert kept == brute(rows) == {0}
+    assert met <= 80
+
+
+def test_what_is_not_alike_meets_seldom_in_a_table_larger_than_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SAMPLE", 1)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for n in range(160):
+        places = set(rng.sample(range(2, 98, 8), 5))
+        rows.append((n, " ".join(f"edit{n}" if k in places else w for k, w in enumerate(base)), "en", "s"))
+    met, kept = pairs_met(spark, monkeypatch, rows)
+    assert kept == brute(rows)
+    assert met <= 2 * 160
