@@ -10,13 +10,15 @@ Passes over the texts:
    What has been taken off is the summary's error. The capacity is a multiple of the
    partition's mass divided by the threshold, so the error stays below the threshold and every
    frequent n-gram survives.
-3. The survivors (no others) are counted exactly, as phrases.
+3. The survivors (no others) are counted exactly, as phrases. A task adds up what it finds in
+   all its batches, so that it returns a phrase once, not once per batch.
 
 Scores, cuts and the containment rule are joins and aggregates over the frequent phrases.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +34,9 @@ from ledgerline.sources.layers import scratch_path
 #: Words of the longest phrase, least count of a phrase, rows per language.
 LONGEST, THRESHOLD, TOP = 5, 100, 2000
 #: Bytes of texts that are looked at together, hashes that are gathered before they are sent,
-#: bytes of text per partition, and how many times mass / threshold a summary's capacity is: its
-#: error is below threshold / SLACK.
-TEXTS, GATHER, PARTITION, SLACK = 2 << 20, 4_000_000, 12_000_000, 4
+#: phrases that a task holds before it returns their counts, bytes of text per partition, and how
+#: many times mass / threshold a summary's capacity is: its error is below threshold / SLACK.
+TEXTS, GATHER, HELD, PARTITION, SLACK = 2 << 20, 4_000_000, 500_000, 12_000_000, 4
 #: Languages up to which their totals are broadcast.
 FEW = 10_000
 #: Byte table: A-Z to a-z, blank and tab to a blank, what ends a piece to a line feed.
@@ -111,6 +113,28 @@ class Summary:
         return self.keys[self.counts + self.error >= threshold]
 
 
+class Counted:
+    """Phrases of one length in many batches of texts: hashes, counts, and each phrase written once."""
+
+    def __init__(self):
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.langs, self.phrases, self.counts = [], [], np.zeros(0, np.int64)
+
+    def add(self, words: Words, n: int, keys: np.ndarray, times: np.ndarray, first: np.ndarray) -> None:
+        """Adds ``times`` to sorted distinct keys, whose phrases of ``n`` words begin at ``first``."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        self.counts[self.place[at[known]]] += times[known]
+        new = ~known
+        self.keys = np.insert(self.keys, at[new], keys[new])
+        self.place = np.insert(self.place, at[new], len(self.phrases) + np.arange(new.sum()))
+        self.counts = np.r_[self.counts, times[new]]
+        self.langs += [words.langs[k] for k in words.lang[first[new]].tolist()]
+        self.phrases += [words.phrase(k, n) for k in first[new].tolist()]
+
+
 class Survivors:
     """Sorted hashes by partition in a shared folder, mapped on first use."""
 
@@ -225,26 +249,28 @@ def frequent_phrases(texts: DataFrame, longest: int, threshold: int, slack: int
     and (lang, n): all words."""
     words, pairs, phrases = survivors(texts, longest, threshold, slack, partition)
 
+    def sent(held: dict[int, Counted], totals: Counter) -> pa.RecordBatch:
+        columns = [
+            pa.array([x for c in held.values() for x in c.langs] + list(totals), pa.string()),
+            pa.array([x for c in held.values() for x in c.phrases] + [None] * len(totals), pa.string()),
+            pa.array(np.concatenate([*(c.counts for c in held.values()), np.array(list(totals.values()), np.int64)])),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, totals = defaultdict(Counted), Counter()
         for x in _words(batches):
-            langs, found, counts = [], [], []
             frequent = _frequent(x, words)
             for n, at, hashes in x.grams(frequent, longest, 1, _frequent_pairs(x, frequent, pairs)):
                 distinct, first, times = np.unique(hashes, return_index=True, return_counts=True)
                 seen = phrases.has(distinct) if n > 2 else np.ones(len(distinct), bool)
-                first = at[first[seen]]
-                found += [x.phrase(k, n) for k in first.tolist()]
-                langs.append(x.lang[first])
-                counts.append(times[seen])
-            total = np.bincount(x.lang, minlength=len(x.langs))
-            langs.append(np.arange(len(total)))
-            counts.append(total)
-            columns = [
-                pa.array(x.langs, pa.string()).take(pa.array(np.concatenate(langs).astype(np.int64))),
-                pa.array(found + [None] * len(total), pa.string()),
-                pa.array(np.concatenate(counts).astype(np.int64)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
+                held[n].add(x, n, distinct[seen], times[seen], at[first[seen]])
+            totals.update(dict(zip(x.langs, np.bincount(x.lang, minlength=len(x.langs)).tolist(), strict=True)))
+            if sum(len(c.phrases) for c in held.values()) > HELD:
+                yield sent(held, totals)
+                held, totals = defaultdict(Counted), Counter()
+        if totals:
+            yield sent(held, totals)
 
     counted = texts.mapInArrow(tidy(count), "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     counted = save(counted.where((F.col("f") >= threshold) | (F.col("phrase").isNull() & (F.col("f") > 0))), "phrases")
@@ -297,8 +323,8 @@ def collocations(
 
     Null and empty texts have no words; a null lang is ``und``. Repeated rows count as often
     as they come. Ties are ranked by count, then phrase. An empty table, or one without
-    frequent phrases, gives none. Within a batch of texts n-grams are told apart by 64-bit
-    hashes, between batches by their words.
+    frequent phrases, gives none. Within a task n-grams are told apart by 64-bit
+    hashes, between tasks by their words.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), lang)

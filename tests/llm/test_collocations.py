@@ -47,6 +47,7 @@ def mined(spark, rows, **options):
     return sorted(map(tuple, collocations.collocations(docs, **options).collect()))
 
 
+PHRASES = "the,city,of,york,the city,city of,of york,the city of,city of york,the city of york,die,stadt,die stadt".split(",")
 WORDS = "New york city the of in Größe b2 ÉTÉ été x-y don't".split()
 
 
@@ -68,6 +69,34 @@ def test_no_rows_and_no_frequent_phrase(spark):
     assert mined(spark, [("one two three", "en"), (None, None)]) == []
 
 
+def test_a_task_returns_a_phrase_once(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "TEXTS", 200)  # many batches a task
+    rows = [("the city of york", "en"), ("die stadt", "de")] * 300
+    texts = spark.createDataFrame(rows, "text string, lang string").repartition(2)
+    returned = spark.sparkContext.accumulator(0)
+    add = collocations.Counted.add
+
+    def counting(self, words, n, keys, times, first):
+        before = len(self.phrases)
+        add(self, words, n, keys, times, first)
+        returned.add(len(self.phrases) - before)
+
+    monkeypatch.setattr(collocations.Counted, "add", counting)
+    found, totals = collocations.frequent_phrases(texts, 5, 100)
+    assert {(r.phrase, r.f) for r in found.collect()} == {(p, 300) for p in PHRASES}
+    assert {(r.lang, r.n) for r in totals.collect()} == {("en", 1200), ("de", 600)}
+    assert returned.value <= 2 * len(PHRASES)
+
+
+@pytest.mark.parametrize("held", [0, 10])
+def test_counts_that_a_task_returns_early_add_up(spark, monkeypatch, held):
+    monkeypatch.setattr(collocations, "TEXTS", 200)
+    monkeypatch.setattr(collocations, "HELD", held)
+    rng = random.Random(held)
+    rows = [(" ".join(rng.choices(WORDS, k=30)), rng.choice(["en", "de", None])) for _ in range(80)]
+    assert mined(spark, rows, threshold=6) == plain(rows, 5, 6, 2000)
+
+
 def test_summaries_keep_every_frequent_key():
     rng = np.random.default_rng(4)
     draws = (rng.pareto(0.7, 60_000) * 3).astype(np.uint64) % np.uint64(30_000)
