@@ -177,7 +177,7 @@ def _frequent_pairs(words: Words, frequent: np.ndarray, known: Survivors) -> np.
     return out
 
 
-def _sent(found: Iterator[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+def _sent(found: Iterator[np.ndarray], parts: int, gather: int = GATHER) -> Iterator[pa.RecordBatch]:
     """Counts of hashes, gathered from many batches: a compressed row per partition."""
     held, size = [], 0
 
@@ -188,7 +188,7 @@ def _sent(found: Iterator[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
     for hashes in found:
         held.append(hashes)
         size += len(hashes)
-        if size > GATHER:
+        if size > gather:
             yield flush()
             held, size = [], 0
     if size:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ledgerline.llm.collocations import _sent
 from ledgerline.llm.common import FOLD, WHILE_SAVED, batches_of, discard, documents, give_back, mix64, save, settings, tidy, word_hashes
 from ledgerline.llm.graph import components, spanning
-from ledgerline.llm.ngrams import BLOB, SHARD_CHARS, Folder, _ranges, shard_of, summed, unpacked
+from ledgerline.llm.ngrams import BLOB, Folder, _ranges, shard_of, summed, unpacked
 from ledgerline.sources.layers import scratch_path
 
 SEED, WORDS, BITS, LIMIT = 42, 3, 64, 3
@@ -244,22 +244,22 @@ def near_components(prints: DataFrame, limit: int = LIMIT) -> DataFrame:
     return components(near_links(prints, limit))
 
 
-def _word_prints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for part in texts:
-        values = np.zeros(len(part), np.uint64)
-        for k, text in enumerate(part):
-            hashes = np.unique(word_hashes([text.as_py() or ""])[0])
-            votes = np.zeros(BITS, np.int64)
-            for at in range(0, len(hashes), 1 << 14):
-                rows = hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8)
-                votes += np.unpackbits(rows, axis=1).sum(axis=0, dtype=np.int64)
-            values[k] = np.packbits(2 * votes > len(hashes)).view(np.uint64)[0]
-        yield pa.array(values.view(np.int64))
+def _word_prints(texts: pa.Array) -> pa.Array:
+    values = np.zeros(len(texts), np.uint64)
+    for k, text in enumerate(texts):
+        hashes = np.unique(word_hashes([text.as_py() or ""])[0])
+        votes = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), 1 << 14):
+            rows = hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8)
+            votes += np.unpackbits(rows, axis=1).sum(axis=0, dtype=np.int64)
+        values[k] = np.packbits(2 * votes > len(hashes)).view(np.uint64)[0]
+    give_back()
+    return pa.array(values.view(np.int64))
 
 
 #: Text column -> fingerprint of its distinct words. An edit changes it less than it changes
 #: a fingerprint of shingles, so it finds the candidates; shingles decide.
-word_fingerprint = F.arrow_udf(tidy(_word_prints), T.LongType())
+word_fingerprint = F.arrow_udf(_word_prints, T.LongType())
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -324,6 +324,8 @@ def _likeness(sets: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 #: how often one is seen there to count as common; members of a common shingle that one task compares
 #: with as many others.
 SHARE, SAMPLE, COMMON, BLOCK = 0.25, 24_000_000, 3, 2048
+#: Characters of that sample per range of hashes, and shingles a task gathers before it sends them.
+COUNTED, GATHERED = 4_000_000, 1_000_000
 #: Bytes of a parity map, bands of four bins of a sketch (its seed, and the key of an empty one), and
 #: the fields of a prefix row as they are stored.
 PARITY = 64
@@ -371,11 +373,11 @@ def _rarity(texts: DataFrame, words: int, chars: int) -> Rarity:
     the sample does not show has no more members in a larger table."""
     spark = texts.sparkSession
     share = max(SHARE, min(1.0, SAMPLE / max(1, chars)))
-    shards = max(1, math.ceil(share * chars / SHARD_CHARS))
+    shards = max(1, math.ceil(share * chars / COUNTED))
     folder = Folder(scratch_path(spark, "rarity"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sent((shingle_set(x.as_py(), words) for batch in batches for x in batch.column(0)), shards)
+        return _sent((shingle_set(x.as_py(), words) for batch in batches for x in batch.column(0)), shards, GATHERED)
 
     def kept(key: tuple, group: pa.Table) -> pa.Table:
         blobs = zip(group.column("blob"), group.column("n").to_pylist(), strict=True)
@@ -481,22 +483,25 @@ def _met(similarity: float):
 
 
 def _marks(words: int):
-    """Text -> the parity map of its shingles, and the bands of a sketch of them."""
+    """Text -> the parity map of its shingles, and the bands of a sketch of them.
 
-    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in texts:
-            parity, bands = [], []
-            for x in part:
-                s = shingle_set(x.as_py(), words)
-                bits = np.bincount((mix64(s) >> np.uint64(55)).astype(np.int64), minlength=PARITY * 8) & 1
-                parity.append(len(s).to_bytes(8, "little") + np.packbits(bits.astype(bool)).tobytes())
-                bands.append(np.frombuffer(sketch(s, BAND_SEED), np.int64)[:BANDS])
-            flat = pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64))
-            ends = np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)
-            columns = [pa.array(parity, pa.binary()), pa.ListArray.from_arrays(ends, flat)]
-            yield pa.StructArray.from_arrays(columns, names=["parity", "bands"])
-
-    return F.arrow_udf(tidy(run), "struct<parity:binary,bands:array<long>>")
+    Takes an array like ``word_fingerprint``, so that one worker computes both.
+    """
+
+    def run(texts: pa.Array) -> pa.Array:
+        parity, bands = [], []
+        for x in texts:
+            s = shingle_set(x.as_py(), words)
+            bits = np.bincount((mix64(s) >> np.uint64(55)).astype(np.int64), minlength=PARITY * 8) & 1
+            parity.append(len(s).to_bytes(8, "little") + np.packbits(bits.astype(bool)).tobytes())
+            bands.append(np.frombuffer(sketch(s, BAND_SEED), np.int64)[:BANDS])
+        flat = pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64))
+        ends = np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)
+        columns = [pa.array(parity, pa.binary()), pa.ListArray.from_arrays(ends, flat)]
+        give_back()
+        return pa.StructArray.from_arrays(columns, names=["parity", "bands"])
+
+    return F.arrow_udf(run, "struct<parity:binary,bands:array<long>>")
 
 
 def _possible(similarity: float):
