@@ -2,41 +2,48 @@
 
 Passes over the texts:
 
-1. Words are counted by hash; a phrase with a word below the threshold cannot reach it.
-2. Every pair of frequent words, then every longer n-gram of frequent pairs, goes, by hash, to
-   a partition. A batch's exact counts are a
-   summary that has lost nothing; a partition merges the summaries of all batches and, whenever
-   more counters are left than its capacity, takes the largest surplus counter's value off all.
-   What has been taken off is the summary's error. The capacity is a multiple of the
-   partition's mass divided by the threshold, so the error stays below the threshold and every
-   frequent n-gram survives.
-3. The survivors (no others) are counted exactly, as phrases. A task adds up what it finds in
-   all its batches, so that it returns a phrase once, not once per batch.
-
-Scores, cuts and the containment rule are joins and aggregates over the frequent phrases.
+1. Words go, by hash, to a partition, each once a task with its spelling and count. A partition
+   merges the summaries of all tasks (a task's exact counts are a summary that has lost nothing)
+   and, whenever more counters are left than its capacity, takes the largest surplus counter's
+   value off all. What has been taken off is the summary's error. The capacity is a multiple of
+   the partition's mass divided by the threshold, so the error stays below the threshold and every
+   frequent word survives. The survivors are then counted exactly in what the tasks have sent.
+   The frequent ones get numbers; their spellings are returned once, by their partition.
+2. For 2, 3, ... words: a phrase can only be frequent if the one without its last word and the one
+   without its first word are. Its key is the number of the one and the number of the last word,
+   which no other phrase shares. Keys are counted like words.
+
+So no task returns phrases: they are spelled by joins, from the number of the phrase that is
+shorter by a word and that of the last word. What the tasks send grows with the words that they
+read, not with the phrases that are frequent in all texts. Scores, cuts and the containment rule
+are joins and aggregates over the frequent phrases.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WHILE_SAVED, batches_of, documents, mix64, save, settings, span_hashes, tidy
+from ledgerline.llm.common import batches_of, documents, mix64, save, span_hashes, tidy
 from ledgerline.llm.ngrams import BLOB, Folder, _blobs, _ranges, packed, shard_of, summed, unpacked
 from ledgerline.sources.layers import scratch_path
 
 #: Words of the longest phrase, least count of a phrase, rows per language.
 LONGEST, THRESHOLD, TOP = 5, 100, 2000
 #: Bytes of texts that are looked at together, hashes that are gathered before they are sent,
-#: phrases that a task holds before it returns their counts, bytes of text per partition, and how
-#: many times mass / threshold a summary's capacity is: its error is below threshold / SLACK.
-TEXTS, GATHER, HELD, PARTITION, SLACK = 2 << 20, 4_000_000, 500_000, 12_000_000, 4
+#: words that a task holds before it sends them and bytes of these, bytes of text per partition,
+#: and how many times mass / threshold a summary's capacity is: its error is below
+#: threshold / SLACK.
+TEXTS, GATHER, HELD, HELD_BYTES, PARTITION, SLACK = 2 << 20, 4_000_000, 500_000, 32 << 20, 12_000_000, 4
+#: What a task sends of words: per partition their hashes, counts and languages, and spellings.
+SPELLED = "shard long, n long, blob binary, langs array<string>, words binary"
 #: Languages up to which their totals are broadcast.
 FEW = 10_000
 #: Byte table: A-Z to a-z, blank and tab to a blank, what ends a piece to a line feed.
@@ -64,30 +71,9 @@ class Words:
         #: A word of one language is not that of another.
         self.hash = mix64(hashes ^ seeds[self.lang]) if len(hashes) else hashes
 
-    def grams(
-        self, frequent: np.ndarray, longest: int, least: int = 2, pairs: np.ndarray | None = None
-    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per length: first words of the phrases within a piece whose words are ``frequent``, and hashes.
-
-        With ``pairs`` (by first word) also all pairs of neighbours in them are.
-        """
-        at, hashes = np.flatnonzero(frequent), self.hash[frequent]
-        for n in range(1, longest + 1):
-            if n > 1:
-                on = at + n - 1 < len(self.hash)
-                at, hashes = at[on], hashes[on]
-                last = at + n - 1
-                on = frequent[last] & (self.piece[last] == self.piece[at])
-                if pairs is not None:
-                    on &= pairs[last - 1]
-                at = at[on]
-                hashes = mix64(hashes[on] * np.uint64(31) + self.hash[at + n - 1])
-            if n >= least:
-                yield n, at, hashes
-
-    def phrase(self, first: int, n: int) -> str:
+    def phrase(self, first: int, n: int) -> bytes:
         spans = zip(self.starts[first : first + n].tolist(), self.stops[first : first + n].tolist(), strict=True)
-        return b" ".join([self.text[a:b] for a, b in spans]).decode("utf-8", "surrogatepass")
+        return b" ".join([self.text[a:b] for a, b in spans])
 
 
 class Summary:
@@ -118,7 +104,7 @@ class Counted:
 
     def __init__(self):
         self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.langs, self.phrases, self.counts = [], [], np.zeros(0, np.int64)
+        self.langs, self.phrases, self.counts, self.size = [], [], np.zeros(0, np.int64), 0
 
     def add(self, words: Words, n: int, keys: np.ndarray, times: np.ndarray, first: np.ndarray) -> None:
         """Adds ``times`` to sorted distinct keys, whose phrases of ``n`` words begin at ``first``."""
@@ -133,28 +119,58 @@ class Counted:
         self.counts = np.r_[self.counts, times[new]]
         self.langs += [words.langs[k] for k in words.lang[first[new]].tolist()]
         self.phrases += [words.phrase(k, n) for k in first[new].tolist()]
-
-
-class Survivors:
-    """Sorted hashes by partition in a shared folder, mapped on first use."""
+        self.size += int((words.stops[first[new] + n - 1] - words.starts[first[new]]).sum())
+
+    def sent(self, parts: int) -> pa.RecordBatch:
+        """A row per partition."""
+        rows = []
+        for part, r in _ranges(shard_of(self.keys, parts)):
+            place = self.place[r]
+            langs = sorted({self.langs[k] for k in place.tolist()})
+            code = {x: k for k, x in enumerate(langs)}
+            codes = np.array([code[self.langs[k]] for k in place.tolist()], np.uint32)
+            spelled = zstandard.ZstdCompressor(level=1).compress(b"\n".join([self.phrases[k] for k in place.tolist()]))
+            rows.append((part, len(place), packed(self.keys[r], self.counts[place].astype(np.uint32), codes), langs, spelled))
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.binary()]
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=["shard", "n", "blob", "langs", "words"])
+
+
+class Numbers:
+    """Numbers of sorted keys by partition in a shared folder, mapped on first use."""
 
     def __init__(self, folder: Folder, name: str, parts: int):
         self.folder, self.name, self.parts = folder, name, parts
         self.mapped: dict[int, np.ndarray] = {}
 
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        """Of sorted hashes."""
-        out = np.zeros(len(hashes), bool)
-        for part, r in _ranges(shard_of(hashes, self.parts)):
+    def put(self, part: int, keys: np.ndarray) -> np.ndarray:
+        """Stores a partition's keys. The numbers of a partition are its own modulo ``parts``."""
+        if len(keys) * self.parts >= 1 << 32:
+            raise OverflowError("a phrase's number has to fit into 32 bits")
+        self.folder.put(f"{self.name}.{part}", keys)
+        return np.arange(len(keys)) * self.parts + part
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Of keys in any order; -1 where there is none."""
+        distinct, place = np.unique(keys, return_inverse=True)
+        out = np.full(len(distinct), -1, np.int64)
+        for part, r in _ranges(shard_of(distinct, self.parts)):
             if part not in self.mapped:
                 try:
                     self.mapped[part] = self.folder.get(f"{self.name}.{part}")
                 except FileNotFoundError:  # nothing was dealt there
                     self.mapped[part] = np.zeros(0, np.uint64)
-            known = self.mapped[part]
-            if len(known):
-                out[r] = known[np.minimum(np.searchsorted(known, hashes[r]), len(known) - 1)] == hashes[r]
-        return out
+            at, known = _found(self.mapped[part], distinct[r])
+            out[r] = np.where(known, at * self.parts + part, -1)
+        return out[place]
+
+
+def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of keys, and whether they are there."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
@@ -163,18 +179,29 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
             yield Words(part.column(0).to_pylist(), part.column(1).to_pylist())
 
 
-def _frequent(words: Words, known: Survivors) -> np.ndarray:
-    distinct, place = np.unique(words.hash, return_inverse=True)
-    return known.has(distinct)[place]
+def _keys(words: Words, levels: list[Numbers]) -> np.ndarray:
+    """Keys of all phrases, longer by a word than the last of ``levels``, that can be frequent."""
+    last = numbers = levels[0].of(words.hash)
+    at = np.flatnonzero(numbers >= 0)
+    for n in range(2, len(levels) + 2):
+        at = at[at + n - 1 < len(last)]
+        at = at[(numbers[at + 1] >= 0) & (words.piece[at + n - 1] == words.piece[at])]
+        keys = mix64((numbers[at].astype(np.uint64) << np.uint64(32)) | last[at + n - 1].astype(np.uint64))
+        if n <= len(levels):
+            found = levels[n - 1].of(keys)
+            numbers = np.full(len(last), -1, np.int64)
+            numbers[at] = found
+            at = at[found >= 0]
+    return keys
 
 
-def _frequent_pairs(words: Words, frequent: np.ndarray, known: Survivors) -> np.ndarray:
-    """Whether a word and the one after it are such a pair."""
-    out = np.zeros(len(words.hash), bool)
-    for _, at, hashes in words.grams(frequent, 2):
-        distinct, place = np.unique(hashes, return_inverse=True)
-        out[at] = known.has(distinct)[place]
-    return out
+def _unmix64(x: np.ndarray) -> np.ndarray:
+    """What ``mix64`` made these of."""
+    x = x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+    x = x * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    x = x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))
+    x = x * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
 
 
 def _sent(found: Iterator[np.ndarray], parts: int, gather: int = GATHER) -> Iterator[pa.RecordBatch]:
@@ -195,86 +222,109 @@ def _sent(found: Iterator[np.ndarray], parts: int, gather: int = GATHER) -> Iter
         yield flush()
 
 
-def _kept(folder: Folder, name: str, threshold: int, slack: int):
+def _counted(sent: Callable, threshold: int, slack: int) -> tuple[np.ndarray, np.ndarray]:
+    """All keys that were sent ``threshold`` times, and how often. ``sent()`` goes over keys and counts."""
+    mass = sum(int(counts.sum(dtype=np.int64)) for _, counts in sent())
+    summary = Summary(slack * mass // threshold + 1)
+    for keys, counts in sent():
+        summary.merge(keys, counts.astype(np.int64))
+    found = summary.frequent(threshold)
+    times = np.zeros(len(found), np.int64)
+    for keys, counts in sent():
+        at, known = _found(found, keys)
+        times[at[known]] += counts[known]
+    return found[times >= threshold], times[times >= threshold]
+
+
+def _kept_words(numbers: Numbers, threshold: int, slack: int):
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        """Numbers a partition's frequent words, and counts all of a language."""
+        sizes, blobs, spelled = group.column("n").to_pylist(), group.column("blob"), group.column("words")
+        langs = group.column("langs").to_pylist()
+
+        def sent() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for n, blob in zip(sizes, blobs, strict=True):
+                yield unpacked(blob.as_py(), n, np.uint64, np.uint32, np.uint32)
+
+        found, times = _counted(lambda: ((keys, counts) for keys, counts, _ in sent()), threshold, slack)
+        words, of, totals = [None] * len(found), [None] * len(found), Counter()
+        for (keys, counts, codes), names, blob in zip(sent(), langs, spelled, strict=True):
+            for code, n in enumerate(np.bincount(codes, counts, len(names)).tolist()):
+                totals[names[code]] += int(n)
+            at, known = _found(found, keys)
+            spellings = None
+            for k in np.flatnonzero(known).tolist():
+                if words[at[k]] is None:
+                    spellings = spellings or zstandard.ZstdDecompressor().decompress(blob.as_py()).split(b"\n")
+                    words[at[k]], of[at[k]] = spellings[k].decode("utf-8", "surrogatepass"), names[codes[k]]
+        ids = numbers.put(key[0].as_py(), found).tolist()
+        return pa.table(
+            {
+                "id": pa.array(ids + [None] * len(totals), pa.int64()),
+                "lang": pa.array(of + list(totals), pa.string()),
+                "phrase": pa.array(words + [None] * len(totals), pa.string()),
+                "f": pa.array(times.tolist() + list(totals.values()), pa.int64()),
+            }
+        )
+
+    return run
+
+
+def _kept(numbers: Numbers, threshold: int, slack: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        """Merges a partition's summaries and stores what may be frequent."""
+        """Numbers a partition's frequent phrases."""
         sizes, blobs = group.column("n").to_pylist(), group.column("blob")
-        mass = sum(int(unpacked(b.as_py(), n, np.uint64, np.uint32)[1].sum(dtype=np.int64)) for n, b in zip(sizes, blobs, strict=True))
-        summary = Summary(slack * mass // threshold + 1)
-        for n, blob in zip(sizes, blobs, strict=True):
-            keys, counts = unpacked(blob.as_py(), n, np.uint64, np.uint32)
-            summary.merge(keys, counts.astype(np.int64))
-        found = summary.frequent(threshold)
-        folder.put(f"{name}.{key[0].as_py()}", found)
-        return pa.table({"kept": [len(found)], "error": [summary.error]})
+        found, times = _counted(
+            lambda: (unpacked(b.as_py(), n, np.uint64, np.uint32) for n, b in zip(sizes, blobs, strict=True)), threshold, slack
+        )
+        ids, pair = numbers.put(key[0].as_py(), found), _unmix64(found)
+        return pa.table({"id": ids, "first": (pair >> np.uint64(32)).astype(np.int64), "last": (pair & np.uint64(0xFFFFFFFF)).astype(np.int64), "f": times})
 
     return run
 
 
-def survivors(texts: DataFrame, longest: int, threshold: int, slack: int = SLACK, partition: int = PARTITION) -> tuple[Survivors, Survivors, Survivors]:
-    """(text, lang) -> words, pairs, and longer phrases that may be seen ``threshold`` times in a language.
+def frequent_phrases(texts: DataFrame, longest: int, threshold: int, slack: int = SLACK, partition: int = PARTITION) -> tuple[DataFrame, DataFrame]:
+    """(text, lang) -> (lang, phrase, f) of all phrases of 1 to ``longest`` words with f >= threshold,
+    and (lang, n): all words.
 
-    None that is seen so often is missing. Both lie in the shared folder; nothing is collected.
+    The numbered phrases lie in the shared folder; nothing is collected.
     """
     spark = texts.sparkSession
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(4, -(-size // partition))
     folder = Folder(scratch_path(spark, "collocations"))
-    words, pairs, phrases = (Survivors(folder, name, parts) for name in ("word", "pair", "phrase"))
-
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sent((x.hash for x in _words(batches)), parts)
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sent((h for x in _words(batches) for _, _, h in x.grams(_frequent(x, words), 2)), parts)
-
-    def longer(x: Words) -> Iterator[np.ndarray]:
-        frequent = _frequent(x, words)
-        for _, _, hashes in x.grams(frequent, longest, 3, _frequent_pairs(x, frequent, pairs)):
-            yield hashes
+    levels = [Numbers(folder, f"phrase{n}", parts) for n in range(1, longest + 1)]
 
-    def count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sent((h for x in _words(batches) for h in longer(x)), parts)
-
-    for count, name in ((count_words, "word"), (count_pairs, "pair"), (count_phrases, "phrase")):
-        sent = texts.mapInArrow(tidy(count), BLOB)
-        kept = sent.groupBy("shard").applyInArrow(_kept(folder, name, threshold, slack), "kept long, error long")
-        with settings(spark, WHILE_SAVED):
-            kept.agg(F.sum("kept")).first()
-    return words, pairs, phrases
-
-
-def frequent_phrases(texts: DataFrame, longest: int, threshold: int, slack: int = SLACK, partition: int = PARTITION) -> tuple[DataFrame, DataFrame]:
-    """(text, lang) -> (lang, phrase, f) of all phrases of 1 to ``longest`` words with f >= threshold,
-    and (lang, n): all words."""
-    words, pairs, phrases = survivors(texts, longest, threshold, slack, partition)
-
-    def sent(held: dict[int, Counted], totals: Counter) -> pa.RecordBatch:
-        columns = [
-            pa.array([x for c in held.values() for x in c.langs] + list(totals), pa.string()),
-            pa.array([x for c in held.values() for x in c.phrases] + [None] * len(totals), pa.string()),
-            pa.array(np.concatenate([*(c.counts for c in held.values()), np.array(list(totals.values()), np.int64)])),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, totals = defaultdict(Counted), Counter()
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Counted()
         for x in _words(batches):
-            frequent = _frequent(x, words)
-            for n, at, hashes in x.grams(frequent, longest, 1, _frequent_pairs(x, frequent, pairs)):
-                distinct, first, times = np.unique(hashes, return_index=True, return_counts=True)
-                seen = phrases.has(distinct) if n > 2 else np.ones(len(distinct), bool)
-                held[n].add(x, n, distinct[seen], times[seen], at[first[seen]])
-            totals.update(dict(zip(x.langs, np.bincount(x.lang, minlength=len(x.langs)).tolist(), strict=True)))
-            if sum(len(c.phrases) for c in held.values()) > HELD:
-                yield sent(held, totals)
-                held, totals = defaultdict(Counted), Counter()
-        if totals:
-            yield sent(held, totals)
-
-    counted = texts.mapInArrow(tidy(count), "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    counted = save(counted.where((F.col("f") >= threshold) | (F.col("phrase").isNull() & (F.col("f") > 0))), "phrases")
-    return counted.where("phrase IS NOT NULL"), counted.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
+            distinct, first, times = np.unique(x.hash, return_index=True, return_counts=True)
+            held.add(x, 1, distinct, times, first)
+            if len(held.phrases) > HELD or held.size > HELD_BYTES:
+                yield held.sent(parts)
+                held = Counted()
+        if held.phrases:
+            yield held.sent(parts)
+
+    def count(known: list[Numbers]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _sent((_keys(x, known) for x in _words(batches)), parts)
+
+        return run
+
+    kept = texts.mapInArrow(tidy(spell), SPELLED).groupBy("shard")
+    kept = save(kept.applyInArrow(_kept_words(levels[0], threshold, slack), "id long, lang string, phrase string, f long"), "words")
+    words, totals = kept.where("id IS NOT NULL"), kept.where("id IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
+    ends = words.select(F.col("id").alias("last"), F.col("phrase").alias("_word"))
+    shorter, found = words, words.drop("id")
+    for n in range(2, longest + 1):
+        kept = texts.mapInArrow(tidy(count(levels[: n - 1])), BLOB).groupBy("shard")
+        kept = save(kept.applyInArrow(_kept(levels[n - 1], threshold, slack), "id long, first long, last long, f long"), "phrases")
+        begins = shorter.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("_begin"))
+        shorter = kept.join(begins, "first").join(ends, "last").select("id", "lang", F.concat_ws(" ", "_begin", "_word").alias("phrase"), "f")
+        shorter = save(shorter, "phrases")
+        found = found.unionByName(shorter.drop("id"))
+    return found, totals
 
 
 def _part(words, first, n):
@@ -323,8 +373,8 @@ def collocations(
 
     Null and empty texts have no words; a null lang is ``und``. Repeated rows count as often
     as they come. Ties are ranked by count, then phrase. An empty table, or one without
-    frequent phrases, gives none. Within a task n-grams are told apart by 64-bit
-    hashes, between tasks by their words.
+    frequent phrases, gives none. Words are told apart by 64-bit hashes, phrases exactly
+    by their words.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), lang)

@@ -88,6 +88,37 @@ def test_a_task_returns_a_phrase_once(spark, monkeypatch):
     assert returned.value <= 2 * len(PHRASES)
 
 
+def test_tasks_do_not_each_return_the_frequent_phrases(spark, monkeypatch):
+    text, tasks, made = " ".join(f"w{k}" for k in range(200)), 8, []
+    texts = spark.createDataFrame([(text, "en")] * (40 * tasks), "text string, lang string").repartition(tasks)
+    mapped = type(texts).mapInArrow
+
+    def recorded(df, *options):
+        made.append(mapped(df, *options))
+        return made[-1]
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(texts), "mapInArrow", recorded)
+        found, _ = collocations.frequent_phrases(texts, 5, 100)
+    assert {(r.phrase, r.f) for r in found.collect()} == {
+        (" ".join(f"w{k}" for k in range(first, first + n)), 40 * tasks) for n in range(1, 6) for first in range(201 - n)
+    }
+    partitions = 4
+    assert max(df.count() for df in made) <= tasks * partitions < found.count()
+
+
+def test_words_and_languages_with_odd_characters(spark):
+    rows = [("a\x00b \u2028 Ä\x85ö  a\x00b\n\u2028 Ä\x85ö", lang) for lang in ("x\ny", "x y", "", None)] * 6
+    wanted = plain(rows, 5, 6, 40)
+    assert len(wanted) == 8
+    assert mined(spark, rows, threshold=6, top=40) == wanted
+
+
+def test_keys_give_back_their_numbers():
+    pairs = np.random.default_rng(1).integers(0, 1 << 64, 10_000, dtype=np.uint64)
+    assert (collocations._unmix64(collocations.mix64(pairs)) == pairs).all()
+
+
 @pytest.mark.parametrize("held", [0, 10])
 def test_counts_that_a_task_returns_early_add_up(spark, monkeypatch, held):
     monkeypatch.setattr(collocations, "TEXTS", 200)
